@@ -4,6 +4,8 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerloom.functions.times import period_start
+
 # The default limits of a collection run.
 GENESIS = datetime(2015, 7, 30, 15, 26, 13, tzinfo=timezone.utc)
 MAX_WEEKS = 600
@@ -21,13 +23,14 @@ def window_bounds(end: datetime, weeks: int, max_weeks: int = MAX_WEEKS):
 def select_window(df: DataFrame, start, end, column: str = "block_timestamp") -> DataFrame:
     """Rows with start <= time < end.
 
-    Plain comparisons, so the scan can skip row groups; a table partitioned by `block_day`
+    Plain comparisons, so the scan can skip row groups; a table partitioned by `block_month`
     also skips whole partitions.
     """
     ts, first, last = F.col(column), F.lit(start), F.lit(end)
     kept = df.filter((ts >= first) & (ts < last))
-    if "block_day" in df.columns:
-        kept = kept.filter(F.col("block_day").between(F.to_date(first), F.to_date(last)))
+    if "block_month" in df.columns:
+        months = [period_start(bound, "month") for bound in (first, last)]
+        kept = kept.filter(F.col("block_month").between(*months))
     return kept
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.functions.times import period_start
 from ledgerloom.functions.wide_int import limb_sums, summed_text
 from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient, rejected
 from ledgerloom.session import use_utc
@@ -28,7 +29,9 @@ def stream_clean(
     The checkpoint records finished files and seen hashes, so a restart after a crash
     continues where the last run ended and repeats nothing. Without `lateness` every hash
     is remembered for good; with it only as long as the watermark allows, which is right
-    for feeds whose repeats arrive within that time. Output is partitioned by day.
+    for feeds whose repeats arrive within that time. Output is partitioned by
+    month: after the hash shuffle every task writes every partition of its batch, and days
+    would leave very many small files in a backfill.
     """
     use_utc(spark)
     pages = stream_transfer_pages(spark, source, max_files_per_trigger)
@@ -39,12 +42,12 @@ def stream_clean(
         late = rows.withWatermark("block_timestamp", lateness)
         unique = late.dropDuplicatesWithinWatermark(["tx_hash"])
     return (
-        unique.withColumn("block_day", F.to_date("block_timestamp"))
+        unique.withColumn("block_month", period_start(F.col("block_timestamp"), "month"))
         .writeStream.format("parquet")
         .option("path", path)
         .option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
-        .partitionBy("block_day")
+        .partitionBy("block_month")
         .trigger(availableNow=True)
         .start()
     )
