@@ -32,20 +32,22 @@ def key_set(df: DataFrame, column: str = "address") -> KeySet:
     return KeySet(table, table.count())
 
 
+def _placed(side: DataFrame, keys: KeySet, limit: int) -> DataFrame:
+    return F.broadcast(side) if keys.fits_broadcast(limit) else side.hint("shuffle_hash")
+
+
 def flag_members(
     rows: DataFrame, column: str, keys: KeySet, flag: str, limit: int = BROADCAST_KEYS
 ) -> DataFrame:
     """Add boolean `flag`: is the lowercase `column` in the set?
 
     A set within the limit is broadcast, so `rows` is not shuffled. A larger one is joined
-    by shuffle; its keys are unique, so a hot address is skewed only on the `rows` side,
-    which adaptive execution splits by map range.
+    by shuffle, hashed per partition so that `rows` is not sorted. Its keys are unique, so a
+    hot address is skewed only on the `rows` side, which adaptive execution splits by map
+    range.
     """
     side = keys.table.select(F.col("key").alias("_member"), F.lit(True).alias("_hit"))
-    if keys.fits_broadcast(limit):
-        side = F.broadcast(side)
-    else:
-        side = side.hint("merge")
+    side = _placed(side, keys, limit)
     joined = rows.join(side, F.lower(rows[column]) == side["_member"], "left")
     return joined.withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_member", "_hit")
 
@@ -80,7 +82,5 @@ def without_members(
     rows: DataFrame, column: str, keys: KeySet, limit: int = BROADCAST_KEYS
 ) -> DataFrame:
     """Rows whose lowercase `column` is not in the set."""
-    side = keys.table
-    if keys.fits_broadcast(limit):
-        side = F.broadcast(side)
+    side = _placed(keys.table, keys, limit)
     return rows.join(side, F.lower(rows[column]) == side["key"], "left_anti")

@@ -166,7 +166,7 @@ def build_graph(
     """All stages below `folder`; returns the table status.
 
     `transfers` are accepted, typed transfers (see `cleaning` and `streaming`), ideally a
-    written table partitioned by day.
+    written table partitioned by month.
     """
     use_utc(spark)
     paths, notes = table_paths(folder), metadata_paths(folder)

@@ -29,9 +29,9 @@ def stream_clean(
     The checkpoint records finished files and seen hashes, so a restart after a crash
     continues where the last run ended and repeats nothing. Without `lateness` every hash
     is remembered for good; with it only as long as the watermark allows, which is right
-    for feeds whose repeats arrive within that time. Output is partitioned by
-    month: after the hash shuffle every task writes every partition of its batch, and days
-    would leave very many small files in a backfill.
+    for feeds whose repeats arrive within that time. Output is partitioned by month: after
+    the hash shuffle every task writes every partition of its batch, and days would leave
+    very many small files in a backfill.
     """
     use_utc(spark)
     pages = stream_transfer_pages(spark, source, max_files_per_trigger)
