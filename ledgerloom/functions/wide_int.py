@@ -7,7 +7,7 @@ bigint, and the carries are folded once per group. A bigint limb sum holds more
 stay in hash aggregation with map-side combine.
 """
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: the largest unsigned 128-bit integer.
 U128_MAX = "340282366920938463463374607431768211455"
@@ -16,21 +16,30 @@ _LIMB_DIGITS = 7
 _LIMB_COUNT = 6
 _BASE = 10**_LIMB_DIGITS
 _PADDED = _LIMB_DIGITS * _LIMB_COUNT
-_COMPARE_WIDTH = 60
+_MAX_PADDED = U128_MAX.zfill(_PADDED)
+_MAX_HIGH_LIMB = int(_MAX_PADDED[:_LIMB_DIGITS])
 
 
 def canonical_u128(text: Column) -> Column:
     """Decimal text without sign or leading zeros; null, malformed or too large is "0"."""
-    digits = F.regexp_replace(text, r"^\+?0*", "")
+    digits = F.ltrim(text, F.lit("+0"))
     well_formed = text.rlike(r"^\+?[0-9]+\z")
     size = F.length(digits)
     fits = (size < len(U128_MAX)) | ((size == len(U128_MAX)) & (digits <= F.lit(U128_MAX)))
     return F.when(well_formed & (size > 0) & fits, digits).otherwise(F.lit("0"))
 
 
-def limb_sums(text: Column, prefix: str) -> list[Column]:
-    """Aggregates `<prefix>0` (highest limb) to `<prefix>5`; combine with `summed_text`."""
-    padded = F.lpad(canonical_u128(text), _PADDED, "0")
+def padded_u128(text: Column) -> Column:
+    """Canonical text padded to the width of all limbs.
+
+    Select it under a name of its own before `limb_sums`: aggregation would otherwise
+    evaluate the cleaning once per limb.
+    """
+    return F.lpad(canonical_u128(text), _PADDED, "0")
+
+
+def limb_sums(padded: Column, prefix: str) -> list[Column]:
+    """Aggregates `<prefix>0` (highest limb) to `<prefix>5` of a `padded_u128` column."""
     return [
         F.sum(F.substring(padded, 1 + i * _LIMB_DIGITS, _LIMB_DIGITS).cast("bigint")).alias(
             f"{prefix}{i}"
@@ -39,30 +48,30 @@ def limb_sums(text: Column, prefix: str) -> list[Column]:
     ]
 
 
-def limb_columns(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(_LIMB_COUNT)]
-
-
-def resum_limbs(prefix: str) -> list[Column]:
-    """Add up partial limb sums again (second aggregation level)."""
-    return [F.sum(name).alias(name) for name in limb_columns(prefix)]
-
-
-def summed_text(prefix: str) -> Column:
-    """Decimal text of the limb sums, capped at the u128 maximum.
+def fold_limbs(sums: DataFrame, prefix: str, name: str) -> DataFrame:
+    """Replace the limb sums by their decimal text `name`, capped at the u128 maximum.
 
     All addends are non-negative, so one cap at the end equals a cap after every addition.
+    Each carry is a projection of its own: nested in one expression the chain is repeated
+    in every branch, and the generated method grows beyond what the JIT compiles.
     """
-    carry = F.lit(0).cast("bigint")
-    pieces = []
-    for i in reversed(range(1, _LIMB_COUNT)):
-        limb = F.col(f"{prefix}{i}") + carry
-        pieces.append(F.lpad((limb % F.lit(_BASE)).cast("string"), _LIMB_DIGITS, "0"))
-        carry = F.call_function("div", limb, F.lit(_BASE))
-    pieces.append((F.col(f"{prefix}0") + carry).cast("string"))
-    digits = F.regexp_replace(F.concat(*reversed(pieces)), "^0+", "")
-    too_large = F.lpad(digits, _COMPARE_WIDTH, "0") > F.lit(U128_MAX.zfill(_COMPARE_WIDTH))
-    return F.when(digits == "", F.lit("0")).when(too_large, F.lit(U128_MAX)).otherwise(digits)
+    limbs = [f"{prefix}{i}" for i in range(_LIMB_COUNT)]
+    base = F.lit(_BASE)
+    for higher, lower in zip(limbs[-2::-1], limbs[:0:-1]):
+        carried = F.col(higher) + F.call_function("div", F.col(lower), base)
+        sums = sums.withColumns({higher: carried, lower: F.col(lower) % base})
+    text, digits = f"{prefix}_text", f"{prefix}_digits"
+    folded = sums.withColumn(
+        text, F.concat(*(F.lpad(F.col(x).cast("string"), _LIMB_DIGITS, "0") for x in limbs))
+    ).withColumn(digits, F.ltrim(F.col(text), F.lit("0")))
+    high, highest = F.col(limbs[0]), F.lit(_MAX_HIGH_LIMB)
+    too_large = (high > highest) | ((high == highest) & (F.col(text) > F.lit(_MAX_PADDED)))
+    total = (
+        F.when(too_large, F.lit(U128_MAX))
+        .when(F.col(digits) == "", F.lit("0"))
+        .otherwise(F.col(digits))
+    )
+    return folded.withColumn(name, total).drop(*limbs, text, digits)
 
 
 def numeric_desc(text: Column) -> list[Column]:

@@ -3,15 +3,16 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.times import period_start
-from ledgerloom.functions.wide_int import limb_sums, summed_text
+from ledgerloom.functions.wide_int import fold_limbs, limb_sums, padded_u128
 
 
 def wide_sum(
     df: DataFrame, group_cols: list, value_col: str, name: str = "total_value"
 ) -> DataFrame:
     """Exact capped u128 sum of decimal text per group."""
-    sums = df.groupBy(*group_cols).agg(*limb_sums(F.col(value_col), "_w"))
-    return sums.select(*group_cols, summed_text("_w").alias(name))
+    padded = df.select(*group_cols, padded_u128(F.col(value_col)).alias("_padded"))
+    sums = padded.groupBy(*group_cols).agg(*limb_sums(F.col("_padded"), "_w"))
+    return fold_limbs(sums, "_w", name)
 
 
 def aggregate_edges(
@@ -31,6 +32,7 @@ def aggregate_edges(
         F.coalesce("to_address", F.lit("")).alias("dst"),
         period_start(F.col("block_timestamp"), granularity).alias("week_start"),
         "value_wei",
+        padded_u128(F.col("value_wei")).alias("_padded"),
         "tx_hash",
         "block_timestamp",
     )
@@ -38,10 +40,11 @@ def aggregate_edges(
     aggregates = [counted.alias("tx_count")]
     shown = ["src", "dst", "week_start", "tx_count"]
     if total:
-        aggregates += limb_sums(F.col("value_wei"), "_w")
-        shown.append(summed_text("_w").alias("total_value_wei"))
+        aggregates += limb_sums(F.col("_padded"), "_w")
+        shown.append("total_value_wei")
     if sample:
         earliest = F.struct("block_timestamp", "tx_hash", "value_wei")
         aggregates.append(F.min(earliest).alias("_first"))
         shown.append(F.col("_first.value_wei").alias("sample_value"))
-    return keyed.groupBy("src", "dst", "week_start").agg(*aggregates).select(*shown)
+    edges = keyed.groupBy("src", "dst", "week_start").agg(*aggregates)
+    return (fold_limbs(edges, "_w", "total_value_wei") if total else edges).select(*shown)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.functions.wide_int import limb_sums, numeric_desc, summed_text
+from ledgerloom.functions.wide_int import fold_limbs, limb_sums, numeric_desc, padded_u128
 from ledgerloom.operators.keysets import BROADCAST_KEYS, KeySet, touching, without_members
 from ledgerloom.schemas import Ranking
 
@@ -41,18 +41,18 @@ def counterparty_stats(
 
 
 def stats_of_touched(touched: DataFrame, amount: str = "rank_wei") -> DataFrame:
-    sums = counterparty_pairs(touched).groupBy("labeled", "counterparty").agg(
-        *limb_sums(F.col(amount), "_w"),
-        F.count(F.lit(1)).alias("tx_count"),
-        F.max("block_timestamp").alias("most_recent"),
-    )
-    return sums.select(
+    pairs = counterparty_pairs(touched).select(
         "labeled",
         "counterparty",
-        summed_text("_w").alias("total_value"),
-        "tx_count",
-        "most_recent",
+        padded_u128(F.col(amount)).alias("_padded"),
+        "block_timestamp",
+    )
+    sums = pairs.groupBy("labeled", "counterparty").agg(
+        *limb_sums(F.col("_padded"), "_w"),
+        F.count(F.lit(1)).alias("tx_count"),
+        F.max("block_timestamp").alias("most_recent"),
     )
+    return fold_limbs(sums, "_w", "total_value")
 
 
 def ranking_order(ranking: str) -> list:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions.times import period_start
-from ledgerloom.functions.wide_int import limb_sums, summed_text
+from ledgerloom.functions.wide_int import fold_limbs, limb_sums, padded_u128
 from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient, rejected
 from ledgerloom.session import use_utc
 from ledgerloom.sources.transfers import stream_transfer_pages
@@ -69,20 +69,20 @@ def stream_rejects(spark: SparkSession, source: str, path: str, checkpoint: str)
 def stream_edges(transactions: DataFrame, lateness: str = "14 days") -> DataFrame:
     """Weekly edges of a transaction stream; a week is final once the watermark passes it."""
     use_utc(transactions.sparkSession)
+    rows = transactions.withWatermark("block_timestamp", lateness).select(
+        F.coalesce("from_address", F.lit("")).alias("src"),
+        F.coalesce("to_address", F.lit("")).alias("dst"),
+        "block_timestamp",
+        padded_u128(F.col("value_wei")).alias("_padded"),
+    )
     week = F.window("block_timestamp", _WEEK, _WEEK, _MONDAY).alias("week")
-    sums = (
-        transactions.withWatermark("block_timestamp", lateness)
-        .groupBy(
-            F.coalesce("from_address", F.lit("")).alias("src"),
-            F.coalesce("to_address", F.lit("")).alias("dst"),
-            week,
-        )
-        .agg(F.count(F.lit(1)).alias("tx_count"), *limb_sums(F.col("value_wei"), "_w"))
+    sums = rows.groupBy("src", "dst", week).agg(
+        F.count(F.lit(1)).alias("tx_count"), *limb_sums(F.col("_padded"), "_w")
     )
-    return sums.select(
+    return fold_limbs(sums, "_w", "total_value_wei").select(
         "src",
         "dst",
         F.to_date("week.start").alias("week_start"),
         "tx_count",
-        summed_text("_w").alias("total_value_wei"),
+        "total_value_wei",
     )
