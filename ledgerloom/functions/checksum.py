@@ -5,11 +5,17 @@ reduced to its distinct addresses first: an address that fills the batch is hash
 The permutation runs over all distinct addresses of the batch at once, lane by lane.
 """
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
+# The function travels with the plan: executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Round constants and rotation offsets (index x + 5y) of Keccak-f[1600].
 _ROUND_CONSTANTS = (
     0x0000000000000001, 0x0000000000008082, 0x800000000000808A, 0x8000000080008000,

@@ -5,6 +5,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.times import period_start
+from ledgerloom.operators.keysets import BROADCAST_KEYS
+from ledgerloom.session import write_scratch
 
 # The default limits of a collection run.
 GENESIS = datetime(2015, 7, 30, 15, 26, 13, tzinfo=timezone.utc)
@@ -58,9 +60,11 @@ def cap_per_address(
     """Keep the first `cap` rows of each (address, direction, block chunk).
 
     Order within a chunk is (block_number, tx_hash). Returns the kept rows and a report of
-    the capped groups. The cut is found from row counts per block (a chunk has at most
+    the capped groups. The cuts are found from row counts per block (a chunk has at most
     `block_chunk` of them), so no task sorts a whole hot address: rows are ranked only in
     the single block where the cap falls (with room 0 that block is dropped as a whole).
+    The cuts are written and counted, so that `rows` is joined without a shuffle while they
+    are few, and returned as they are when nothing is capped.
     """
     group = ["address", "direction", "chunk"]
     chunk = F.floor((F.col("block_number") - F.lit(first_block)) / F.lit(block_chunk))
@@ -77,7 +81,12 @@ def cap_per_address(
         (F.lit(cap) - before).alias("room"),
         "total",
     )
-    marked = chunked.join(cuts, group, "left")
+    cuts = write_scratch(cuts, "cuts")
+    n_cuts = cuts.count()
+    report = cuts.select(*group, "total", (F.col("total") - F.lit(cap)).alias("dropped"))
+    if n_cuts == 0:
+        return rows, report
+    marked = chunked.join(F.broadcast(cuts) if n_cuts <= BROADCAST_KEYS else cuts, group, "left")
     below = marked.filter("cut_block is null or block_number < cut_block")
     in_block = Window.partitionBy(*group).orderBy(
         "tx_hash", *[c for c in rows.columns if c not in ("tx_hash", *group)]
@@ -88,6 +97,4 @@ def cap_per_address(
         .filter("_n <= room")
         .drop("_n")
     )
-    kept = below.unionByName(at_cut).select(*rows.columns)
-    report = cuts.select(*group, "total", (F.col("total") - F.lit(cap)).alias("dropped"))
-    return kept, report
+    return below.unionByName(at_cut).select(*rows.columns), report

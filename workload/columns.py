@@ -26,6 +26,7 @@ from workload.standins import (
     labeled_addresses,
     lines,
     raw_transfers,
+    spread_table,
     table,
 )
 
@@ -91,10 +92,10 @@ def notes(spark, sf_dir):
     from_lines = lines(spark, sf_dir).select(
         F.lit("line").alias("origin"), F.col("tx_hash").alias("id"), note.alias("text")
     )
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text").select(
         F.lit("document").alias("origin"), F.col("doc_id").cast("string").alias("id"), "text"
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread_table(spark, sf_dir, "pages", "page_id", "html").select(
         F.lit("page").alias("origin"),
         F.col("page_id").cast("string").alias("id"),
         F.col("html").alias("text"),

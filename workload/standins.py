@@ -11,6 +11,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark, sf_dir, name, *columns) -> DataFrame:
+    """Chosen columns of a table; a small one in a few files is spread over the cores.
+
+    A large table has more scan partitions than cores and is not shuffled.
+    """
+    df = table(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+)
+
+
 def address_of(number):
     return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(number)), 40, "0"))
 
@@ -25,7 +47,7 @@ def supplier_address(key="l_suppkey"):
 
 def lines(spark, sf_dir) -> DataFrame:
     """Order lines with their order's date and customer, and the two addresses."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread_table(spark, sf_dir, "lineitem", *LINE_COLUMNS)
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     back = F.col("l_returnflag") == "R"
     customer, supplier = customer_address(), supplier_address()
