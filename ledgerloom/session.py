@@ -13,6 +13,10 @@ def build_session(app_name="ledgerloom", master=None, **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Streaming state on local disk instead of the heap: seen hashes are many.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app_name)

@@ -23,6 +23,7 @@ def stream_clean(
     checkpoint: str,
     lateness: str | None = None,
     max_files_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ):
     """Start a run over the pages landed so far; returns the query.
 
@@ -31,7 +32,8 @@ def stream_clean(
     is remembered for good; with it only as long as the watermark allows, which is right
     for feeds whose repeats arrive within that time. Output is partitioned by month: after
     the hash shuffle every task writes every partition of its batch, and days would leave
-    very many small files in a backfill.
+    very many small files in a backfill. `state_partitions` is the number of parts the seen
+    hashes are kept in, fixed for the life of the checkpoint.
     """
     use_utc(spark)
     pages = stream_transfer_pages(spark, source, max_files_per_trigger)
@@ -41,7 +43,7 @@ def stream_clean(
     else:
         late = rows.withWatermark("block_timestamp", lateness)
         unique = late.dropDuplicatesWithinWatermark(["tx_hash"])
-    return (
+    writer = (
         unique.withColumn("block_month", period_start(F.col("block_timestamp"), "month"))
         .writeStream.format("parquet")
         .option("path", path)
@@ -49,8 +51,21 @@ def stream_clean(
         .option("checkpointLocation", checkpoint)
         .partitionBy("block_month")
         .trigger(availableNow=True)
-        .start()
     )
+    return start_with_state(spark, writer, state_partitions)
+
+
+def start_with_state(spark: SparkSession, writer, state_partitions: int | None = None):
+    """Start a stateful stream; it keeps the partition count it sees when it starts."""
+    if state_partitions is None:
+        return writer.start()
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)
 
 
 def stream_rejects(spark: SparkSession, source: str, path: str, checkpoint: str):

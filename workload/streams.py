@@ -3,7 +3,12 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.session import scratch_path
-from ledgerloom.streaming.jobs import stream_clean, stream_edges, stream_rejects
+from ledgerloom.streaming.jobs import (
+    start_with_state,
+    stream_clean,
+    stream_edges,
+    stream_rejects,
+)
 from workload.graph import landed_pages
 from workload.registry import query
 from workload.standins import address_of, check_sql
@@ -18,7 +23,9 @@ from workload.standins import address_of, check_sql
 )
 def cleaned(spark, sf_dir):
     path, marks = scratch_path(spark, "cleaned"), scratch_path(spark, "marks")
-    stream_clean(spark, landed_pages(spark, sf_dir), path, marks).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    run = stream_clean(spark, landed_pages(spark, sf_dir), path, marks, state_partitions=cores)
+    run.awaitTermination()
     return spark.read.parquet(path).select("tx_hash")
 
 
@@ -33,8 +40,12 @@ def incremental(spark, sf_dir):
     # Two runs over the same folder: the second finds nothing new and repeats nothing.
     source, path = landed_pages(spark, sf_dir), scratch_path(spark, "cleaned")
     marks = scratch_path(spark, "marks")
+    cores = spark.sparkContext.defaultParallelism
     for _ in range(2):
-        stream_clean(spark, source, path, marks, max_files_per_trigger=3).awaitTermination()
+        run = stream_clean(
+            spark, source, path, marks, max_files_per_trigger=3, state_partitions=cores
+        )
+        run.awaitTermination()
     return spark.read.parquet(path).agg(F.count("tx_hash").alias("n_hashes"))
 
 
@@ -76,13 +87,12 @@ def edge_stream(spark, sf_dir):
         F.round(F.col("value") * 100).cast("bigint").cast("string").alias("value_wei"),
     )
     path, marks = scratch_path(spark, "edges"), scratch_path(spark, "marks")
-    run = (
+    writer = (
         stream_edges(rows, lateness="2 days")
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", marks)
         .trigger(availableNow=True)
-        .start()
     )
-    run.awaitTermination()
+    start_with_state(spark, writer, spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(path)
