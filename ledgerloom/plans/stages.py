@@ -102,11 +102,20 @@ def split_times(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def edges_stage(
-    spark: SparkSession, transactions_path: str, path: str, granularity: str = "week"
+    spark: SparkSession,
+    transactions_path: str,
+    path: str,
+    granularity: str = "week",
+    rejects_path: str | None = None,
 ) -> int:
-    """Transaction table to edge table."""
+    """Transaction table to edge table; rows without usable time go to `rejects_path`.
+
+    Tables written by this package have no such rows, tables from elsewhere may.
+    """
     use_utc(spark)
-    usable, _ = split_times(sources.read_transactions(spark, transactions_path))
+    usable, unusable = split_times(sources.read_transactions(spark, transactions_path))
+    if rejects_path is not None:
+        unusable.write.option("compression", "zstd").parquet(rejects_path)
     return sinks.write_edges(aggregate_edges(usable, granularity), path)
 
 

@@ -157,6 +157,35 @@ def test_large_key_sets_are_not_broadcast(spark):
     assert "ShuffledHashJoin" not in small and "BroadcastHashJoin" in small
 
 
+def test_hot_address_is_split_in_large_joins(spark):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("string").alias("tx_hash"),
+        F.lit(at(1)).alias("block_timestamp"),
+        F.when(F.col("id") % 3 == 0, "0xhot").otherwise(F.concat(F.lit("0x"), F.col("id"))).alias(
+            "from_address"
+        ),
+        F.concat(F.lit("0xto"), F.col("id")).alias("to_address"),
+        F.lit("1").alias("value_wei"),
+    )
+    keys = key_set(spark.createDataFrame([("0xhot",), ("0x1",)], "address string"))
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = touching(rows, keys, limit=0)
+        assert len(found.collect()) == len(range(0, 200_000, 3)) + 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "isSkew=true" in plan or "skewed" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def expected_stats(rows, labeled):
     stats = {}
     for _, ts, sender, receiver, value in rows:

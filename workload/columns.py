@@ -83,6 +83,20 @@ def zero(spark, sf_dir):
     )
 
 
+@query(
+    "P2_address_dimension",
+    check_sql(
+        "SELECT DISTINCT sender AS key, true AS same_address FROM lines "
+        "UNION SELECT DISTINCT receiver, true FROM lines",
+        "lines",
+    ),
+)
+def dimension(spark, sf_dir):
+    # Every distinct address hashed once; the SQL checks all but the letter case.
+    found = labeling.address_dimension(lines(spark, sf_dir), "sender", "receiver")
+    return found.select("key", (F.lower("checksum") == F.col("key")).alias("same_address"))
+
+
 def notes(spark, sf_dir):
     """Free text around addresses: one note per line, every document, every page."""
     note = F.concat(

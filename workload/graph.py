@@ -588,6 +588,21 @@ def sanction_sources(spark, sf_dir):
     )
 
 
+@query(
+    "S10_strict_sources",
+    """
+SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer
+  WHERE c_nationkey % 4 IN (0, 2)
+UNION SELECT '0x' || lpad(lower(to_hex(s_suppkey + 1000000)), 40, '0') FROM supplier
+  WHERE s_nationkey % 3 IN (0, 1)
+UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders
+  WHERE o_orderstatus = 'F'""",
+)
+def strict_sources(spark, sf_dir):
+    found = sanctions.read_sanctions(spark, sanction_documents(spark, sf_dir), strict=True)
+    return labeling.validate_and_dedupe(found.select("raw_address"))
+
+
 @query(
     "S11_sdn_identifiers",
     "SELECT c_custkey AS uid, CASE c_custkey % 3 WHEN 0 THEN lpad(to_hex(c_custkey + 1), 40, '0') "
@@ -772,6 +787,20 @@ def edge_stage(spark, sf_dir):
     return sources.read_edges(spark, path)
 
 
+@query(
+    "C4_rejected_times",
+    check_sql(
+        "SELECT hash AS tx_hash, coalesce(\"from\", '') AS from_address FROM raw "
+        "WHERE block_timestamp IS NULL OR block_timestamp = 'soon'",
+        "raw",
+    ),
+)
+def rejected_times(spark, sf_dir):
+    path, rejects = scratch_path(spark, "edges"), scratch_path(spark, "rejects")
+    stages.edges_stage(spark, stored_transactions(spark, sf_dir), path, rejects_path=rejects)
+    return spark.read.parquet(rejects).select("tx_hash", "from_address")
+
+
 @query(
     "C5_nodes_stage",
     check_sql(
