@@ -73,9 +73,14 @@ def collect_slice(
 
 
 def merged_slice(transfers: DataFrame, part: Slice) -> DataFrame:
-    """Labeled slice plus every transfer of the counterparties, one row per hash."""
-    expanded = touching(transfers, part.counterparties)
-    return cleaning.merge_transactions([part.transfers, expanded])
+    """Labeled slice plus every transfer of the counterparties, one row per hash.
+
+    Rows without both ends go before deduplication, so that none of them stands for a hash.
+    """
+    frames = [part.transfers]
+    if part.counterparties.rows:
+        frames.append(touching(transfers, part.counterparties))
+    return cleaning.merge_transactions([f.filter(cleaning.has_both_ends()) for f in frames])
 
 
 def expand_and_merge(

@@ -303,5 +303,18 @@ def test_strict_scale_stops_the_slice(spark, tmp_path):
     assert part.verdict.first().verdict == "warning" and part.counterparties.rows == 5
 
 
+def test_slice_without_counterparties(spark):
+    layout = "tx_hash string, block_timestamp timestamp, from_address string, to_address string, value_wei string, rank_wei string"
+    rows = [("h", datetime(2024, 1, 1), "", "a", "1", "1"), ("h", datetime(2024, 1, 2), "a", "b", "1", "1")]
+    transfers = spark.createDataFrame(rows, layout)
+    labels = spark.createDataFrame([("a",), ("b",)], "address string")
+    part = stages.collect_slice(transfers, labels)
+    assert part.counterparties.rows == 0
+    merged = stages.merged_slice(transfers, part).collect()
+    assert [(r.tx_hash, r.from_address) for r in merged] == [("h", "a")]
+    with pytest.raises(ValueError, match="0 labeled"):
+        stages.collect_slice(transfers, labels.limit(0))
+
+
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")

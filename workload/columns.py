@@ -261,13 +261,15 @@ def time_texts(spark, sf_dir):
     "P9_parse_timestamp",
     check_sql(
         "SELECT hash, stamp, CASE WHEN stamp <> 'soon' THEN CAST(epoch_ms(CAST(stamp AS "
-        f"TIMESTAMPTZ)) AS BIGINT) END AS utc_millis FROM ({_TIME_TEXT_SQL})",
+        f"TIMESTAMPTZ)) AS VARCHAR) END AS utc_millis FROM ({_TIME_TEXT_SQL})",
         "raw",
     ),
 )
 def parse_times(spark, sf_dir):
     return time_texts(spark, sf_dir).select(
-        "hash", "stamp", F.unix_millis(parse_rfc3339(F.col("stamp"))).alias("utc_millis")
+        "hash",
+        "stamp",
+        F.unix_millis(parse_rfc3339(F.col("stamp"))).cast("string").alias("utc_millis"),
     )
 
 
@@ -289,23 +291,28 @@ def parse_strict(spark, sf_dir):
 @query(
     "P11_week_start",
     check_sql(
-        "SELECT tx_hash, CAST(date_trunc('week', ts) AS DATE) AS week_start FROM lines", "lines"
+        "SELECT tx_hash, CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start "
+        "FROM lines",
+        "lines",
     ),
 )
 def week_start(spark, sf_dir):
-    return lines(spark, sf_dir).select("tx_hash", period_start(F.col("ts")).alias("week_start"))
+    return lines(spark, sf_dir).select(
+        "tx_hash", period_start(F.col("ts")).cast("string").alias("week_start")
+    )
 
 
 @query(
     "P12_period_start",
     check_sql(
-        "SELECT tx_hash, CAST(ts AS DATE) AS day, CAST(date_trunc('week', ts) AS DATE) AS week, "
-        "CAST(date_trunc('month', ts) AS DATE) AS month FROM lines",
+        "SELECT tx_hash, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(CAST(date_trunc('week', "
+        "ts) AS DATE) AS VARCHAR) AS week, CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) "
+        "AS month FROM lines",
         "lines",
     ),
 )
 def periods(spark, sf_dir):
-    shown = [period_start(F.col("ts"), g).alias(g) for g in ("day", "week", "month")]
+    shown = [period_start(F.col("ts"), g).cast("string").alias(g) for g in ("day", "week", "month")]
     return lines(spark, sf_dir).select("tx_hash", *shown)
 
 

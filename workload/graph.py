@@ -33,7 +33,15 @@ from workload.standins import (
     transactions,
 )
 
-_EDGE_SQL = "SELECT src, dst, week_start, tx_count, total_value_wei FROM edges"
+_EDGE_SQL = (
+    "SELECT src, dst, CAST(week_start AS VARCHAR) AS week_start, tx_count, total_value_wei "
+    "FROM edges"
+)
+
+
+def dated(edges):
+    """Edges with the date as text, as the check SQL shows it."""
+    return edges.withColumn("week_start", F.col("week_start").cast("string"))
 
 
 def edges_of(spark, sf_dir):
@@ -46,9 +54,9 @@ def labels_of(spark, sf_dir):
 
 def _period_sql(unit):
     return check_sql(
-        "SELECT from_address AS src, to_address AS dst, CAST(date_trunc('"
+        "SELECT from_address AS src, to_address AS dst, CAST(CAST(date_trunc('"
         + unit
-        + "', block_timestamp) AS DATE) AS week_start, count(tx_hash) AS tx_count, "
+        + "', block_timestamp) AS DATE) AS VARCHAR) AS week_start, count(tx_hash) AS tx_count, "
         "CAST(sum(CAST(value_wei AS HUGEINT)) AS VARCHAR) AS total_value_wei, "
         "arg_min(value_wei, (block_timestamp, tx_hash, value_wei)) AS sample_value "
         "FROM tx GROUP BY 1, 2, 3",
@@ -58,22 +66,22 @@ def _period_sql(unit):
 
 @query("A1_weekly_edges", check_sql(_EDGE_SQL, "edges"))
 def weekly_edges(spark, sf_dir):
-    return edges_of(spark, sf_dir)
+    return dated(edges_of(spark, sf_dir))
 
 
 @query("A2_daily_edges", _period_sql("day"))
 def daily_edges(spark, sf_dir):
-    return aggregate_edges(transactions(spark, sf_dir), "day", sample=True)
+    return dated(aggregate_edges(transactions(spark, sf_dir), "day", sample=True))
 
 
 @query("A2_weekly_edges_with_sample", _period_sql("week"))
 def sampled_edges(spark, sf_dir):
-    return aggregate_edges(transactions(spark, sf_dir), "week", sample=True)
+    return dated(aggregate_edges(transactions(spark, sf_dir), "week", sample=True))
 
 
 @query("A2_monthly_edges", _period_sql("month"))
 def monthly_edges(spark, sf_dir):
-    return aggregate_edges(transactions(spark, sf_dir), "month", sample=True)
+    return dated(aggregate_edges(transactions(spark, sf_dir), "month", sample=True))
 
 
 @query(
@@ -175,13 +183,19 @@ _LATEST_SQL = (
 @query(
     "J8_contract_status",
     check_sql(
-        f"SELECT d.address, s.is_contract FROM degrees d LEFT JOIN {_LATEST_SQL} s "
+        "SELECT d.address, coalesce(CAST(s.is_contract AS VARCHAR), 'unknown') AS is_contract "
+        f"FROM degrees d LEFT JOIN {_LATEST_SQL} s "
         "ON d.address = s.address",
         "degrees",
         "status",
     ),
 )
 def status_lookup(spark, sf_dir):
+    found = F.coalesce(F.col("is_contract").cast("string"), F.lit("unknown"))
+    return resolved_by_status(spark, sf_dir).withColumn("is_contract", found)
+
+
+def resolved_by_status(spark, sf_dir):
     every = nodes.degrees(edges_of(spark, sf_dir), labels_of(spark, sf_dir)).select("address")
     return nodes.resolve_contracts(every, status=status_rows(spark, sf_dir))
 
@@ -195,7 +209,7 @@ def status_lookup(spark, sf_dir):
     ),
 )
 def unresolved(spark, sf_dir):
-    return nodes.unresolved_addresses(status_lookup(spark, sf_dir))
+    return nodes.unresolved_addresses(resolved_by_status(spark, sf_dir))
 
 
 _NODE_SQL = "SELECT address, is_contract, degree_in, degree_out, node_type FROM nodes"
@@ -268,7 +282,7 @@ def scale(spark, sf_dir):
 
 @query("O3_edges_in_order", check_sql(_EDGE_SQL + " ORDER BY 1, 2, 3", "edges"))
 def ordered_edges(spark, sf_dir):
-    return edges_of(spark, sf_dir).orderBy("src", "dst", "week_start")
+    return dated(edges_of(spark, sf_dir).orderBy("src", "dst", "week_start"))
 
 
 @query("O4_nodes_in_order", check_sql(_NODE_SQL + " ORDER BY address", "nodes"))
@@ -361,8 +375,8 @@ def scan_transactions(spark, sf_dir):
 @query(
     "S4_read_edges",
     check_sql(
-        "SELECT src, dst, CASE WHEN day(week_start) = 1 THEN DATE '1970-01-01' ELSE week_start "
-        "END AS week_start, CASE WHEN day(week_start) = 2 THEN 0 ELSE tx_count END AS tx_count, "
+        "SELECT src, dst, CASE WHEN day(week_start) = 1 THEN '1970-01-01' ELSE CAST(week_start AS "
+        "VARCHAR) END AS week_start, CASE WHEN day(week_start) = 2 THEN 0 ELSE tx_count END AS tx_count, "
         "total_value_wei FROM edges",
         "edges",
     ),
@@ -379,7 +393,7 @@ def read_edges(spark, sf_dir):
     )
     path = scratch_path(spark, "edges")
     raw.write.parquet(path)
-    return sources.read_edges(spark, path)
+    return dated(sources.read_edges(spark, path))
 
 
 @query(
@@ -674,7 +688,7 @@ def write_transactions(spark, sf_dir):
 def write_edges(spark, sf_dir):
     path = scratch_path(spark, "edges")
     sinks.write_edges(edges_of(spark, sf_dir), path)
-    return sources.read_edges(spark, path)
+    return dated(sources.read_edges(spark, path))
 
 
 @query("K4_write_nodes", check_sql(_NODE_SQL, "nodes"))
@@ -734,10 +748,11 @@ def metadata(spark, sf_dir):
 @query(
     "A8_table_status",
     check_sql(
-        "SELECT 'transactions' AS name, 'table' AS kind, true AS found, (SELECT count(*) FROM "
-        "uniq) AS n_records UNION ALL SELECT 'edges', 'table', true, (SELECT count(*) FROM edges) "
-        "UNION ALL SELECT 'nodes', 'table', false, NULL "
-        "UNION ALL SELECT 'nodes', 'metadata', false, NULL",
+        "SELECT 'transactions' AS name, 'table' AS kind, true AS found, CAST((SELECT count(*) "
+        "FROM uniq) AS VARCHAR) AS n_records UNION ALL SELECT 'edges', 'table', true, "
+        "CAST((SELECT count(*) FROM edges) AS VARCHAR) "
+        "UNION ALL SELECT 'nodes', 'table', false, 'none' "
+        "UNION ALL SELECT 'nodes', 'metadata', false, 'none'",
         "uniq",
         "edges",
     ),
@@ -747,7 +762,8 @@ def status_of_tables(spark, sf_dir):
     sinks.write_transactions(transactions(spark, sf_dir), paths["transactions"])
     sinks.write_edges(edges_of(spark, sf_dir), paths["edges"])
     report = quality.table_status(spark, paths, {"nodes": paths["nodes"] + "-notes"})
-    return report.drop("size_kb")
+    counted = F.coalesce(F.col("n_records").cast("string"), F.lit("none"))
+    return report.select("name", "kind", "found", counted.alias("n_records"))
 
 
 # Stages.
@@ -774,8 +790,8 @@ def expand_stage(spark, sf_dir):
 @query(
     "C4_edges_stage",
     check_sql(
-        "SELECT from_address AS src, to_address AS dst, CAST(date_trunc('week', block_timestamp) "
-        "AS DATE) AS week_start, count(*) AS tx_count, CAST(sum(CAST(value_wei AS HUGEINT)) AS "
+        "SELECT from_address AS src, to_address AS dst, CAST(CAST(date_trunc('week', "
+        "block_timestamp) AS DATE) AS VARCHAR) AS week_start, count(*) AS tx_count, CAST(sum(CAST(value_wei AS HUGEINT)) AS "
         "VARCHAR) AS total_value_wei FROM uniq GROUP BY 1, 2, 3",
         "uniq",
     ),
@@ -784,7 +800,7 @@ def edge_stage(spark, sf_dir):
     stored, path = scratch_path(spark, "transactions"), scratch_path(spark, "edges")
     sinks.write_transactions(transactions(spark, sf_dir), stored)
     stages.edges_stage(spark, stored, path)
-    return sources.read_edges(spark, path)
+    return dated(sources.read_edges(spark, path))
 
 
 @query(

@@ -9,7 +9,7 @@ from ledgerloom.streaming.jobs import (
     stream_edges,
     stream_rejects,
 )
-from workload.graph import landed_pages
+from workload.graph import dated, landed_pages
 from workload.registry import query
 from workload.standins import address_of, check_sql
 
@@ -68,7 +68,7 @@ def reject_stream(spark, sf_dir):
     "T2_stream_edges",
     """
 SELECT '0x' || lpad(lower(to_hex(user_id)), 40, '0') AS src, event_type AS dst,
-  CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS tx_count,
+  CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start, count(*) AS tx_count,
   CAST(sum(CAST(round(value * 100) AS HUGEINT)) AS VARCHAR) AS total_value_wei
 FROM events
 WHERE date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY
@@ -95,4 +95,4 @@ def edge_stream(spark, sf_dir):
         .trigger(availableNow=True)
     )
     start_with_state(spark, writer, spark.sparkContext.defaultParallelism).awaitTermination()
-    return spark.read.parquet(path)
+    return dated(spark.read.parquet(path))
