@@ -791,8 +791,8 @@ def expand_stage(spark, sf_dir):
     "C4_edges_stage",
     check_sql(
         "SELECT from_address AS src, to_address AS dst, CAST(CAST(date_trunc('week', "
-        "block_timestamp) AS DATE) AS VARCHAR) AS week_start, count(*) AS tx_count, CAST(sum(CAST(value_wei AS HUGEINT)) AS "
-        "VARCHAR) AS total_value_wei FROM uniq GROUP BY 1, 2, 3",
+        "block_timestamp) AS DATE) AS VARCHAR) AS week_start, count(*) AS tx_count, "
+        "CAST(sum(CAST(value_wei AS HUGEINT)) AS VARCHAR) AS total_value_wei FROM uniq GROUP BY 1, 2, 3",
         "uniq",
     ),
 )
