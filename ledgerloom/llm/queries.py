@@ -1,11 +1,14 @@
 """Registered queries: thin contracts over the operators of this folder."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import toxicity
+from ledgerloom.llm import bpe, exact_dedup, quality, simhash, toxicity
 from ledgerloom.llm.common import held_out, table
 from ledgerloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
+VOCABULARY = "byte_bpe_50k.json"
+
 
 @query("op1_toxicity")
 def op1_toxicity(spark, sf_dir):
@@ -18,3 +21,49 @@ def op1_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op10_simhash")
+def op10_simhash(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+@query(
+    "op7_exact_dedup",
+    """
+    SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+        doc_id = max(doc_id) OVER copies AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents
+    WINDOW copies AS (PARTITION BY coalesce(text, ''))
+    """,
+)
+def op7_exact_dedup(spark, sf_dir):
+    return exact_dedup.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+@query("op3_quality")
+def op3_quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    scored = quality.with_score(documents.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query("op4_bpe")
+def op4_bpe(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded_documents(documents, public_tokenizers.path(VOCABULARY)).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
