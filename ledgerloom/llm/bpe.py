@@ -17,6 +17,7 @@ rows are encoded each; extra columns stay; an empty table gives no rows.
 """
 
 import json
+import struct
 
 import pandas as pd
 import regex
@@ -27,7 +28,7 @@ from ledgerloom.llm.common import utf8
 # Fixed value: the pattern that cuts texts into words before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded words that a worker remembers.
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 500_000
 BLOCK_CHARS = 2_000_000
 _LOADED = {}
 
@@ -87,7 +88,7 @@ class Encoder:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
+                for begin in range(end - 1, max(-1, end - longest - 1), -1):
                     token = ids.get(word[begin:end])
                     if token is None:
                         continue
@@ -112,9 +113,8 @@ class Encoder:
         if len(self.memory) + len(words) > MEMORY_WORDS:
             self.memory.clear()
         ordered = sorted((w.encode(), w) for w in words)
-        pack = lambda found: b"".join(i.to_bytes(4, "little") for i in found)
         for (_, word), found in zip(ordered, self.encode_words([b for b, _ in ordered])):
-            self.memory[word] = pack(found)
+            self.memory[word] = struct.pack(f"<{len(found)}I", *found)
 
     def encode(self, texts):
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -148,7 +148,7 @@ class Encoder:
             missing = new
         self._learn(missing)
         known = self.memory.__getitem__
-        tail = lambda token: b"" if token is None else token.to_bytes(4, "little")
+        tail = lambda token: b"" if token is None else struct.pack("<I", token)
         return [b"".join(b"".join(map(known, words)) + tail(after) for words, after in p) for p in cut]
 
     def decode(self, ids: bytes) -> str:

@@ -87,6 +87,11 @@ def _forest(left, right, radius):
     return np.array(out, dtype=np.uint64).reshape(-1, 2).view(np.int64)
 
 
+def _tile_id(p, q, sub):
+    cell = (F.col(p) * 64 + F.col(q)).cast("long")
+    return F.shiftleft(cell, 40) + F.col(sub)
+
+
 def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS):
     """Links (a, b) between distinct fingerprints (column fp) at `radius` bits or fewer.
 
@@ -115,26 +120,24 @@ def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = T
     meets = meets.join(F.broadcast(others), ["p2", "q2"]).withColumn(
         "sub2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts2") - 1))
     )
-    own, other = F.struct("p", "q", "sub"), F.struct("p2", "q2", "sub2")
+    own, other = _tile_id("p", "q", "sub"), _tile_id("p2", "q2", "sub2")
     sides = meets.select(
         "fp",
         F.least(own, other).alias("one"),
         F.greatest(own, other).alias("two"),
         (own <= other).alias("left"),
-    ).select(
-        "fp", "left", F.xxhash64("one", "two").alias("pair"), (F.col("one") == F.col("two")).alias("same")
     )
 
     def compare(rows):
         fps = rows["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-        if rows["same"].iloc[0]:
+        if rows["one"].iloc[0] == rows["two"].iloc[0]:
             found = _forest(fps, None, radius)
         else:
             left = rows["left"].to_numpy(dtype=bool)
             found = _forest(fps[left], fps[~left], radius)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
-    return sides.groupBy("pair", "same").applyInPandas(compare, "a long, b long")
+    return sides.groupBy("one", "two").applyInPandas(compare, "a long, b long")
 
 
 def groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
