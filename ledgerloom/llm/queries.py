@@ -3,7 +3,18 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, quality, simhash, toxicity
+from ledgerloom.llm import (
+    bpe,
+    chat,
+    decontamination,
+    exact_dedup,
+    licenses,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 from ledgerloom.llm.common import held_out, table
 from ledgerloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -67,3 +78,72 @@ def op4_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op5_decontamination",
+    r"""
+    WITH cut AS (
+        SELECT 'd' AS kind, doc_id AS id,
+            regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        UNION ALL
+        SELECT 'b', item_id,
+            regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+    ), shingles AS (
+        SELECT DISTINCT kind, id, unnest(list_transform(
+            range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))) AS s
+        FROM cut WHERE len(w) >= 5
+    ), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'b' GROUP BY id)
+    SELECT d.id AS doc_id, b.id AS item_id, CAST(any_value(n) AS INTEGER) AS n_shingles,
+        CAST(count(*) AS INTEGER) AS n_shared, count(*) / any_value(n) AS containment
+    FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 'd' AND b.kind = 'b'
+    JOIN sizes ON sizes.id = b.id
+    GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n)
+    """,
+)
+def op5_decontamination(spark, sf_dir):
+    return decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_licenses")
+def op6_licenses(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = licenses.with_licenses(documents, licenses.prepare_templates(documents))
+    base, found = F.col("licenses.base"), F.col("licenses.found")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    best = F.coalesce(F.array_max(found["containment"]), F.lit(0.0))
+    return marked.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["word"]).alias("first_word"),
+        F.array_max(base["word"]).alias("last_word"),
+        joined(base["label"]).alias("base_labels"),
+        joined(F.concat(base["label"], found["label"])).alias("labels"),
+        F.when(F.size(base) > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
+@query("op2_warc")
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op8_chat")
+def op8_chat(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    rows = F.array(
+        *(F.struct(F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role")) for k, role in enumerate(("user", "assistant")))
+    )
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.explode(rows).alias("r"))
+    extra = extra.select("conv_id", "r.turn", "r.role", F.lit(probe).alias("text"))
+    formatted = chat.format_conversations(
+        conversations.unionByName(extra), public_tokenizers.path(VOCABULARY)
+    )
+    return chat.with_digests(formatted).select("conv_id", "read_back.*")
+
+
+@query("op9_sharding")
+def op9_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))

@@ -141,8 +141,9 @@ def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = T
 
 
 def groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) of every document row."""
-    marked = keep(with_fingerprint(documents.select("doc_id", "text")).drop("text"), "fingerprints")
+    """(doc_id, text_key, fp, component_id) of every document row; text_key hashes the text."""
+    texts = documents.select("doc_id", "text", F.xxhash64(utf8("text")).alias("text_key"))
+    marked = keep(with_fingerprint(texts).drop("text"), "fingerprints")
     firsts = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "firsts")
     links = keep(tile_links(firsts, radius), "tile-links")
     linked = firsts.join(components(links), F.col("fp") == F.col("node")).select("fp", "root", "first_id")
@@ -151,16 +152,18 @@ def groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     ids = firsts.join(joined, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
-    return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
+    # Written, so that both sides of the last join are plain scans and a hot fingerprint is split.
+    ids = keep(ids, "component-ids")
+    return marked.join(ids, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
 def first_of_each(documents: DataFrame) -> DataFrame:
     """Documents without near copies: the smallest id of each component stays.
 
-    Rows with a null id stay only if their component has no other id; rows that repeat an
-    id which stays are all kept here (exact dedup removes repeated rows).
+    A null id stays only if its component has no other id. Rows that repeat an id and a
+    text are all kept here (exact dedup removes repeated rows).
     """
     stays = groups(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stays.select(F.col("doc_id").alias("_id")).distinct()
-    kept = documents.join(ids, documents["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    return kept.select(*documents.columns)
+    stays = stays.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(utf8("text")) == F.col("_key"))
+    return documents.join(stays, same, "left_semi")

@@ -1,0 +1,83 @@
+import base64
+import gzip
+import hashlib
+import io
+
+import pytest
+
+from ledgerloom.llm import warc
+from ledgerloom.session import scratch_path
+
+PAGES = [
+    (3, "http://a/", "<p>one</p>"),
+    (1, "http://b/ü\r\nX: y", "<p>one</p>"),
+    (2, None, "<p>two</p>\r\n\r\nWARC/1.1\r\n"),
+    (4, "http://c", None),
+    (5, "http://d", ""),
+    (6, "http://e", "é" * 300_000),
+    (1, "http://b2", "<p>one</p>"),
+    (None, "http://n", "<p>one</p>"),
+    (None, "http://m", "only"),
+]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([r + (1, None) for r in rows], "page_id long, url string, html string, payload int, refers_to string")
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def expected(pages, least=0):
+    out = []
+    for page_id, _, html in pages:
+        data = (html or "").encode()
+        equal = [p for p, _, h in pages if (h or "") == (html or "") and p is not None]
+        first = min(equal, default=None)
+        revisit = len(data) >= least and first is not None and page_id != first
+        out.append((page_id, len(data), digest(html), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip(llm, least):
+    got = warc.round_trip(table(llm, PAGES), least, payloads=True).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == expected(PAGES, least)
+    by_id = {p: (h or "").encode() for p, _, h in PAGES}
+    assert all(bytes(r["payload"]) == by_id[r["page_id"]] for r in got if r["record_type"] == "response" and r["page_id"])
+
+
+def test_many_digests_are_joined_by_shuffle(llm, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert sorted(map(tuple, warc.round_trip(table(llm, PAGES)).collect()), key=str) == expected(PAGES)
+
+
+def test_archives_roll_over_and_are_plain_gzip(llm):
+    root = scratch_path(llm, "warc-test")
+    made = warc.write_archives(table(llm, PAGES).coalesce(1), root, archive_bytes=300).collect()
+    assert len(made) > 1 and sum(r["n_records"] for r in made) == len(PAGES)
+    for r in made:
+        with gzip.open(r["path"]) as file:
+            assert file.read().count(b"WARC-Type: warcinfo") == 1
+
+
+def test_empty_table(llm):
+    assert warc.round_trip(table(llm, PAGES).limit(0)).count() == 0
+
+
+def test_reader_steps_and_rejects_damage():
+    good = [warc.page_record(i, None, b"payload %d" % i * 50) for i in range(3)]
+    packed = b"".join(map(warc.member, good))
+    for chunk in (1, 7, 1 << 16):
+        assert list(warc.members(io.BytesIO(packed), chunk)) == good
+    assert [r[0] for r in warc.read_archive(io.BytesIO(packed))] == [0, 1, 2]
+    for damage in (
+        packed[:-3],
+        warc.member(good[0].replace(b"payload 0", b"payload X", 1)),
+        warc.member(good[0][:-1]),
+        warc.member(b"nothing"),
+        b"not gzip",
+    ):
+        with pytest.raises(warc.WarcError):
+            list(warc.read_archive(io.BytesIO(damage)))
