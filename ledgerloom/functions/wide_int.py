@@ -79,21 +79,44 @@ def numeric_desc(text: Column) -> list[Column]:
     return [F.length(text).desc(), text.desc()]
 
 
+def _binary_limbs(whole: Column) -> list[Column]:
+    """The four 32-bit parts of a non-negative double below 2^128, lowest first; exact."""
+    parts = []
+    for _ in range(4):
+        low = whole % F.lit(2.0**32)
+        parts.append(low.cast("bigint"))
+        whole = (whole - low) / F.lit(2.0**32)
+    return parts
+
+
+def _large_text(whole: Column) -> Column:
+    """Digits of a double below 2^128 from its 32-bit parts, in limbs of seven digits.
+
+    A part times seven digits of a power of 2^32 stays far below a bigint, and so do four
+    of them with a carry.
+    """
+    parts, base = _binary_limbs(whole), F.lit(_BASE)
+    limbs, carry = [], F.lit(0).cast("bigint")
+    for limb in range(_LIMB_COUNT):
+        total = carry
+        for i, part in enumerate(parts):
+            digits = 2 ** (32 * i) // _BASE**limb % _BASE
+            if digits:
+                total = total + part * F.lit(digits).cast("bigint")
+        limbs.append(F.lpad((total % base).cast("string"), _LIMB_DIGITS, "0"))
+        carry = F.call_function("div", total, base)
+    return F.ltrim(F.concat(*reversed(limbs)), F.lit("0"))
+
+
 def _integral_text(whole: Column) -> Column:
-    """Exact digits of a non-negative double without fraction.
+    """Exact digits of a non-negative double without fraction, below 2^128.
 
-    Below 2^63 the bigint cast is exact. Below 2^95 the double splits at 2^32 into two exact
-    bigints, recombined as decimals. Larger doubles (no real amount: 2^95 wei is 300 times
-    all ether) show their shortest digits padded with zeros.
+    Below 2^63 the bigint cast is exact. From 2^128 on, beyond every u128 amount, a double
+    shows its shortest digits padded with zeros.
     """
-    low = whole % F.lit(2.0**32)
-    high = (whole - low) / F.lit(2.0**32)
-    recombined = high.cast("bigint").cast("decimal(20,0)") * F.lit(2**32).cast(
-        "decimal(10,0)"
-    ) + low.cast("bigint").cast("decimal(20,0)")
     return (
         F.when(whole < F.lit(2.0**63), whole.cast("bigint").cast("string"))
-        .when(whole < F.lit(2.0**95), recombined.cast("string"))
+        .when(whole < F.lit(2.0**128), _large_text(whole))
         .otherwise(F.format_string("%.0f", whole))
     )
 

@@ -13,10 +13,18 @@ NATIVE_CATEGORIES = ("external", "internal")
 TRANSACTION_COLUMNS = ("tx_hash", "block_timestamp", "from_address", "to_address", "value_wei")
 
 
+def is_zero_value():
+    """The amount is known and zero; an exact amount wins over the double."""
+    exact = F.col("value_wei_text")
+    return F.coalesce(
+        F.when(exact.isNotNull(), canonical_u128(exact) == "0").otherwise(F.col("value") == 0),
+        F.lit(False),
+    )
+
+
 def is_native_transfer():
     """Category is native and the value is not zero; an unknown value passes."""
-    value = F.col("value")
-    return F.col("category").isin(*NATIVE_CATEGORIES) & (value.isNull() | (value != 0))
+    return F.col("category").isin(*NATIVE_CATEGORIES) & ~is_zero_value()
 
 
 def has_both_ends(sender: str = "from_address", receiver: str = "to_address"):
@@ -38,6 +46,7 @@ def classify_transfers(transfers: DataFrame, on_bad_ts: str = "reject") -> DataF
 
     Both outcomes stay in one frame, so a caller that wants the two tables and the counts
     reads the input once. `on_bad_ts="fail"` stops the job at malformed timestamp text.
+    Where the reader marks rows as `malformed`, that is the reason, and `raw` keeps the text.
     """
     if on_bad_ts not in ("reject", "fail"):
         raise ValueError(f"unknown on_bad_ts: {on_bad_ts}")
@@ -45,11 +54,14 @@ def classify_transfers(transfers: DataFrame, on_bad_ts: str = "reject") -> DataF
     blank = F.lit("")
     reason = (
         F.when(~F.coalesce(F.col("category").isin(*NATIVE_CATEGORIES), F.lit(False)), "category")
-        .when(F.col("value") == 0, "zero_value")
+        .when(is_zero_value(), "zero_value")
         .when(F.coalesce(F.col("to"), blank) == "", "empty_to")
         .when(F.coalesce(F.col("from"), blank) == "", "empty_from")
         .when(F.col("block_timestamp").isNull(), "bad_timestamp")
     )
+    marked = "malformed" in transfers.columns
+    if marked:
+        reason = F.coalesce("malformed", reason)
     exact = F.col("value_wei_text")
     typed = transfers.withColumn("block_timestamp", parse(F.col("block_timestamp")))
     return typed.select(
@@ -57,18 +69,21 @@ def classify_transfers(transfers: DataFrame, on_bad_ts: str = "reject") -> DataF
         "block_timestamp",
         F.col("from").alias("from_address"),
         F.col("to").alias("to_address"),
-        F.coalesce(exact, ether_to_wei(F.col("value"))).alias("value_wei"),
+        F.when(exact.isNotNull(), canonical_u128(exact))
+        .otherwise(ether_to_wei(F.col("value")))
+        .alias("value_wei"),
         F.when(exact.isNotNull(), canonical_u128(exact))
         .otherwise(ether_to_rank_wei(F.col("value")))
         .alias("rank_wei"),
         "block_number",
         "category",
         reason.alias("reject_reason"),
+        *(["raw"] if marked else []),
     )
 
 
 def accepted(classified: DataFrame) -> DataFrame:
-    return classified.filter("reject_reason is null").drop("reject_reason")
+    return classified.filter("reject_reason is null").drop("reject_reason", "raw")
 
 
 def rejected(classified: DataFrame) -> DataFrame:
@@ -96,20 +111,29 @@ def to_transactions(transfers: DataFrame, checksum: bool = True) -> DataFrame:
     return with_checksums(rows, "from_address", "to_address") if checksum else rows
 
 
-def drop_repeats(df: DataFrame, key_cols=("tx_hash",), precedence=()) -> DataFrame:
+def drop_repeats(
+    df: DataFrame, key_cols=("tx_hash",), precedence=(), copies: str | None = None
+) -> DataFrame:
     """One row per key: the smallest by `precedence`, then by all other columns.
 
+    `copies` names a column for the number of rows of the key.
+
     "First seen" needs a total order to be repeatable; nulls come first in it. The minimum
     is combined on the map side, so a key with very many copies leaves each task as one row.
     """
     rest = [c for c in df.columns if c not in key_cols]
     order = [*precedence, *(c for c in rest if c not in precedence)]
-    smallest = F.min(F.struct(*order)).alias("_first")
-    kept = df.groupBy(*key_cols).agg(smallest)
-    return kept.select(*key_cols, *(F.col("_first")[c].alias(c) for c in rest)).select(*df.columns)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    kept = df.groupBy(*key_cols).agg(F.min(F.struct(*order)).alias("_first"), *counted)
+    shown = kept.select(
+        *key_cols, *(F.col("_first")[c].alias(c) for c in rest), *([copies] if copies else [])
+    )
+    return shown.select(*df.columns, *([copies] if copies else []))
 
 
-def merge_transactions(frames: list[DataFrame], key_cols=("tx_hash",)) -> DataFrame:
+def merge_transactions(
+    frames: list[DataFrame], key_cols=("tx_hash",), copies: str | None = None
+) -> DataFrame:
     """Union in priority order, then one row per key; an earlier frame wins."""
     ranked = [
         frame.select(*TRANSACTION_COLUMNS).withColumn("origin_rank", F.lit(rank))
@@ -118,7 +142,8 @@ def merge_transactions(frames: list[DataFrame], key_cols=("tx_hash",)) -> DataFr
     merged = ranked[0]
     for frame in ranked[1:]:
         merged = merged.unionByName(frame)
-    return drop_repeats(merged, key_cols, ("origin_rank", "block_timestamp")).drop("origin_rank")
+    first = drop_repeats(merged, key_cols, ("origin_rank", "block_timestamp"), copies)
+    return first.drop("origin_rank")
 
 
 def repeat_counts(df: DataFrame, key_cols=("tx_hash",)) -> DataFrame:

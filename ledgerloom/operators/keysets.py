@@ -8,6 +8,8 @@ from ledgerloom.session import write_scratch
 
 # A broadcast set holds at most this many 42-character keys, about 200 MB once hashed.
 BROADCAST_KEYS = 1_000_000
+# Fixed value: the bits of one bitmap of Spark's bitmap functions.
+_BITMAP_BITS = 32_768
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,8 @@ def key_set(df: DataFrame, column: str = "address") -> KeySet:
 
 
 def _placed(side: DataFrame, keys: KeySet, limit: int) -> DataFrame:
-    return F.broadcast(side) if keys.fits_broadcast(limit) else side.hint("shuffle_hash")
+    """Broadcast a set within the limit; beyond it the join strategy is left to Spark."""
+    return F.broadcast(side) if keys.fits_broadcast(limit) else side
 
 
 def flag_members(
@@ -42,9 +45,8 @@ def flag_members(
     """Add boolean `flag`: is the lowercase `column` in the set?
 
     A set within the limit is broadcast, so `rows` is not shuffled. A larger one is joined
-    by shuffle, hashed per partition so that `rows` is not sorted. Its keys are unique, so a
-    hot address is skewed only on the `rows` side, which adaptive execution splits by map
-    range.
+    by shuffle; its keys are unique, so a hot address is skewed only on the `rows` side,
+    which adaptive execution splits by map range.
     """
     side = keys.table.select(F.col("key").alias("_member"), F.lit(True).alias("_hit"))
     side = _placed(side, keys, limit)
@@ -57,25 +59,60 @@ def touching(
 ) -> DataFrame:
     """Transfers from or to the set, each once, with flags `from_hit` and `to_hit`.
 
-    One scan serves both directions.
+    One scan serves both directions. Beyond the broadcast limit a compact filter of the keys
+    goes first, so that (almost) only matching rows are shuffled.
     """
-    flagged = flag_members(transfers, "from_address", keys, "from_hit", limit)
+    rows = _likely(transfers, keys, limit, "from_address", "to_address")
+    flagged = flag_members(rows, "from_address", keys, "from_hit", limit)
     flagged = flag_members(flagged, "to_address", keys, "to_hit", limit)
     return flagged.filter("from_hit or to_hit")
 
 
+def _filter_bits(keys: KeySet) -> int:
+    """A power of two, about 16 bits a key: 128 KB to 128 MB as a whole."""
+    return 1 << min(max((16 * keys.rows).bit_length(), 20), 30)
+
+
+def _bit_of(column, bits: int):
+    place = F.pmod(F.xxhash64(F.lower(column)), F.lit(bits))
+    return F.call_function("div", place, F.lit(_BITMAP_BITS)), place % F.lit(_BITMAP_BITS)
+
+
+def _likely(rows: DataFrame, keys: KeySet, limit: int, *columns: str) -> DataFrame:
+    """Rows with a key in one of the columns, and a few others; all of them if the set is
+    small enough to broadcast. The filter is a bitmap over hashes, broadcast in pieces; its
+    size is bounded, and it has no false negatives."""
+    if keys.fits_broadcast(limit):
+        return rows
+    bits = _filter_bits(keys)
+    piece, bit = _bit_of(F.col("key"), bits)
+    pieces = keys.table.select(piece.alias("_piece"), bit.alias("_bit")).groupBy("_piece")
+    pieces = write_scratch(pieces.agg(F.bitmap_construct_agg("_bit").alias("_bitmap")), "filter")
+    found = F.lit(False)
+    for number, column in enumerate(columns):
+        piece, bit = _bit_of(F.col(column), bits)
+        side = pieces.select(
+            F.col("_piece").alias(f"_piece{number}"), F.col("_bitmap").alias(f"_bitmap{number}")
+        )
+        rows = rows.join(F.broadcast(side), piece == F.col(f"_piece{number}"), "left")
+        byte = F.substring(F.col(f"_bitmap{number}"), (bit / 8).cast("int") + 1, F.lit(1))
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        hit = F.call_function("shiftright", value, (bit % 8).cast("int")) % 2 == 1
+        found = found | F.coalesce(hit, F.lit(False))
+    extra = [c for c in rows.columns if c.startswith(("_piece", "_bitmap"))]
+    return rows.filter(found).drop(*extra)
+
+
 def outgoing(transfers: DataFrame, keys: KeySet, limit: int = BROADCAST_KEYS) -> DataFrame:
     """Transfers whose sender is in the set."""
-    return flag_members(transfers, "from_address", keys, "_hit_from", limit).filter(
-        "_hit_from"
-    ).drop("_hit_from")
+    rows = _likely(transfers, keys, limit, "from_address")
+    return rows.join(_placed(keys.table, keys, limit), F.lower(rows["from_address"]) == F.col("key"), "left_semi")
 
 
 def incoming(transfers: DataFrame, keys: KeySet, limit: int = BROADCAST_KEYS) -> DataFrame:
     """Transfers whose receiver is in the set."""
-    return flag_members(transfers, "to_address", keys, "_hit_to", limit).filter(
-        "_hit_to"
-    ).drop("_hit_to")
+    rows = _likely(transfers, keys, limit, "to_address")
+    return rows.join(_placed(keys.table, keys, limit), F.lower(rows["to_address"]) == F.col("key"), "left_semi")
 
 
 def without_members(

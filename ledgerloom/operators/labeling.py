@@ -9,6 +9,8 @@ from ledgerloom.functions.addresses import (
     prefixed_addresses,
 )
 from ledgerloom.functions.checksum import checksum_address
+from ledgerloom.operators.keysets import BROADCAST_KEYS
+from ledgerloom.session import write_scratch
 
 LABEL_SANCTIONED = 1  # Fixed value: the label of a sanctioned address.
 LABEL_SOURCE = "OFAC_SDN"  # Fixed value: default source name of the label table.
@@ -67,6 +69,25 @@ def address_dimension(df: DataFrame, *columns: str) -> DataFrame:
     return distinct.withColumn("checksum", checksum_address(F.col("key")))
 
 
+def show_checksums(rows: DataFrame, *columns: str) -> DataFrame:
+    """Well-formed addresses of the columns in checksum form; other text stays as it is.
+
+    Every distinct address is hashed once, into a table that is written and joined back
+    (broadcast while it is small). `rows` is read twice: pass a written table.
+    """
+    dimension = write_scratch(address_dimension(rows, *columns), "checksums")
+    few = dimension.count() <= BROADCAST_KEYS
+    shown = rows
+    for number, column in enumerate(columns):
+        side = dimension.select(
+            F.col("key").alias(f"_key{number}"), F.col("checksum").alias(f"_shown{number}")
+        )
+        key = address_key(F.col(column))
+        shown = shown.join(F.broadcast(side) if few else side, key == F.col(f"_key{number}"), "left")
+        shown = shown.withColumn(column, F.coalesce(f"_shown{number}", column))
+    return shown.select(*rows.columns)
+
+
 def drop_zero_address(df: DataFrame, column: str = "key") -> DataFrame:
     return df.filter(~is_zero_address(F.col(column)))
 

@@ -82,10 +82,9 @@ def parse_node_type(text: Column) -> Column:
 
 
 def latest_status(status: DataFrame) -> DataFrame:
-    """Newest contract status per lowercase address (`resolved_at` decides)."""
-    return status.groupBy(F.lower("address").alias("key")).agg(
-        F.max_by("is_contract", "resolved_at").alias("is_contract")
-    )
+    """Newest contract status per lowercase address (`resolved_at`, then true, decides)."""
+    newest = F.max_by("is_contract", F.struct("resolved_at", "is_contract"))
+    return status.groupBy(F.lower("address").alias("key")).agg(newest.alias("is_contract"))
 
 
 def resolve_contracts(

@@ -2,24 +2,20 @@
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.times import period_start
-from ledgerloom.operators.keysets import BROADCAST_KEYS
-from ledgerloom.session import write_scratch
 
-# The default limits of a collection run.
+# The first block's time, and the defaults of a collection run.
 GENESIS = datetime(2015, 7, 30, 15, 26, 13, tzinfo=timezone.utc)
-MAX_WEEKS = 600
 MIN_LABELS = 1
-MAX_LABELS = 250_000
 BLOCK_CHUNK = 500_000
 TRANSFERS_PER_CHUNK = 100 * 1000
 
 
-def window_bounds(end: datetime, weeks: int, max_weeks: int = MAX_WEEKS):
-    """(start, end) of the last `weeks` weeks, clamped to `max_weeks`."""
-    return end - timedelta(weeks=min(weeks, max_weeks)), end
+def window_bounds(end: datetime, weeks: int | None = None):
+    """(start, end) of the last `weeks` weeks; without `weeks` the window starts at genesis."""
+    return (GENESIS if weeks is None else end - timedelta(weeks=weeks)), end
 
 
 def select_window(df: DataFrame, start, end, column: str = "block_timestamp") -> DataFrame:
@@ -42,59 +38,30 @@ def select_blocks(df: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def bound_labels(
-    labels: DataFrame, minimum: int = MIN_LABELS, maximum: int = MAX_LABELS
+    labels: DataFrame, minimum: int = MIN_LABELS, maximum: int | None = None
 ) -> DataFrame:
-    """Fail below `minimum` labels, keep the first `maximum` by address."""
+    """Fail below `minimum` labels or above `maximum` (no bound by default); never cut."""
     count = labels.count()
     if count < minimum:
         raise ValueError(f"{count} labeled addresses found, at least {minimum} needed")
-    return labels.orderBy("address").limit(maximum) if count > maximum else labels
+    if maximum is not None and count > maximum:
+        raise ValueError(f"{count} labeled addresses found, at most {maximum} allowed")
+    return labels
 
 
-def cap_per_address(
+def oversized_groups(
     rows: DataFrame,
-    cap: int = TRANSFERS_PER_CHUNK,
+    size: int = TRANSFERS_PER_CHUNK,
     block_chunk: int = BLOCK_CHUNK,
     first_block: int = 0,
-) -> tuple[DataFrame, DataFrame]:
-    """Keep the first `cap` rows of each (address, direction, block chunk).
-
-    Order within a chunk is (block_number, tx_hash). Returns the kept rows and a report of
-    the capped groups. The cuts are found from row counts per block (a chunk has at most
-    `block_chunk` of them), so no task sorts a whole hot address: rows are ranked only in
-    the single block where the cap falls (with room 0 that block is dropped as a whole).
-    The cuts are written and counted, so that `rows` is joined without a shuffle while they
-    are few, and returned as they are when nothing is capped.
+) -> DataFrame:
+    """(address, direction, chunk, total, above) of the groups with more than `size` rows.
+
+    A provider that pages at most `size` transfers per address, direction and block chunk
+    would have cut these groups. Nothing is cut here.
     """
-    group = ["address", "direction", "chunk"]
     chunk = F.floor((F.col("block_number") - F.lit(first_block)) / F.lit(block_chunk))
-    chunked = rows.withColumn("chunk", chunk)
-    per_block = chunked.groupBy(*group, "block_number").agg(F.count(F.lit(1)).alias("n_rows"))
-    running = Window.partitionBy(*group).orderBy("block_number")
-    counted = per_block.withColumn("upto", F.sum("n_rows").over(running)).withColumn(
-        "total", F.sum("n_rows").over(Window.partitionBy(*group))
-    )
-    before = F.col("upto") - F.col("n_rows")
-    cuts = counted.filter((F.col("upto") > cap) & (before <= cap)).select(
-        *group,
-        F.col("block_number").alias("cut_block"),
-        (F.lit(cap) - before).alias("room"),
-        "total",
-    )
-    cuts = write_scratch(cuts, "cuts")
-    n_cuts = cuts.count()
-    report = cuts.select(*group, "total", (F.col("total") - F.lit(cap)).alias("dropped"))
-    if n_cuts == 0:
-        return rows, report
-    marked = chunked.join(F.broadcast(cuts) if n_cuts <= BROADCAST_KEYS else cuts, group, "left")
-    below = marked.filter("cut_block is null or block_number < cut_block")
-    in_block = Window.partitionBy(*group).orderBy(
-        "tx_hash", *[c for c in rows.columns if c not in ("tx_hash", *group)]
-    )
-    at_cut = (
-        marked.filter("block_number = cut_block")
-        .withColumn("_n", F.row_number().over(in_block))
-        .filter("_n <= room")
-        .drop("_n")
+    counted = rows.groupBy("address", "direction", chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).alias("total")
     )
-    return below.unionByName(at_cut).select(*rows.columns), report
+    return counted.filter(F.col("total") > size).withColumn("above", F.col("total") - F.lit(size))

@@ -33,16 +33,6 @@ TRANSACTIONS_DISK = T.StructType(
     ]
 )
 
-TRANSACTIONS_TYPED = T.StructType(
-    [
-        T.StructField("tx_hash", T.StringType()),
-        T.StructField("block_timestamp", T.TimestampType()),
-        T.StructField("from_address", T.StringType()),
-        T.StructField("to_address", T.StringType()),
-        T.StructField("value_wei", T.StringType()),
-    ]
-)
-
 EDGES_DISK = T.StructType(
     [
         T.StructField("src", T.StringType()),
@@ -71,12 +61,15 @@ CONTRACT_STATUS = T.StructType(
     ]
 )
 
+CORRUPT = "_corrupt_record"
+
 TRANSFER = T.StructType(
     [
         T.StructField("hash", T.StringType()),
         T.StructField("from", T.StringType()),
         T.StructField("to", T.StringType()),
-        T.StructField("value", T.DoubleType()),
+        # Read as text, so that a value of the wrong type is seen and not just null.
+        T.StructField("value", T.StringType()),
         T.StructField("asset", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("blockNum", T.StringType()),
@@ -95,6 +88,8 @@ TRANSFER_PAGE = T.StructType(
         T.StructField("direction", T.StringType()),
         T.StructField("transfers", T.ArrayType(TRANSFER)),
         T.StructField("pageKey", T.StringType()),
+        # The text of a page that is not of this form, by Spark's JSON reader.
+        T.StructField(CORRUPT, T.StringType()),
     ]
 )
 
@@ -145,18 +140,6 @@ DISTINCT_PARTY = T.StructType(
 )
 
 
-class NodeType(str, Enum):
-    EOA = "eoa"
-    CONTRACT = "contract"
-    HUB = "hub"
-
-
-class Granularity(str, Enum):
-    DAY = "day"
-    WEEK = "week"
-    MONTH = "month"
-
-
 class Ranking(str, Enum):
     TOTAL_VALUE = "total_value"
     TRANSACTION_COUNT = "transaction_count"

@@ -1,6 +1,5 @@
 """Session settings and the shared work folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,8 @@ def build_session(app_name="ledgerloom", master=None, **conf):
     """A session with the settings the operators expect; extra `conf` wins."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        # Exact sums rely on overflow raising instead of wrapping.
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
@@ -28,25 +29,22 @@ def build_session(app_name="ledgerloom", master=None, **conf):
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Week and day boundaries are UTC; pin the session zone where it differs."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin what results depend on: days are UTC, and an overflow raises."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.ansi.enabled", "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is unset, a folder in the session's warehouse, which Spark's own tables need
+    on shared storage too.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,6 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables; call it when their results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+    )
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write `df` once to the shared folder and scan it from there."""
     spark = df.sparkSession

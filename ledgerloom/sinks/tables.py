@@ -7,12 +7,9 @@ counted too.
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from ledgerloom.functions.times import format_rfc3339
-from ledgerloom.operators.cleaning import (
-    TRANSACTION_COLUMNS,
-    drop_repeats,
-    has_both_ends,
-    with_checksums,
-)
+from ledgerloom.operators.cleaning import TRANSACTION_COLUMNS, drop_repeats, has_both_ends
+from ledgerloom.operators.labeling import show_checksums
+from ledgerloom.session import write_scratch
 
 
 def _write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
@@ -23,7 +20,7 @@ def _write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
 
 
 def write_labels(labels: DataFrame, path: str) -> int:
-    """Label table by address, times as text."""
+    """Label table by address, times as text. `labels` is read twice: by sampling, and to sort."""
     shown = labels.withColumn("retrieved_at", format_rfc3339(F.col("retrieved_at")))
     return _write(shown.orderBy("address"), path)
 
@@ -47,15 +44,15 @@ def write_transactions(
 ) -> int:
     """Transaction table, times as text. `deduplicate=False` is for rows already unique.
 
-    Checksums come after the sort: its sampling pass would run them twice otherwise.
+    Checksums are made once per distinct address, from rows written before.
     """
+    rows = transactions.select(*TRANSACTION_COLUMNS).filter(has_both_ends())
     if deduplicate:
-        rows = transactions_to_store(transactions, key_cols)
-    else:
-        usable = transactions.select(*TRANSACTION_COLUMNS).filter(has_both_ends())
-        rows = order_transactions(usable)
+        rows = drop_repeats(rows, key_cols, ("block_timestamp",))
     if checksum:
-        rows = with_checksums(rows, "from_address", "to_address")
+        rows = write_scratch(rows, "unique") if deduplicate else rows
+        rows = show_checksums(rows, "from_address", "to_address")
+    rows = order_transactions(rows)
     return _write(
         rows.withColumn("block_timestamp", format_rfc3339(F.col("block_timestamp"))), path
     )

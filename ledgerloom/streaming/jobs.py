@@ -1,16 +1,24 @@
-"""Resumable cleaning of landed pages, and edges over a stream."""
+"""Resumable cleaning of landed pages, and edges over a stream.
+
+Both jobs keep no state between batches and no watermark, so nothing that arrives late is
+lost and nothing grows: cleaned rows are appended as they come and made unique on reading,
+edges are stored as sums per batch and added up on reading.
+"""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions.times import period_start
-from ledgerloom.functions.wide_int import fold_limbs, limb_sums, padded_u128
-from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient, rejected
+from ledgerloom.operators.cleaning import (
+    accepted,
+    classify_transfers,
+    drop_repeats,
+    fill_recipient,
+    rejected,
+)
+from ledgerloom.operators.edges import edge_parts, fold_parts
 from ledgerloom.session import use_utc
 from ledgerloom.sources.transfers import stream_transfer_pages
 
-# A week window of Spark starts on Thursday (the epoch); four days later is Monday.
-_WEEK, _MONDAY = "7 days", "4 days"
-
 
 def clean_pages(pages: DataFrame) -> DataFrame:
     return classify_transfers(fill_recipient(pages))
@@ -21,83 +29,63 @@ def stream_clean(
     source: str,
     path: str,
     checkpoint: str,
-    lateness: str | None = None,
     max_files_per_trigger: int | None = None,
-    state_partitions: int | None = None,
 ):
     """Start a run over the pages landed so far; returns the query.
 
-    The checkpoint records finished files and seen hashes, so a restart after a crash
-    continues where the last run ended and repeats nothing. Without `lateness` every hash
-    is remembered for good; with it only as long as the watermark allows, which is right
-    for feeds whose repeats arrive within that time. Output is partitioned by month: after
-    the hash shuffle every task writes every partition of its batch, and days would leave
-    very many small files in a backfill. `state_partitions` is the number of parts the seen
-    hashes are kept in, fixed for the life of the checkpoint.
+    Accepted and rejected rows come from one pass and one checkpoint, partitioned by outcome
+    and month, so each row is in exactly one of them. The checkpoint records finished files:
+    a restart after a crash continues where the last run ended and repeats nothing.
     """
     use_utc(spark)
-    pages = stream_transfer_pages(spark, source, max_files_per_trigger)
-    rows = accepted(clean_pages(pages))
-    if lateness is None:
-        unique = rows.dropDuplicates(["tx_hash"])
-    else:
-        late = rows.withWatermark("block_timestamp", lateness)
-        unique = late.dropDuplicatesWithinWatermark(["tx_hash"])
-    writer = (
-        unique.withColumn("block_month", period_start(F.col("block_timestamp"), "month"))
+    rows = clean_pages(stream_transfer_pages(spark, source, max_files_per_trigger))
+    outcome = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
+    return (
+        rows.withColumn("outcome", outcome)
+        .withColumn("block_month", period_start(F.col("block_timestamp"), "month"))
         .writeStream.format("parquet")
         .option("path", path)
         .option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
-        .partitionBy("block_month")
+        .partitionBy("outcome", "block_month")
         .trigger(availableNow=True)
+        .start()
     )
-    return start_with_state(spark, writer, state_partitions)
 
 
-def start_with_state(spark: SparkSession, writer, state_partitions: int | None = None):
-    """Start a stateful stream; it keeps the partition count it sees when it starts."""
-    if state_partitions is None:
-        return writer.start()
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(setting, before)
+def read_accepted(spark: SparkSession, path: str, key_cols=("tx_hash",)) -> DataFrame:
+    """One accepted row per key, the earliest (then the smallest), whatever landed first."""
+    rows = accepted(spark.read.parquet(path).filter("outcome = 'accepted'")).drop("outcome")
+    return drop_repeats(rows, key_cols, ("block_timestamp",))
 
 
-def stream_rejects(spark: SparkSession, source: str, path: str, checkpoint: str):
-    """The rows `stream_clean` leaves out, with their reason."""
-    use_utc(spark)
-    rows = rejected(clean_pages(stream_transfer_pages(spark, source)))
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Every rejected row with its reason, and the raw text where it could not be read."""
+    rows = spark.read.parquet(path).filter("outcome = 'rejected'")
+    return rejected(rows).drop("outcome", "block_month")
+
+
+def stream_edges(
+    transactions: DataFrame, path: str, checkpoint: str, granularity: str = "week"
+):
+    """Start a run that stores the edge sums of every batch; returns the query.
+
+    A batch that runs again after a crash replaces its own sums.
+    """
+    use_utc(transactions.sparkSession)
+
+    def store(batch, number):
+        parts = edge_parts(batch, granularity)
+        parts.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={number}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", path)
+        transactions.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def stream_edges(transactions: DataFrame, lateness: str = "14 days") -> DataFrame:
-    """Weekly edges of a transaction stream; a week is final once the watermark passes it."""
-    use_utc(transactions.sparkSession)
-    rows = transactions.withWatermark("block_timestamp", lateness).select(
-        F.coalesce("from_address", F.lit("")).alias("src"),
-        F.coalesce("to_address", F.lit("")).alias("dst"),
-        "block_timestamp",
-        padded_u128(F.col("value_wei")).alias("_padded"),
-    )
-    week = F.window("block_timestamp", _WEEK, _WEEK, _MONDAY).alias("week")
-    sums = rows.groupBy("src", "dst", week).agg(
-        F.count(F.lit(1)).alias("tx_count"), *limb_sums(F.col("_padded"), "_w")
-    )
-    return fold_limbs(sums, "_w", "total_value_wei").select(
-        "src",
-        "dst",
-        F.to_date("week.start").alias("week_start"),
-        "tx_count",
-        "total_value_wei",
-    )
+def read_stream_edges(spark: SparkSession, path: str) -> DataFrame:
+    """Edges of everything stored so far, open periods included."""
+    return fold_parts(spark.read.parquet(path))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import cleaning, labeling, nodes, quality, ranking, selecting
 from ledgerloom.operators.edges import aggregate_edges
-from ledgerloom.operators.keysets import key_set, touching, without_members
+from ledgerloom.operators.keysets import _likely, key_set, touching, without_members
 
 TX = "tx_hash string, block_timestamp timestamp, from_address string, to_address string, value_wei string"
 
@@ -151,10 +151,29 @@ def test_touching_both_ways(spark, limit):
 def test_large_key_sets_are_not_broadcast(spark):
     keys = key_set(spark.createDataFrame([("0xa",)], "address string"))
     rows = tx_frame(spark, [("h", at(1), "0xa", "0xb", "1")])
-    large = touching(rows, keys, limit=0)._jdf.queryExecution().executedPlan().toString()
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        large = touching(rows, keys, limit=0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
     small = touching(rows, keys)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in large and "ShuffledHashJoin" in large
-    assert "ShuffledHashJoin" not in small and "BroadcastHashJoin" in small
+    # The two broadcasts are the pieces of the key filter, below the joins that shuffle.
+    assert large.count("SortMergeJoin") == 2 and large.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" not in small and "Exchange hashpartitioning" not in small
+
+
+def test_key_filter_passes_all_matches_and_few_others(spark):
+    keys = key_set(spark.range(3000).select(F.concat(F.lit("0xK"), "id").alias("address")))
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("0xk"), "id").alias("from_address"), F.lit(None).cast("string").alias("to_address")
+    )
+    passed = _likely(rows, keys, 0, "from_address", "to_address")
+    assert passed.columns == rows.columns
+    number = F.substring("from_address", 4, 9).cast("int")
+    assert passed.filter(number < 3000).count() == 3000
+    assert passed.count() < 4000
 
 
 def test_hot_address_is_split_in_large_joins(spark):
@@ -162,6 +181,7 @@ def test_hot_address_is_split_in_large_joins(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
     rows = spark.range(0, 200_000, 1, 8).select(
         F.col("id").cast("string").alias("tx_hash"),
@@ -327,9 +347,9 @@ def test_invalid_address_text_is_kept(spark):
     assert row.to_address.lower() == "0x" + "ab" * 20 and row.to_address != row.to_address.lower()
 
 
-@pytest.mark.parametrize("cap", [1, 2, 5, 7, 100])
-def test_cap_matches_ranking(spark, cap):
-    rng = random.Random(cap)
+@pytest.mark.parametrize("size", [1, 2, 5, 7, 100])
+def test_oversized_groups_are_reported(spark, size):
+    rng = random.Random(size)
     rows = [
         (f"h{i}", rng.choice("ab"), rng.choice(["from", "to"]), rng.randrange(0, 40))
         for i in range(120)
@@ -337,36 +357,34 @@ def test_cap_matches_ranking(spark, cap):
     frame = spark.createDataFrame(
         rows, "tx_hash string, address string, direction string, block_number bigint"
     )
-    kept, report = selecting.cap_per_address(frame, cap, block_chunk=10, first_block=0)
-    expected, dropped = [], {}
-    groups = {}
+    totals = {}
     for row in rows:
-        groups.setdefault((row[1], row[2], row[3] // 10), []).append(row)
-    for key, group in groups.items():
-        group.sort(key=lambda r: (r[3], r[0]))
-        expected += group[:cap]
-        if len(group) > cap:
-            dropped[key] = len(group) - cap
-    assert values(kept, *frame.columns) == sorted(expected)
-    assert {(r.address, r.direction, r.chunk): r.dropped for r in report.collect()} == dropped
+        key = (row[1], row[2], row[3] // 10)
+        totals[key] = totals.get(key, 0) + 1
+    report = selecting.oversized_groups(frame, size, block_chunk=10).collect()
+    found = {(r.address, r.direction, r.chunk): (r.total, r.above) for r in report}
+    assert found == {k: (n, n - size) for k, n in totals.items() if n > size}
 
 
-def test_window_bounds_are_clamped(spark):
+def test_window_bounds(spark):
     end = datetime(2024, 1, 8, tzinfo=timezone.utc)
     start, _ = selecting.window_bounds(end, 1)
-    assert selecting.window_bounds(end, 900) == selecting.window_bounds(end, 600)
     rows = tx_frame(
         spark, [(str(d), at(d), "a", "b", "1") for d in (1, 7, 8)] + [("n", None, "a", "b", "1")]
     )
     assert values(selecting.select_window(rows, start, end), "tx_hash") == [("1",), ("7",)]
-    earliest = selecting.window_bounds(datetime(2026, 1, 1, tzinfo=timezone.utc), 10**6)[0]
-    assert earliest < selecting.GENESIS
+    # No number of weeks is too many, and none at all reaches back to the first block.
+    late = datetime(2030, 1, 1, tzinfo=timezone.utc)
+    assert (late - selecting.window_bounds(late, 700)[0]).days == 4900
+    assert selecting.window_bounds(late) == (selecting.GENESIS, late)
 
 
 def test_label_bounds(spark):
     labels = spark.createDataFrame([(c,) for c in "dbca"], "address string")
-    assert values(selecting.bound_labels(labels, 1, 2), "address") == [("a",), ("b",)]
+    assert selecting.bound_labels(labels).count() == 4
     assert selecting.bound_labels(labels, 1, 4).count() == 4
+    with pytest.raises(ValueError, match="at most 2"):
+        selecting.bound_labels(labels, 1, 2)
     with pytest.raises(ValueError, match="at least 5"):
         selecting.bound_labels(labels, minimum=5)
 

@@ -14,7 +14,13 @@ from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import contracts, sanctions
 from ledgerloom.sources import tables as sources
 from ledgerloom.sources.transfers import read_transfer_pages
-from ledgerloom.streaming.jobs import stream_clean, stream_edges, stream_rejects
+from ledgerloom.streaming.jobs import (
+    read_accepted,
+    read_rejected,
+    read_stream_edges,
+    stream_clean,
+    stream_edges,
+)
 
 VITALIK = "0xd8dA6BF26964aF9D7eEd9e03E53415D37aA96045"
 
@@ -200,29 +206,41 @@ def test_metadata_and_status(spark, tmp_path):
 def run_stream(spark, tmp_path, **options):
     out, marks = str(tmp_path / "out"), str(tmp_path / "marks")
     stream_clean(spark, str(tmp_path / "in"), out, marks, **options).awaitTermination()
-    return spark.read.parquet(out)
+    return read_accepted(spark, out)
 
 
-@pytest.mark.parametrize("lateness", [None, "60 days"])
-def test_stream_resumes_without_repeats(spark, tmp_path, lateness):
+def test_stream_resumes_without_repeats(spark, tmp_path):
     land(tmp_path / "in", "a.json", [page("0x1", address(1), address(2)), page("0x2", address(1), address(2), category="erc20")])
-    assert run_stream(spark, tmp_path, lateness=lateness).count() == 1
+    assert run_stream(spark, tmp_path).count() == 1
     land(tmp_path / "in", "b.json", [page("0x1", address(1), address(2)), page("0x3", address(1), address(2), day=4)])
-    rows = run_stream(spark, tmp_path, lateness=lateness)
+    rows = run_stream(spark, tmp_path)
     assert sorted(r.tx_hash for r in rows.collect()) == ["0x1", "0x3"]
-    assert run_stream(spark, tmp_path, lateness=lateness).count() == 2
+    assert run_stream(spark, tmp_path).count() == 2
     assert {str(r.block_month) for r in rows.collect()} == {"2024-01-01"}
 
 
-def test_stream_rejects(spark, tmp_path):
-    land(tmp_path / "in", "a.json", [page("0x1", address(1), address(2)), page("0x2", address(1), address(2), value=0.0)])
-    out = str(tmp_path / "rejects")
-    stream_rejects(spark, str(tmp_path / "in"), out, str(tmp_path / "m")).awaitTermination()
-    assert [r.reject_reason for r in spark.read.parquet(out).collect()] == ["zero_value"]
+def test_stream_keeps_rows_whatever_the_landing_order(spark, tmp_path):
+    for name, day in (("a", 20), ("b", 2), ("c", 25), ("d", 1)):
+        land(tmp_path / "in", f"{name}.json", [page(f"0x{name}", address(1), address(2), day=day), page("0xsame", address(1), address(day), day=day)])
+        rows = run_stream(spark, tmp_path)
+    found = {r.tx_hash: (r.block_timestamp.day, r.to_address) for r in rows.collect()}
+    assert found == {"0xa": (20, address(2)), "0xb": (2, address(2)), "0xc": (25, address(2)), "0xd": (1, address(2)), "0xsame": (1, address(1))}
 
 
-def test_stream_edges_close_on_monday(spark, tmp_path):
-    source = tmp_path / "tx"
+def test_stream_rejects_malformed_input_with_its_text(spark, tmp_path):
+    land(tmp_path / "in", "a.json", [page("0x1", address(1), address(2)), page("0x2", address(1), address(2), value=0.0)])
+    good = (tmp_path / "in" / "a.json").read_text().splitlines()[0]
+    lines = [good[:40], good.replace("0x1", "0x9").replace('"value": 1.5', '"value": "oops"'), '{"address": "0xa", "transfers": [null]}', '{"address": "0xa", "transfers": []}', "no json"]
+    (tmp_path / "in" / "b.json").write_text("\n".join(lines) + "\n")
+    assert run_stream(spark, tmp_path).count() == 1
+    rows = read_rejected(spark, str(tmp_path / "out")).collect()
+    assert sorted((r.reject_reason, r.tx_hash) for r in rows if r.tx_hash) == [("malformed_value", "0x9"), ("zero_value", "0x2")]
+    assert sorted(str(r.raw) for r in rows if r.reject_reason == "malformed_page") == sorted([good[:40], "no json"])
+    assert sorted(r.reject_reason for r in rows) == ["malformed_page", "malformed_page", "malformed_transfer", "malformed_value", "zero_value"]
+
+
+def test_stream_edges_are_complete_after_every_run(spark, tmp_path):
+    source, out = tmp_path / "tx", str(tmp_path / "out")
     layout = "tx_hash string, block_timestamp timestamp, from_address string, to_address string, value_wei string"
 
     def add(name, *days):
@@ -231,26 +249,16 @@ def test_stream_edges_close_on_monday(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(layout).parquet(str(source))
-        query = (
-            stream_edges(stream, lateness="1 day")
-            .writeStream.format("parquet")
-            .option("path", str(tmp_path / "out"))
-            .option("checkpointLocation", str(tmp_path / "marks"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        stream_edges(stream, out, str(tmp_path / "marks")).awaitTermination()
+        rows = read_stream_edges(spark, out).collect()
         return sorted((str(r.week_start), r.tx_count, r.total_value_wei) for r in rows)
 
     add("x", 1, 7, 8)
-    assert run() == []  # watermark is still inside the first week's lateness
-    add("y", 7, 10)
-    assert run() == [("2024-01-01", 3, "15")]
+    assert run() == [("2024-01-01", 2, "10"), ("2024-01-08", 1, "5")]
+    add("y", 7, 30)
     add("late", 2)
-    add("z", 30)
-    assert ("2024-01-01", 3, "15") in run()  # closed weeks stay as they are
-    assert ("2024-01-08", 2, "10") in run()
+    expected = [("2024-01-01", 4, "20"), ("2024-01-08", 1, "5"), ("2024-01-29", 1, "5")]
+    assert run() == expected and run() == expected
 
 
 def test_build_graph_end_to_end(spark, tmp_path):
@@ -281,7 +289,7 @@ def test_build_graph_end_to_end(spark, tmp_path):
         ("nodes", "table"): 4, ("labels", "metadata"): 1, ("transactions", "metadata"): 1,
         ("edges", "metadata"): 1, ("nodes", "metadata"): 1,
     }
-    folder = stages.table_paths(str(tmp_path / "graph"))
+    folder = stages.latest_tables(spark, str(tmp_path / "graph"))
     hashes = {r.tx_hash for r in sources.read_transactions(spark, folder["transactions"]).collect()}
     # The weaker counterparty (k = 1) keeps its own transfer to the label only.
     assert hashes == {"0x1", "0x2", "0x4", "0x6"}
@@ -292,6 +300,37 @@ def test_build_graph_end_to_end(spark, tmp_path):
     assert nodes[labeled] == (0, 2) and nodes[friend] == (1, 1)
 
 
+@pytest.mark.parametrize("skip_transactions, skip_nodes", [(True, False), (False, True), (True, True)])
+def test_build_graph_runs_again(spark, tmp_path, skip_transactions, skip_nodes):
+    land(tmp_path / "in", "a.json", [page("0x1", VITALIK.lower(), address(50), day=2)])
+    sdn, folder = tmp_path / "list.csv", str(tmp_path / "graph")
+
+    def run(**options):
+        sdn.write_text(f"1,{VITALIK}\n2,{address(90)}\n" if options else f"1,{VITALIK}\n")
+        return stages.build_graph(
+            spark,
+            [(str(sdn), "csv")],
+            run_stream(spark, tmp_path),
+            folder,
+            end=datetime(2024, 2, 1, tzinfo=timezone.utc),
+            granularity="month",
+            degree_mode="distinct",
+            **options,
+        )
+
+    run()
+    land(tmp_path / "in", "b.json", [page("0x2", VITALIK.lower(), address(51), day=3)])
+    report = run(skip_transactions=skip_transactions, skip_nodes=skip_nodes)
+    found = {(r.name, r.kind): r.n_records for r in report.collect()}
+    assert found["labels", "table"] == 2 and found["edges", "table"] == (1 if skip_transactions else 2)
+    assert found["nodes", "table"] == (None if skip_nodes else 3 if skip_transactions else 4)
+    tables = stages.latest_tables(spark, folder)
+    assert ("run-1" in tables["transactions"]) == skip_transactions
+    assert ("run-1" in tables["nodes"]) == skip_nodes
+    # The first run's tables are untouched.
+    assert sources.read_labels(spark, f"{folder}/run-1/labels").count() == 1
+
+
 def test_strict_scale_stops_the_slice(spark, tmp_path):
     land(tmp_path / "in", "a.json", [page(f"0x{i}", VITALIK.lower(), address(50 + i)) for i in range(5)])
     transfers = run_stream(spark, tmp_path)

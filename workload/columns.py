@@ -19,14 +19,16 @@ from ledgerloom.functions.times import (
 from ledgerloom.functions.wide_int import canonical_u128, ether_to_rank_wei, ether_to_wei
 from ledgerloom.operators import cleaning, labeling
 from ledgerloom.operators.nodes import node_class, parse_node_type
+from workload.keccak import checksum_sql
 from workload.registry import query
 from workload.standins import (
     check_sql,
     customer_address,
     labeled_addresses,
     lines,
+    named_sql,
     raw_transfers,
-    spread_table,
+    supplier_address,
     table,
 )
 
@@ -61,11 +63,17 @@ def normalize(spark, sf_dir):
     return messy_addresses(spark, sf_dir).select("tx_hash", address_key(F.col("messy")).alias("key"))
 
 
-@query("P2_checksum_address")
+_PARTIES_SQL = """
+SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer
+UNION ALL SELECT '0x' || lpad(lower(to_hex(s_suppkey + 1000000)), 40, '0') FROM supplier"""
+
+
+@query("P2_checksum_address", checksum_sql(_PARTIES_SQL, "SELECT key, checksum FROM checksums"))
 def checksum(spark, sf_dir):
-    # Keccak-256 has no SQL form; tests/test_functions.py checks the values.
     customers = table(spark, sf_dir, "customer").select(customer_address("c_custkey").alias("key"))
-    return customers.select("key", checksum_address(F.col("key")).alias("checksum"))
+    suppliers = table(spark, sf_dir, "supplier").select(supplier_address("s_suppkey").alias("key"))
+    both = customers.unionByName(suppliers)
+    return both.select("key", checksum_address(F.col("key")).alias("checksum"))
 
 
 @query(
@@ -85,16 +93,14 @@ def zero(spark, sf_dir):
 
 @query(
     "P2_address_dimension",
-    check_sql(
-        "SELECT DISTINCT sender AS key, true AS same_address FROM lines "
-        "UNION SELECT DISTINCT receiver, true FROM lines",
-        "lines",
+    checksum_sql(
+        "SELECT sender AS key FROM lines UNION ALL SELECT receiver FROM lines",
+        "SELECT key, checksum FROM checksums",
+        *named_sql("lines"),
     ),
 )
 def dimension(spark, sf_dir):
-    # Every distinct address hashed once; the SQL checks all but the letter case.
-    found = labeling.address_dimension(lines(spark, sf_dir), "sender", "receiver")
-    return found.select("key", (F.lower("checksum") == F.col("key")).alias("same_address"))
+    return labeling.address_dimension(lines(spark, sf_dir), "sender", "receiver")
 
 
 def notes(spark, sf_dir):
@@ -106,10 +112,10 @@ def notes(spark, sf_dir):
     from_lines = lines(spark, sf_dir).select(
         F.lit("line").alias("origin"), F.col("tx_hash").alias("id"), note.alias("text")
     )
-    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text").select(
+    docs = table(spark, sf_dir, "documents").select(
         F.lit("document").alias("origin"), F.col("doc_id").cast("string").alias("id"), "text"
     )
-    pages = spread_table(spark, sf_dir, "pages", "page_id", "html").select(
+    pages = table(spark, sf_dir, "pages").select(
         F.lit("page").alias("origin"),
         F.col("page_id").cast("string").alias("id"),
         F.col("html").alias("text"),
@@ -166,16 +172,29 @@ def hits_per_text(spark, sf_dir):
     )
 
 
+# Amounts of all sizes: up to 1.05e38 wei, close to the largest 128-bit integer.
+_SCALED_SQL = """
+SELECT hash, block_number, value * CAST(CASE block_number % 7 WHEN 1 THEN 1e6 WHEN 2 THEN 1e11
+  WHEN 3 THEN 1e15 WHEN 4 THEN 1e18 ELSE 1 END AS DOUBLE) AS value FROM raw"""
+
+
+def scaled_transfers(spark, sf_dir):
+    size = F.col("block_number") % 7
+    scale = F.when(size == 1, 1e6).when(size == 2, 1e11).when(size == 3, 1e15).when(size == 4, 1e18)
+    value = F.col("value") * scale.otherwise(1.0)
+    return raw_transfers(spark, sf_dir).select("hash", "block_number", value.alias("value"))
+
+
 @query(
     "P6_ether_to_wei",
     check_sql(
         "SELECT hash, value, coalesce(CAST(CAST(value * 1e18 AS HUGEINT) AS VARCHAR), '0') "
-        "AS value_wei FROM raw",
+        f"AS value_wei FROM ({_SCALED_SQL})",
         "raw",
     ),
 )
 def to_wei(spark, sf_dir):
-    return raw_transfers(spark, sf_dir).select(
+    return scaled_transfers(spark, sf_dir).select(
         "hash", "value", ether_to_wei(F.col("value")).alias("value_wei")
     )
 
@@ -186,14 +205,15 @@ def to_wei(spark, sf_dir):
         "SELECT hash, coalesce(CAST(greatest(CAST(trunc(signed * 1e18) AS HUGEINT), 0) AS "
         "VARCHAR), '0') AS rank_wei FROM (SELECT hash, CASE WHEN block_number % 5 = 0 THEN "
         "-value WHEN block_number % 5 = 1 THEN value * CAST(1.7e-20 AS DOUBLE) ELSE value END "
-        "AS signed FROM raw)",
+        f"AS signed FROM ({_SCALED_SQL}))",
         "raw",
     ),
 )
 def rank_wei(spark, sf_dir):
     kind, value = F.col("block_number") % 5, F.col("value")
     signed = F.when(kind == 0, -value).when(kind == 1, value * F.lit(1.7e-20)).otherwise(value)
-    return raw_transfers(spark, sf_dir).select("hash", ether_to_rank_wei(signed).alias("rank_wei"))
+    rows = scaled_transfers(spark, sf_dir)
+    return rows.select("hash", ether_to_rank_wei(signed).alias("rank_wei"))
 
 
 _WIDE_TEXT_SQL = """
@@ -354,7 +374,6 @@ def fill(spark, sf_dir):
     ),
 )
 def convert(spark, sf_dir):
-    # Lowercase addresses here: the checksum step has no SQL form (see P2).
     filled = cleaning.fill_recipient(raw_transfers(spark, sf_dir))
     rows = cleaning.accepted(cleaning.classify_transfers(filled))
     return cleaning.to_transactions(rows, checksum=False).select(
@@ -366,10 +385,22 @@ def convert(spark, sf_dir):
     )
 
 
-@query("P16_convert_with_checksums")
+@query(
+    "P16_convert_with_checksums",
+    checksum_sql(
+        "SELECT from_address AS key FROM classified WHERE reject_reason IS NULL "
+        "UNION ALL SELECT to_address FROM classified WHERE reject_reason IS NULL",
+        "SELECT tx_hash, strftime(block_timestamp, '%Y-%m-%dT%H:%M:%S+00:00') AS stamp, "
+        "f.checksum AS from_address, t.checksum AS to_address, value_wei FROM classified "
+        "JOIN checksums f ON from_address = f.key JOIN checksums t ON to_address = t.key "
+        "WHERE reject_reason IS NULL",
+        *named_sql("classified"),
+    ),
+)
 def convert_checksummed(spark, sf_dir):
     filled = cleaning.fill_recipient(raw_transfers(spark, sf_dir))
-    return cleaning.to_transactions(cleaning.accepted(cleaning.classify_transfers(filled)))
+    rows = cleaning.to_transactions(cleaning.accepted(cleaning.classify_transfers(filled)))
+    return rows.withColumn("stamp", format_rfc3339(F.col("block_timestamp"))).drop("block_timestamp")
 
 
 @query(

@@ -133,24 +133,16 @@ def drop_zero(spark, sf_dir):
 
 @query(
     "F7_label_bounds",
-    check_sql("SELECT address FROM labeled ORDER BY address LIMIT 100", "labeled"),
+    check_sql("SELECT address FROM labeled", "labeled"),
 )
 def label_bounds(spark, sf_dir):
-    labels = labeled_addresses(spark, sf_dir).select("address")
-    return selecting.bound_labels(labels, minimum=1, maximum=100)
+    return selecting.bound_labels(labeled_addresses(spark, sf_dir).select("address"), minimum=1)
 
 
 _DIRECTED_SQL = """
 SELECT tx_hash, block_number, from_address AS address, 'from' AS direction FROM tx
 UNION ALL SELECT tx_hash, block_number, to_address, 'to' FROM tx"""
 
-_RANKED_SQL = f"""
-SELECT *, row_number() OVER (PARTITION BY address, direction, chunk
-    ORDER BY block_number, tx_hash) AS n,
-  count(*) OVER (PARTITION BY address, direction, chunk) AS total
-FROM (SELECT *, CAST(floor(block_number / 500000) AS BIGINT) AS chunk FROM ({_DIRECTED_SQL}))"""
-
-
 def directed(spark, sf_dir):
     tx = block_transactions(spark, sf_dir)
     ends = F.array(
@@ -161,26 +153,16 @@ def directed(spark, sf_dir):
 
 
 @query(
-    "F8_cap_per_address",
-    check_sql(
-        f"SELECT tx_hash, block_number, address, direction FROM ({_RANKED_SQL}) WHERE n <= 20",
-        "tx",
-    ),
-)
-def capped(spark, sf_dir):
-    return selecting.cap_per_address(directed(spark, sf_dir), cap=20)[0]
-
-
-@query(
-    "F8_capped_groups",
+    "F8_oversized_groups",
     check_sql(
-        "SELECT DISTINCT address, direction, chunk, total, total - 20 AS dropped "
-        f"FROM ({_RANKED_SQL}) WHERE total > 20",
+        "SELECT address, direction, CAST(floor(block_number / 500000) AS BIGINT) AS chunk, "
+        f"count(*) AS total, count(*) - 20 AS above FROM ({_DIRECTED_SQL}) GROUP BY 1, 2, 3 "
+        "HAVING count(*) > 20",
         "tx",
     ),
 )
-def capped_groups(spark, sf_dir):
-    return selecting.cap_per_address(directed(spark, sf_dir), cap=20)[1]
+def oversized(spark, sf_dir):
+    return selecting.oversized_groups(directed(spark, sf_dir), size=20)
 
 
 @query(

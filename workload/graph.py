@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.times import format_rfc3339
 from ledgerloom.operators import labeling, nodes, quality
-from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient
+from ledgerloom.operators.cleaning import classify_transfers, fill_recipient
 from ledgerloom.operators.edges import aggregate_edges, wide_sum
 from ledgerloom.operators.keysets import key_set
 from ledgerloom.plans import stages
@@ -27,6 +27,7 @@ from workload.standins import (
     exchange_addresses,
     labeled_addresses,
     lines,
+    named_sql,
     raw_transfers,
     status_rows,
     table,
@@ -512,20 +513,47 @@ def landed_pages(spark, sf_dir):
     )
     path = scratch_path(spark, "pages")
     pages.write.json(path)
+    # Lines that end too early, and transfers whose value is no number.
+    order = table(spark, sf_dir, "orders")
+    cut = order.filter("o_orderkey % 97 = 0").select(
+        F.concat(F.lit('{"address": "0x'), F.col("o_orderkey"), F.lit('", "transfers": [{"hash": "'))
+    )
+    odd = order.filter("o_orderkey % 89 = 0").select(
+        F.format_string(
+            '{"address": "0xa", "direction": "from", "transfers": [{"hash": "odd-%d", "from": "0xa", '
+            '"to": "0xb", "value": "oops", "category": "external", "blockNum": "0x10"}]}',
+            "o_orderkey",
+        )
+    )
+    for lines_of in (cut, odd):
+        lines_of.toDF("value").write.mode("append").text(path)
     return path
 
 
+# What the defective lines become.
+LANDED_DEFECTS = """
+SELECT CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS direction,
+  CAST(NULL AS VARCHAR) AS hash, CAST(NULL AS VARCHAR) AS "from", CAST(NULL AS VARCHAR) AS "to",
+  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS block_number,
+  'malformed_page' AS malformed
+FROM orders WHERE o_orderkey % 97 = 0
+UNION ALL SELECT '0xa', 'from', 'odd-' || o_orderkey, '0xa', '0xb', 'external', 16, 'malformed_value'
+FROM orders WHERE o_orderkey % 89 = 0"""
+
+
 @query(
     "S9_landed_transfers",
     check_sql(
         "SELECT address, direction, hash, \"from\", \"to\", value, asset, c AS category, "
-        "block_number, block_timestamp, value_wei_text FROM raw, "
-        "LATERAL (SELECT unnest([category, 'erc721']) AS c)",
+        "block_number, block_timestamp, value_wei_text, NULL AS malformed FROM raw, "
+        "LATERAL (SELECT unnest([category, 'erc721']) AS c) UNION ALL SELECT address, direction, "
+        'hash, "from", "to", NULL, NULL, category, block_number, NULL, NULL, malformed '
+        f"FROM ({LANDED_DEFECTS})",
         "raw",
     ),
 )
 def landed(spark, sf_dir):
-    return read_transfer_pages(spark, landed_pages(spark, sf_dir))
+    return read_transfer_pages(spark, landed_pages(spark, sf_dir)).drop("raw")
 
 
 # Sanctions documents written from customers: SDN XML, advanced XML, CSV.
@@ -580,7 +608,7 @@ def sanction_documents(spark, sf_dir):
     party.write.format("xml").option("rootTag", "Sanctions").option(
         "rowTag", "DistinctParty"
     ).save(advanced)
-    rows = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(
+    rows = table(spark, sf_dir, "orders").select(
         F.concat_ws(",", F.col("o_orderkey"), F.lit("SDN"), customer_address("o_custkey"))
     )
     rows.toDF("value").write.text(flat)
@@ -590,8 +618,7 @@ def sanction_documents(spark, sf_dir):
 _ALL_FOUND_SQL = """
 SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer
 UNION SELECT '0x' || lpad(lower(to_hex(s_suppkey + 1000000)), 40, '0') FROM supplier
-UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders
-  WHERE o_orderstatus = 'F'"""
+UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders"""
 
 
 @query("S10_sanction_sources", f"SELECT DISTINCT key FROM ({_ALL_FOUND_SQL})")
@@ -609,8 +636,7 @@ SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer
   WHERE c_nationkey % 4 IN (0, 2)
 UNION SELECT '0x' || lpad(lower(to_hex(s_suppkey + 1000000)), 40, '0') FROM supplier
   WHERE s_nationkey % 3 IN (0, 1)
-UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders
-  WHERE o_orderstatus = 'F'""",
+UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders""",
 )
 def strict_sources(spark, sf_dir):
     found = sanctions.read_sanctions(spark, sanction_documents(spark, sf_dir), strict=True)
@@ -817,6 +843,17 @@ def rejected_times(spark, sf_dir):
     return spark.read.parquet(rejects).select("tx_hash", "from_address")
 
 
+def write_label_rows(spark, sf_dir, path):
+    written = labeled_addresses(spark, sf_dir).select(
+        "address",
+        F.lit(1).alias("label"),
+        F.lit("list").alias("label_source"),
+        F.lit("u").alias("source_url"),
+        F.lit("2024-05-01T00:00:00Z").cast("timestamp").alias("retrieved_at"),
+    )
+    sinks.write_labels(written, path)
+
+
 @query(
     "C5_nodes_stage",
     check_sql(
@@ -833,14 +870,7 @@ def node_stage(spark, sf_dir):
     names = ("edges", "labels", "status", "nodes")
     edges, labels, status, path = (scratch_path(spark, n) for n in names)
     sinks.write_edges(edges_of(spark, sf_dir), edges)
-    written = labeled_addresses(spark, sf_dir).select(
-        "address",
-        F.lit(1).alias("label"),
-        F.lit("list").alias("label_source"),
-        F.lit("u").alias("source_url"),
-        F.lit("2024-05-01T00:00:00Z").cast("timestamp").alias("retrieved_at"),
-    )
-    sinks.write_labels(written, labels)
+    write_label_rows(spark, sf_dir, labels)
     sinks.append_status(status_rows(spark, sf_dir), status)
     stages.nodes_stage(
         spark, edges, labels, path, status_path=status, percentile=PERCENTILE
@@ -848,45 +878,140 @@ def node_stage(spark, sf_dir):
     return sources.read_nodes(spark, path)
 
 
-@query(
-    "C6_build_graph",
-    """
-WITH addresses AS (
-  SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS address FROM customer
-  UNION SELECT '0x' || lpad(lower(to_hex(s_suppkey + 1000000)), 40, '0') FROM supplier
-  UNION SELECT '0x' || lpad(lower(to_hex(o_custkey + 1)), 40, '0') FROM orders
-    WHERE o_orderstatus = 'F'),"""
-    + check_sql("", "classified").strip()[len("WITH ") :]
-    + """,
-window_rows AS (SELECT * FROM classified WHERE reject_reason IS NULL
-  AND block_timestamp >= TIMESTAMP '1998-01-01' - INTERVAL 52 WEEK
-  AND block_timestamp < TIMESTAMP '1998-01-01'),
-hits AS (SELECT w.*, f.address IS NOT NULL AS from_hit, t.address IS NOT NULL AS to_hit
-  FROM window_rows w LEFT JOIN addresses f ON from_address = f.address
-  LEFT JOIN addresses t ON to_address = t.address
-  WHERE f.address IS NOT NULL OR t.address IS NOT NULL),
-uniq AS (SELECT tx_hash, block_timestamp, from_address AS src, to_address AS dst FROM (
-  SELECT *, row_number() OVER (PARTITION BY tx_hash ORDER BY block_timestamp, from_address,
-    to_address, value_wei) AS n FROM hits) WHERE n = 1),
-weekly AS (SELECT DISTINCT src, dst, date_trunc('week', block_timestamp) AS w FROM uniq)
-SELECT 'labels' AS name, 'table' AS kind, true AS found, count(*) AS n_records FROM addresses
-UNION ALL SELECT 'transactions', 'table', true, count(*) FROM uniq
-UNION ALL SELECT 'edges', 'table', true, count(*) FROM weekly
-UNION ALL SELECT 'nodes', 'table', true, count(*) FROM (SELECT src FROM weekly UNION
-  SELECT dst FROM weekly UNION SELECT address FROM addresses)
-UNION ALL SELECT unnest(['labels', 'transactions', 'edges', 'nodes']), 'metadata', true, 1""",
-)
-def whole_run(spark, sf_dir):
-    # Here every customer and supplier is labeled, so no counterparty is left to expand.
-    transfers = accepted(classify_transfers(fill_recipient(raw_transfers(spark, sf_dir))))
-    report = stages.build_graph(
+# A whole run: one market segment is labeled, so its suppliers are counterparties to expand.
+
+_RUN_SQL = named_sql("classified", "exchanges") + [
+    "acc AS (SELECT * FROM classified WHERE reject_reason IS NULL)",
+    "segment AS (SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS address "
+    "FROM customer WHERE c_mktsegment = 'BUILDING')",
+    "hits AS (SELECT a.*, f.address IS NOT NULL AS from_hit, t.address IS NOT NULL AS to_hit "
+    "FROM acc a LEFT JOIN segment f ON from_address = f.address "
+    "LEFT JOIN segment t ON to_address = t.address "
+    "WHERE f.address IS NOT NULL OR t.address IS NOT NULL)",
+    "sums AS (SELECT CASE WHEN from_hit THEN from_address ELSE to_address END AS labeled, "
+    "CASE WHEN from_hit THEN to_address ELSE from_address END AS counterparty, "
+    "sum(CAST(value_wei AS HUGEINT)) AS total FROM hits WHERE from_hit <> to_hit GROUP BY 1, 2)",
+    "picked AS (SELECT DISTINCT counterparty AS address FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY labeled ORDER BY total DESC, counterparty) AS n FROM sums) WHERE n <= 2 "
+    "AND counterparty NOT IN (SELECT address FROM exchanges))",
+    "both_parts AS (SELECT tx_hash, block_timestamp, from_address, to_address, value_wei, 0 AS o "
+    "FROM hits UNION ALL SELECT tx_hash, block_timestamp, from_address, to_address, value_wei, 1 "
+    "FROM acc WHERE from_address IN (SELECT address FROM picked) "
+    "OR to_address IN (SELECT address FROM picked))",
+    "one_each AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tx_hash ORDER BY o, "
+    "block_timestamp, from_address, to_address, value_wei) AS n FROM both_parts) WHERE n = 1)",
+    "run_edges AS (SELECT from_address AS src, to_address AS dst, "
+    "CAST(CAST(date_trunc('week', block_timestamp) AS DATE) AS VARCHAR) AS week_start, "
+    "count(*) AS tx_count, CAST(sum(CAST(value_wei AS HUGEINT)) AS VARCHAR) AS total_value_wei "
+    "FROM one_each GROUP BY 1, 2, 3)",
+]
+
+
+def run_sql(select):
+    return f"WITH {','.join(_RUN_SQL)}\n{select}"
+
+
+def run_graph(spark, sf_dir, folder, **options):
+    customer = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+    listed = scratch_path(spark, "list")
+    customer.select(customer_address("c_custkey")).toDF("value").write.text(listed)
+    return stages.build_graph(
         spark,
-        sanction_documents(spark, sf_dir),
-        transfers,
-        scratch_path(spark, "graph"),
-        end=datetime(1998, 1, 1, tzinfo=timezone.utc),
-        weeks=52,
-        k=5,
+        [(listed, "csv")],
+        classify_transfers(fill_recipient(raw_transfers(spark, sf_dir))),
+        folder,
+        end=datetime(2002, 1, 1, tzinfo=timezone.utc),
+        weeks=400,
+        k=2,
         exclude=exchange_addresses(spark, sf_dir),
+        percentile=PERCENTILE,
+        **options,
     )
+
+
+@query("C6_build_graph", run_sql("SELECT * FROM run_edges"))
+def whole_run(spark, sf_dir):
+    folder = scratch_path(spark, "graph")
+    run_graph(spark, sf_dir, folder)
+    edges = dated(sources.read_edges(spark, stages.latest_tables(spark, folder)["edges"]))
+    return edges.withColumns({"src": F.lower("src"), "dst": F.lower("dst")})
+
+
+@query(
+    "C6_run_nodes",
+    run_sql(
+        "SELECT address, CAST(sum(i) AS BIGINT) AS degree_in, CAST(sum(o) AS BIGINT) AS degree_out "
+        "FROM (SELECT src AS address, 0 AS i, 1 AS o FROM run_edges UNION ALL "
+        "SELECT dst, 1, 0 FROM run_edges UNION ALL SELECT address, 0, 0 FROM segment) GROUP BY 1"
+    ),
+)
+def run_nodes(spark, sf_dir):
+    folder = scratch_path(spark, "graph")
+    run_graph(spark, sf_dir, folder)
+    rows = sources.read_nodes(spark, stages.latest_tables(spark, folder)["nodes"])
+    return rows.select(F.lower("address").alias("address"), "degree_in", "degree_out")
+
+
+@query(
+    "C6_skip_flags",
+    run_sql(
+        "SELECT name, 'table' AS kind, name <> 'nodes' AS found, CASE name "
+        "WHEN 'labels' THEN (SELECT count(*) FROM segment) "
+        "WHEN 'transactions' THEN (SELECT count(*) FROM one_each) "
+        "WHEN 'edges' THEN (SELECT count(*) FROM run_edges) END AS n_records "
+        "FROM (SELECT unnest(['labels', 'transactions', 'edges', 'nodes']) AS name) UNION ALL "
+        "SELECT name, 'metadata', name IN ('labels', 'edges'), CASE WHEN name IN ('labels', 'edges') "
+        "THEN 1 END FROM (SELECT unnest(['labels', 'transactions', 'edges', 'nodes']) AS name)"
+    ),
+)
+def skipping_run(spark, sf_dir):
+    # The second run takes the first one's transactions and builds no nodes.
+    folder = scratch_path(spark, "graph")
+    run_graph(spark, sf_dir, folder)
+    report = run_graph(spark, sf_dir, folder, skip_transactions=True, skip_nodes=True)
     return report.drop("size_kb")
+
+
+@query(
+    "C6_run_counts",
+    run_sql(
+        "SELECT coalesce(reject_reason, 'accepted') AS what, count(*) AS n_rows FROM classified "
+        "GROUP BY 1 UNION ALL SELECT 'rows_seen', count(*) FROM both_parts UNION ALL "
+        "SELECT 'rows_kept', count(*) FROM one_each UNION ALL SELECT 'rows_removed', "
+        "(SELECT count(*) FROM both_parts) - (SELECT count(*) FROM one_each)"
+    ),
+)
+def run_counts(spark, sf_dir):
+    folder = scratch_path(spark, "graph")
+    run_graph(spark, sf_dir, folder)
+    counts = stages.run_folders(spark, folder)[-1] + "/counts"
+    outcomes = spark.read.json(f"{counts}/outcomes").select(F.col("reason").alias("what"), "n_rows")
+    names = ("rows_seen", "rows_kept", "rows_removed")
+    each = F.inline(F.array(*(F.struct(F.lit(n).alias("what"), F.col(n).alias("n_rows")) for n in names)))
+    return outcomes.unionByName(spark.read.json(f"{counts}/repeats").select(each))
+
+
+@query(
+    "J8_unresolved_of_stage",
+    check_sql(
+        "SELECT d.address FROM degrees d WHERE d.address NOT IN (SELECT address FROM status) "
+        "AND d.address NOT IN (SELECT address FROM contracts)",
+        "degrees",
+        "status",
+        "contracts",
+    ),
+)
+def unresolved_of_stage(spark, sf_dir):
+    # A cache file of contracts joins the status table before it is asked.
+    names = ("edges", "status", "cache", "nodes", "unresolved")
+    edges, status, cache, path, left = (scratch_path(spark, n) for n in names)
+    sinks.write_edges(edges_of(spark, sf_dir), edges)
+    sinks.append_status(status_rows(spark, sf_dir), status)
+    cached = contract_addresses(spark, sf_dir).select(F.concat_ws(",", "address", F.lit("1")))
+    cached.toDF("value").write.text(cache)
+    labels = scratch_path(spark, "labels")
+    write_label_rows(spark, sf_dir, labels)
+    stages.nodes_stage(
+        spark, edges, labels, path, status_path=status, cache_path=cache, unresolved_path=left
+    )
+    return spark.read.parquet(left)

@@ -11,16 +11,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark, sf_dir, name, *columns) -> DataFrame:
-    """Chosen columns of a table; a small one in a few files is spread over the cores.
-
-    A large table has more scan partitions than cores and is not shuffled.
-    """
-    df = table(spark, sf_dir, name).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 LINE_COLUMNS = (
     "l_orderkey",
     "l_partkey",
@@ -47,7 +37,7 @@ def supplier_address(key="l_suppkey"):
 
 def lines(spark, sf_dir) -> DataFrame:
     """Order lines with their order's date and customer, and the two addresses."""
-    line = spread_table(spark, sf_dir, "lineitem", *LINE_COLUMNS)
+    line = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     back = F.col("l_returnflag") == "R"
     customer, supplier = customer_address(), supplier_address()
@@ -178,7 +168,7 @@ classified AS (
     coalesce(value_wei_text, CAST(CAST(value * 1e18 AS HUGEINT) AS VARCHAR), '0') AS value_wei,
     block_number, category,
     CASE WHEN category NOT IN ('external', 'internal') THEN 'category'
-         WHEN value = 0 THEN 'zero_value'
+         WHEN value = 0 AND value_wei_text IS NULL THEN 'zero_value'
          WHEN coalesce("to", '') = '' THEN 'empty_to'
          WHEN coalesce("from", '') = '' THEN 'empty_from'
          WHEN block_timestamp IS NULL OR block_timestamp = 'soon' THEN 'bad_timestamp'
@@ -371,8 +361,8 @@ _PARTS = {
 PERCENTILE = 99.0
 
 
-def check_sql(select: str, *parts: str) -> str:
-    """`select` with the named parts, and what they build on, as WITH clauses."""
+def named_sql(*parts: str) -> list[str]:
+    """The named parts, and what they build on, in order."""
     wanted = []
 
     def want(name):
@@ -384,4 +374,10 @@ def check_sql(select: str, *parts: str) -> str:
 
     for part in parts:
         want(part)
+    return wanted
+
+
+def check_sql(select: str, *parts: str) -> str:
+    """`select` with the named parts, and what they build on, as WITH clauses."""
+    wanted = named_sql(*parts)
     return f"WITH {','.join(wanted)}\n{select}" if wanted else select
