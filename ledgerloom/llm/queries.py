@@ -91,7 +91,7 @@ def op4_bpe(spark, sf_dir):
             regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
     ), shingles AS (
         SELECT DISTINCT kind, id, unnest(list_transform(
-            range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))) AS s
+            range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
         FROM cut WHERE len(w) >= 5
     ), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'b' GROUP BY id)
     SELECT d.id AS doc_id, b.id AS item_id, CAST(any_value(n) AS INTEGER) AS n_shingles,
