@@ -76,9 +76,8 @@ def both_ends(spark, sf_dir):
 @query(
     "F3_direction",
     check_sql(
-        "SELECT direction, count(*) AS n_rows FROM (SELECT 'from' AS direction FROM tx JOIN "
-        "labeled ON from_address = address UNION ALL SELECT 'to' FROM tx JOIN labeled ON "
-        "to_address = address) GROUP BY direction",
+        f"SELECT 'from' AS direction, {_SHOWN} FROM tx JOIN labeled ON from_address = address "
+        f"UNION ALL SELECT 'to', {_SHOWN} FROM tx JOIN labeled ON to_address = address",
         "tx",
         "labeled",
     ),
@@ -89,8 +88,7 @@ def directions(spark, sf_dir):
     found = F.array_compact(
         F.array(F.when(F.col("from_hit"), F.lit("from")), F.when(F.col("to_hit"), F.lit("to")))
     )
-    each = hits.select(F.explode(found).alias("direction"))
-    return each.groupBy("direction").agg(F.count(F.lit(1)).alias("n_rows"))
+    return shown(hits.withColumn("direction", F.explode(found)), "direction")
 
 
 @query(

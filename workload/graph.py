@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.times import format_rfc3339
 from ledgerloom.operators import labeling, nodes, quality
-from ledgerloom.operators.cleaning import classify_transfers, fill_recipient
+from ledgerloom.operators.cleaning import (
+    TRANSACTION_COLUMNS,
+    classify_transfers,
+    fill_recipient,
+)
 from ledgerloom.operators.edges import aggregate_edges, wide_sum
 from ledgerloom.operators.keysets import key_set
 from ledgerloom.plans import stages
@@ -18,6 +22,7 @@ from ledgerloom.sources import tables as sources
 from ledgerloom.sources.transfers import read_transfer_pages
 from workload.columns import wide_texts
 from workload.flows import _SHOWN, shown, slice_of
+from workload.keccak import checksum_sql
 from workload.registry import query
 from workload.standins import (
     PERCENTILE,
@@ -423,9 +428,9 @@ def read_nodes(spark, sf_dir):
 @query(
     "S6_read_chunks",
     check_sql(
-        "SELECT origin_rank, count(*) AS n_rows, count(DISTINCT tx_hash) AS n_hashes FROM "
-        "(SELECT tx_hash, 0 AS origin_rank FROM touched UNION ALL SELECT tx_hash, 1 FROM tx) "
-        "GROUP BY 1",
+        "SELECT origin_rank, tx_hash, strftime(block_timestamp, '%Y-%m-%d %H:%M:%S') AS "
+        "block_timestamp, from_address, to_address, value_wei FROM (SELECT 0 AS origin_rank, * "
+        "EXCLUDE (from_hit, to_hit) FROM touched UNION ALL SELECT 1, * FROM tx)",
         "touched",
     ),
 )
@@ -438,11 +443,7 @@ def read_chunks(spark, sf_dir):
     by_year.selectExpr(*stored, "chunk").write.partitionBy("chunk").parquet(chunks)
     frames = sources.read_chunks(spark, labeled, chunks)
     frames += sources.read_chunks(spark, labeled + "-missing", None)
-    return (
-        sources.ranked_chunks(frames)
-        .groupBy("origin_rank")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("tx_hash").alias("n_hashes"))
-    )
+    return sources.ranked_chunks(frames).select("origin_rank", *TRANSACTION_COLUMNS)
 
 
 @query("S7_contract_list", check_sql("SELECT DISTINCT address FROM contracts", "contracts"))
@@ -669,14 +670,18 @@ def party_texts(spark, sf_dir):
 
 @query(
     "C1_extract_labels",
-    "SELECT key AS address, 1 AS label, 'OFAC_SDN' AS label_source "
-    f"FROM (SELECT DISTINCT key FROM ({_ALL_FOUND_SQL}))",
+    checksum_sql(
+        _ALL_FOUND_SQL,
+        "SELECT checksum AS address, 1 AS label, 'OFAC_SDN' AS label_source, true AS has_url "
+        "FROM checksums",
+    ),
 )
 def label_stage(spark, sf_dir):
     path = scratch_path(spark, "labels")
     stages.extract_labels(spark, sanction_documents(spark, sf_dir), path)
     labels = sources.read_labels(spark, path)
-    return labels.select(F.lower("address").alias("address"), "label", "label_source")
+    known = F.col("source_url").startswith("file:")
+    return labels.select("address", "label", "label_source", known.alias("has_url"))
 
 
 # Writers, read back with the readers.
@@ -799,7 +804,16 @@ def typed_transfers(spark, sf_dir):
     return transactions(spark, sf_dir).withColumn("rank_wei", F.col("value_wei"))
 
 
-@query("C3_expand_and_merge", check_sql(f"SELECT {_SHOWN} FROM merged", "merged"))
+@query(
+    "C3_expand_and_merge",
+    checksum_sql(
+        "SELECT from_address AS key FROM merged UNION ALL SELECT to_address FROM merged",
+        "SELECT tx_hash, strftime(block_timestamp, '%Y-%m-%dT%H:%M:%S+00:00') AS stamp, "
+        "f.checksum AS from_address, t.checksum AS to_address, value_wei FROM merged "
+        "JOIN checksums f ON from_address = f.key JOIN checksums t ON to_address = t.key",
+        *named_sql("merged"),
+    ),
+)
 def expand_stage(spark, sf_dir):
     path = scratch_path(spark, "transactions")
     stages.expand_and_merge(
@@ -808,7 +822,6 @@ def expand_stage(spark, sf_dir):
         path,
         k=5,
         exclude=key_set(exchange_addresses(spark, sf_dir)),
-        checksum=False,
     )
     return shown(sources.read_transactions(spark, path))
 
