@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front while `df` has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(column: str) -> Column:
     """A text column as its UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import keep, utf8
+from ledgerloom.llm.common import free_name, keep
 from ledgerloom.llm.words import blocks, find_words
 
 SHINGLE = 5
@@ -149,9 +149,13 @@ _MATCHES = "array<struct<item_id:{kind},n_shingles:int,n_shared:int>>"
 
 
 def with_matches(
-    documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE
+    documents: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    size: int = SHINGLE,
+    column: str = "matches",
 ) -> DataFrame:
-    """Add `matches`: an array of (item_id, n_shingles, n_shared), empty for clean texts."""
+    """Add `column`: an array of (item_id, n_shingles, n_shared), empty for clean texts."""
     spark = documents.sparkSession
     kind = benchmark.schema["item_id"].dataType.simpleString()
     items = keep(benchmark.select("item_id", lowered().alias("text")), "items")
@@ -167,12 +171,11 @@ def with_matches(
         # Plain values: the class itself need not be installed on the executors.
         sent = spark.sparkContext.broadcast(vars(items_of))
         found.append(_finder(sent, kind, threshold)(lowered()))
-    return documents.withColumn("matches", found[0] if n_blocks == 1 else F.concat(*found))
+    return documents.withColumn(column, found[0] if n_blocks == 1 else F.concat(*found))
 
 
 def _finder(sent, kind, threshold):
-    @F.pandas_udf(_MATCHES.format(kind=kind))
-    def finder(texts: pd.Series) -> pd.Series:
+    def found_in(texts: pd.Series) -> pd.Series:
         items = Items(**sent.value)
         return pd.Series(
             [
@@ -185,7 +188,7 @@ def _finder(sent, kind, threshold):
             dtype=object,
         )
 
-    return finder
+    return F.pandas_udf(found_in, _MATCHES.format(kind=kind))
 
 
 def search(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -197,6 +200,6 @@ def search(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESH
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that contain no item, with their columns unchanged."""
-    marked = with_matches(documents.withColumnRenamed("matches", "_matches"), benchmark, threshold)
-    clean = marked.filter(F.size("matches") == 0).drop("matches")
-    return clean.withColumnRenamed("_matches", "matches")
+    name = free_name(documents, "matches")
+    marked = with_matches(documents, benchmark, threshold, column=name)
+    return marked.filter(F.size(name) == 0).drop(name)

@@ -211,8 +211,8 @@ def without_copies(documents: DataFrame) -> DataFrame:
     stays = keep(groups(documents).filter("kept"), "stays").select(
         F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")
     )
-    same = F.unhex(F.sha2(utf8("text"), 256)) == F.col("_digest")
-    kept = documents.join(stays, documents["doc_id"].eqNullSafe(F.col("_id")) & same, "left_semi")
+    same = F.unhex(F.sha2(F.coalesce(documents["text"], F.lit("")), 256)) == stays["_digest"]
+    kept = documents.join(stays, documents["doc_id"].eqNullSafe(stays["_id"]) & same, "left_semi")
     # Whole rows that repeat an id and a text pass the join together; only then is it worth
     # another shuffle of the texts to leave one of them.
     known = documents.groupBy("doc_id").count().filter("count > 1").limit(1).count()

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import keep, training_labels, utf8
+from ledgerloom.llm.common import free_name, keep, training_labels, utf8
 from ledgerloom.llm.words import blocks, find_words
 
 #: At most about so many labeled documents are learned from.
@@ -249,7 +249,7 @@ def train(
 
 
 def with_score(documents: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """Add the score of `text`; all other columns stay as they are."""
+    """Add the score of `text` as `column` (in place of one of that name); all others stay."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
@@ -260,5 +260,6 @@ def with_score(documents: DataFrame, model: Model, column: str = "score") -> Dat
 
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Documents scored at least `threshold`, with their columns unchanged."""
-    scored = with_score(documents, train(documents, labels), "_quality_score")
-    return scored.filter(F.col("_quality_score") >= threshold).drop("_quality_score")
+    name = free_name(documents, "quality_score")
+    scored = with_score(documents, train(documents, labels), name)
+    return scored.filter(F.col(name) >= threshold).drop(name)

@@ -105,7 +105,59 @@ def op5_decontamination(spark, sf_dir):
     return decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op6_licenses")
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _rows(pairs):
+    return "VALUES " + ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in pairs.items())
+
+
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    "op6_licenses",
+    rf"""
+    WITH phrases AS (
+        SELECT regexp_extract_all(p, {_WORDS}) AS p, label
+        FROM ({_rows(licenses.PHRASES)}) AS v(p, label)
+    ), templates AS (
+        SELECT list_distinct(regexp_extract_all(translate(t, {_LOWER}), {_WORDS})) AS t, label
+        FROM ({_rows(licenses.TEMPLATES)}) AS v(t, label)
+    ), low AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
+    cut AS (SELECT doc_id, regexp_extract_all(t, {_WORDS}) AS w FROM low),
+    places AS (
+        SELECT doc_id, label, unnest(list_filter(
+            range(1, len(w) + 1), lambda i: w[i : i + len(p) - 1] = p)) - 1 AS word
+        FROM cut, phrases
+    ), lines AS (
+        SELECT doc_id, regexp_extract_all(unnest(string_split_regex(t, '[\r\n]')), {_WORDS}) AS w
+        FROM low
+    ), windows AS (
+        SELECT doc_id, w, unnest(range(0, greatest(len(w) - 32, 1), 32)) AS s FROM lines
+    ), shares AS (
+        SELECT doc_id, label, len(list_intersect(t, w[s + 1 : s + 64])) / len(t) AS share
+        FROM windows, templates
+    ), found AS (
+        SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= 0.8 GROUP BY 1, 2
+    ), based AS (
+        SELECT doc_id, count(*) AS n, min(word) AS low, max(word) AS high,
+            string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+        FROM places GROUP BY 1
+    ), named AS (
+        SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
+            SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM found) GROUP BY 1
+    ), best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY 1)
+    SELECT doc_id, len(w) AS n_words, coalesce(based.n, 0) AS n_base, based.low AS first_word,
+        based.high AS last_word, coalesce(based.labels, '') AS base_labels,
+        coalesce(named.labels, '') AS labels,
+        CASE WHEN based.n > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(best.share, 0) END AS score
+    FROM cut LEFT JOIN based USING (doc_id) LEFT JOIN named USING (doc_id)
+    LEFT JOIN best USING (doc_id)
+    """,
+)
 def op6_licenses(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = licenses.with_licenses(documents, licenses.prepare_templates(documents))
@@ -124,12 +176,60 @@ def op6_licenses(spark, sf_dir):
     )
 
 
-@query("op2_warc")
+@query(
+    "op2_warc",
+    """
+    WITH hashed AS (
+        SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+    ), bits AS (
+        SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+            lpad(bin(strpos('0123456789abcdef', substr(h, i, 1)) - 1), 4, '0')), '') AS b
+        FROM hashed
+    ), firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM bits)
+    SELECT page_id, strlen(html) AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda j: substr(
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+            + 16 * CAST(substr(b, 5 * j + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * j + 2, 1) AS INT)
+            + 4 * CAST(substr(b, 5 * j + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * j + 4, 1) AS INT)
+            + CAST(substr(b, 5 * j + 5, 1) AS INT), 1)), '') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM firsts
+    """,
+)
 def op2_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-@query("op8_chat")
+def _escaped_sql(text):
+    """Text with doubled backslashes and one inside every control string."""
+    out = rf"replace({text}, '\', '\\')"
+    for control in chat.CONTROLS:
+        out = f"replace({out}, '{control}', '<\\{control[1:]}')"
+    return out
+
+
+@query(
+    "op8_chat",
+    rf"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), said AS (
+        SELECT conv_id, count(*) AS n_turns,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS whole,
+            coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+            CAST(sum(length({_escaped_sql("role")}) + length({_escaped_sql("text")})
+                + {len(chat.TURN + chat.SAYS + chat.END)}) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
+        sha256(loss) AS loss_sha256, formatted_chars
+    FROM said
+    """,
+)
 def op8_chat(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = r"\### Assistant: </turn> ok"

@@ -165,5 +165,6 @@ def first_of_each(documents: DataFrame) -> DataFrame:
     """
     stays = groups(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = stays.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(utf8("text")) == F.col("_key"))
+    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
+    same = documents["doc_id"].eqNullSafe(stays["_id"]) & (F.xxhash64(text) == stays["_key"])
     return documents.join(stays, same, "left_semi")

@@ -171,7 +171,7 @@ def score_texts(texts, model):
 
 
 def with_score(documents: DataFrame, model, column: str = "score") -> DataFrame:
-    """Add the score of `text`; all other columns stay as they are."""
+    """Add the score of `text` as `column` (in place of one of that name); all others stay."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:

@@ -15,11 +15,13 @@ def sf_dir():
     return SF_DIR
 
 
-def documents(spark, rows, more=()):
-    """Documents from (doc_id, text) pairs, with two columns no operator knows."""
-    table = [(i, t, "x", 1.5, None) for i, t in rows]
+def documents(spark, rows):
+    """Documents from (doc_id, text) pairs, with columns whose names operators use inside."""
+    table = [(i, t, "x", 1.5, None, "i", b"d", 7, [1], "m") for i, t in rows]
     return spark.createDataFrame(
-        table, "doc_id long, text string, label string, score double, n int"
+        table,
+        "doc_id long, text string, label string, score double, n int, _id string, "
+        "_digest binary, fp long, matches array<int>, quality_score string",
     )
 
 
