@@ -178,3 +178,12 @@ def test_strict_times_fail(spark):
 def test_hex_quantity(spark):
     texts = ["0x1b4", "1B4", "0x0", "0x" + "0" * 30 + "7", "zz", "", None, "0x" + "f" * 16, "0x" + "f" * 17]
     assert mapped(spark, texts, hex_quantity) == [436, 436, 0, 7, None, None, None, None, None]
+
+
+def test_ether_digits_are_exact_up_to_the_largest_amount(spark):
+    values = [float(f"{m}e{e}") for m in (1, 1.1, 3.3, 9.87654321) for e in range(9, 21)]
+    values += [2.0**k / 1e18 for k in range(60, 128, 3)]
+    frame = spark.createDataFrame([(v,) for v in values if v * 1e18 < 2.0**128], "ether double")
+    rows = frame.select("ether", ether_to_wei(F.col("ether")).alias("wei"), ether_to_rank_wei(F.col("ether")).alias("rank"))
+    for row in rows.collect():
+        assert row["wei"] == row["rank"] == str(int(row["ether"] * 1e18)), row["ether"]

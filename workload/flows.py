@@ -51,7 +51,7 @@ def labels_of(spark, sf_dir):
     "F1_native_nonzero",
     check_sql(
         "SELECT hash, category, value FROM raw WHERE category IN ('external', 'internal') "
-        "AND (value IS NULL OR value <> 0)",
+        "AND (value_wei_text IS NOT NULL OR value IS NULL OR value <> 0)",
         "raw",
     ),
 )
