@@ -8,8 +8,11 @@ the word before it, and each trie node is computed once. Two tokens join cleanly
 their bytes would give the two back; that is decided by undoing the later merge at the
 boundary step by step, and remembered.
 
-A worker keeps encodings of words it has met, up to a bound; nothing is shuffled, and the
-vocabulary file is read once by the driver and sent to the executors (a few megabytes).
+Texts are cut into words by the vocabulary's pattern on arrays of character kinds, a block of
+texts at a time; equal words of a block are found by two independent 64-bit hashes, so that
+each distinct word is handled once. A worker keeps encodings of words it has met, up to a
+bound; nothing is shuffled, and the vocabulary file is read once by the driver and sent to
+the executors (a few megabytes).
 
 Defined cases: null texts count as empty and give no tokens; the special tokens of the file
 are recognized inside texts; very long words only need a list of their own length; repeated
@@ -19,14 +22,17 @@ rows are encoded each; extra columns stay; an empty table gives no rows.
 import json
 import struct
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import utf8
+from ledgerloom.llm.words import mix64, powers
 
-# Fixed value: the pattern that cuts texts into words before merging.
+# Fixed value: the pattern that cuts texts into words before merging; `cut_words` does the same.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LETTER, _DIGIT, _SPACE, _OTHER = range(4)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Encoded words that a worker remembers.
 MEMORY_WORDS = 500_000
 BLOCK_CHARS = 2_000_000
@@ -40,6 +46,74 @@ def byte_letters():
     return {chr(b if b in printable else next(spare)): b for b in range(256)}
 
 
+def _kinds():
+    """The kind of every code point: letter, digit, space or other."""
+    if "kinds" not in _LOADED:
+        table = np.full(0x110000, _OTHER, dtype=np.uint8)
+        # Surrogates stand in no text; a placeholder keeps positions and code points equal.
+        every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "-" for c in range(0x110000))
+        for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
+            for found in regex.finditer(pattern, every):
+                table[found.start() : found.end()] = kind
+        _LOADED["kinds"] = table
+    return _LOADED["kinds"]
+
+
+def cut_words(points, begins):
+    """Starts of the words of texts: `points` are their code points, `begins` where each begins.
+
+    Every run of one kind is a word. The last space of a run of white space belongs to the
+    word after it if it is a plain space, and is a word of its own otherwise; white space at
+    the end of a text stays together. An apostrophe takes s, t, m, d, re, ve or ll along.
+    """
+    n = len(points)
+    if n == 0:
+        return np.empty(0, dtype=np.int64)
+    kind = _kinds()[points]
+    fresh = np.zeros(n + 1, dtype=bool)
+    fresh[begins] = True
+    fresh[n] = True
+    change = fresh[:n].copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    run = np.flatnonzero(change)
+    end = np.append(run[1:], n)
+    space = kind[run] == _SPACE
+    word = np.zeros(n + 1, dtype=bool)
+    word[run] = True
+    # White space with a word after it in the same text gives up its last character.
+    gives = space & ~fresh[end]
+    word[end[gives] - 1] = True
+    plain = gives & (points[end - 1] == 32)
+    word[end[plain]] = False
+    # Apostrophes at the start of a word, alone, with the right letters after them.
+    lone = np.flatnonzero((points[run] == 39) & (end - run == 1) & word[run] & ~fresh[end])
+    lone = lone[kind[end[lone]] == _LETTER] if len(lone) else lone
+    if len(lone):
+        at, stop = end[lone], end[lone + 1]
+        first, second = points[at], points[np.minimum(at + 1, n - 1)]
+        one = np.isin(first, [115, 116, 109, 100])
+        pair = ((first == 114) | (first == 118)) & (second == 101) | (first == 108) & (second == 108)
+        taken = np.where(one, 1, np.where(pair & (at + 1 < stop), 2, 0))
+        at, stop, taken = at[taken > 0], stop[taken > 0], taken[taken > 0]
+        word[at] = False
+        after = at + taken
+        word[after[after < stop]] = True
+    return np.flatnonzero(word[:n])
+
+
+def _hashes(points, starts, ends):
+    """Two polynomial hashes of every word."""
+    out = []
+    with np.errstate(over="ignore"):
+        for base in _BASES:
+            inverse = pow(base, -1, 1 << 64)
+            sums = np.zeros(len(points) + 1, dtype=np.uint64)
+            terms = (points.astype(np.uint64) + np.uint64(1)) * powers(base, len(points))
+            np.cumsum(terms, out=sums[1:])
+            out.append(mix64((sums[ends] - sums[starts]) * powers(inverse, len(points) + 1)[starts]))
+    return out
+
+
 class Encoder:
     """A byte-level vocabulary whose ids follow the order of the merges."""
 
@@ -58,8 +132,8 @@ class Encoder:
             self.merged[left, right] = whole
             self.parts[whole] = (left, right)
         self.longest = max(map(len, self.ids))
-        self.clean, self.memory = {}, {}
-        self.words = regex.compile(PATTERN)
+        self.sizes = {i: len(t) for i, t in self.bytes_of.items()}
+        self.clean, self.memory, self.older = {}, {}, {}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -80,7 +154,7 @@ class Encoder:
 
     def encode_words(self, words):
         """Encode distinct words (bytes, sorted) along their trie; yields lists of ids."""
-        ids, clean, longest = self.ids, self.clean, self.longest
+        ids, clean, longest, sizes = self.ids, self.clean, self.longest, self.sizes
         last, before = [0], b""
         for word in words:
             shared, most = 0, min(len(word), len(before))
@@ -94,24 +168,33 @@ class Encoder:
                         continue
                     if begin == 0:
                         break
-                    pair = (last[begin], token)
+                    pair = last[begin] << 32 | token
                     fits = clean.get(pair)
                     if fits is None:
                         if len(clean) > 2_000_000:
                             clean.clear()
-                        fits = clean[pair] = self.joins_cleanly(*pair)
+                        fits = clean[pair] = self.joins_cleanly(last[begin], token)
                     if fits:
                         break
                 last.append(token)
             before, at, out = word, len(word), []
             while at:
-                out.append(last[at])
-                at -= len(self.bytes_of[last[at]])
-            yield out[::-1]
+                token = last[at]
+                out.append(token)
+                at -= sizes[token]
+            out.reverse()
+            yield out
+
+    def _remember(self, words):
+        """Have the encodings of `words` in memory: words met again lately outlive the others."""
+        if len(self.memory) + len(words) > MEMORY_WORDS // 2:
+            self.older, self.memory = self.memory, {}
+        missing = [w for w in words if w not in self.memory]
+        known = {w: self.older[w] for w in missing if w in self.older}
+        self.memory.update(known)
+        self._learn([w for w in missing if w not in known])
 
     def _learn(self, words):
-        if len(self.memory) + len(words) > MEMORY_WORDS:
-            self.memory.clear()
         ordered = sorted((w.encode(), w) for w in words)
         for (_, word), found in zip(ordered, self.encode_words([b for b, _ in ordered])):
             self.memory[word] = struct.pack(f"<{len(found)}I", *found)
@@ -127,29 +210,49 @@ class Encoder:
                 block, size = [], 0
         return out + self._encode_block(block)
 
-    def _pieces(self, text):
-        """(words, id of the special token after them or None)."""
-        if self.cut is None or not any(t in text for t in self.special):
-            yield self.words.findall(text), None
-            return
-        parts = self.cut.split(text)
-        for i in range(0, len(parts), 2):
-            after = self.special[parts[i + 1]] if i + 1 < len(parts) else None
-            yield self.words.findall(parts[i]), after
+    def _segments(self, texts):
+        """Parts of the texts between special tokens: (parts, text of each, special token after)."""
+        parts, owner, after = [], [], []
+        for i, text in enumerate(texts):
+            if self.cut is None or not any(t in text for t in self.special):
+                own = [text]
+            else:
+                own = self.cut.split(text)
+            for k in range(0, len(own), 2):
+                parts.append(own[k])
+                owner.append(i)
+                after.append(self.special[own[k + 1]] if k + 1 < len(own) else -1)
+        return parts, np.array(owner, dtype=np.int64), np.array(after, dtype=np.int64)
 
     def _encode_block(self, texts):
-        cut = [list(self._pieces(t)) for t in texts]
-        new = set()
-        for pieces in cut:
-            for words, _ in pieces:
-                new.update(words)
-        missing = new.difference(self.memory)
-        if len(self.memory) + len(missing) > MEMORY_WORDS:
-            missing = new
-        self._learn(missing)
-        known = self.memory.__getitem__
-        tail = lambda token: b"" if token is None else struct.pack("<I", token)
-        return [b"".join(b"".join(map(known, words)) + tail(after) for words, after in p) for p in cut]
+        parts, owner, after = self._segments(texts)
+        joined = "".join(parts)
+        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        starts = cut_words(points, begins[:-1][sizes > 0])
+        ends = np.append(starts, len(points))[1:].astype(np.int64)
+        hashes, check = _hashes(points, starts, ends)
+        _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        if (check[first][word] != check).any():
+            raise ValueError("two words share a hash")
+        distinct = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        self._remember(distinct)
+        packed = [self.memory[w] for w in distinct]
+        flat = np.frombuffer(b"".join(packed), dtype="<u4")
+        lengths = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        offsets = np.cumsum(lengths) - lengths
+        # Ids of all words in order, then cut by part, with the special token after each.
+        own = lengths[word]
+        places = np.cumsum(own) - own
+        every = flat[np.repeat(offsets[word] - places, own) + np.arange(own.sum())]
+        upto = np.append(places, own.sum())[np.searchsorted(starts, begins)]
+        out = [[] for _ in texts]
+        for k, i in enumerate(owner.tolist()):
+            out[i].append(every[upto[k] : upto[k + 1]].tobytes())
+            if after[k] >= 0:
+                out[i].append(struct.pack("<I", after[k]))
+        return [b"".join(ids) for ids in out]
 
     def decode(self, ids: bytes) -> str:
         found = memoryview(ids).cast("I").tolist() if ids else []
@@ -159,10 +262,9 @@ class Encoder:
 def _encoder(content):
     """The encoder of a worker process, built once."""
     key = hash(content)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(content)
-    return _LOADED[key]
+    if _LOADED.get("key") != key:
+        _LOADED.update(key=key, encoder=Encoder(content))
+    return _LOADED["encoder"]
 
 
 def send_vocabulary(spark, path: str):

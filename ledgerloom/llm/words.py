@@ -41,14 +41,16 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base, n):
-    """base**0 .. base**(n-1) modulo 2**64, kept per process."""
+def powers(base, n):
+    """base**0 .. base**(n-1) modulo 2**64; up to a few megabytes are kept per process."""
     have = _TABLES.get(base)
     if have is None or len(have) < n:
         out = np.ones(max(n, _PIECE + 1), dtype=np.uint64)
         out[1:] = np.uint64(base)
-        have = _TABLES[base] = np.multiply.accumulate(out)
-    return have
+        have = np.multiply.accumulate(out)
+        if len(have) <= 2 * _PIECE:
+            _TABLES[base] = have
+    return have[:n]
 
 
 @dataclass
@@ -96,10 +98,10 @@ def _scan(data, table, offset):
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(
-            (data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data))[: len(data)],
+            (data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)),
             out=sums[1:],
         )
-        hashes = mix64((sums[end] - sums[start]) * _powers(inverse, len(data) + 1)[start])
+        hashes = mix64((sums[end] - sums[start]) * powers(inverse, len(data) + 1)[start])
     return start + offset, end + offset, hashes
 
 
