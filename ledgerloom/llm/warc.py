@@ -31,6 +31,8 @@ from ledgerloom.llm.common import keep, utf8
 from ledgerloom.session import scratch_path
 
 ARCHIVE_BYTES = 256 << 20
+#: Tasks that read archives; each takes several where there are more.
+MAX_TASKS = 20_000
 #: Repeated digests that may be broadcast (about 100 MB); more are joined by shuffle.
 BROADCAST_DIGESTS = 1_000_000
 DATE = "2024-01-01T00:00:00Z"
@@ -38,6 +40,14 @@ CHUNK = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+_INFO = (
+    ("WARC-Type", "warcinfo"),
+    ("WARC-Record-ID", "<urn:page:info>"),
+    ("WARC-Date", DATE),
+    ("Content-Type", "application/warc-fields"),
+)
+
+
 class WarcError(ValueError):
     """An archive breaks its framing or a digest."""
 
@@ -173,24 +183,32 @@ def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
 
 
+def _opened(root):
+    """(file system, path in it) of a folder given as a path or URI."""
+    if root.startswith("file:"):
+        root = "/" + root.removeprefix("file:").lstrip("/")
+    return (fs.LocalFileSystem(), root) if root.startswith("/") else fs.FileSystem.from_uri(root)
+
+
 def _number(value):
     return None if pd.isna(value) else int(value)
 
 
 def write_archives(pages: DataFrame, root: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES):
     """(path, n_records, n_bytes) of the archives written; this table names what counts."""
-    place, base = fs.FileSystem.from_uri(root if ":" in root else f"file://{root}")
+    place, base = _opened(root)
     place.create_dir(base, recursive=True)
 
     def write(batches):
-        files, folder = fs.FileSystem.from_uri(root if ":" in root else f"file://{root}")
+        files, folder = _opened(root)
         out, made = None, []
         for rows in batches:
             for page_id, url, payload, refers_to, revisit in rows.itertuples(index=False, name=None):
                 if out is None:
+                    # Members are compressed here; by the name alone Arrow would do it again.
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-                    out, n, size = files.open_output_stream(path), 0, 0
-                    size += out.write(member(_frame([("WARC-Type", "warcinfo"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")))
+                    out, n, size = files.open_output_stream(path, compression=None), 0, 0
+                    size += out.write(member(_frame(_INFO, b"format: WARC File Format 1.1\r\n")))
                 data = member(page_record(_number(page_id), url, payload, _number(refers_to), revisit))
                 out.write(data)
                 n, size = n + 1, size + len(data)
@@ -216,11 +234,11 @@ def read_archives(archives: DataFrame, root: str, payloads: bool = False) -> Dat
     names = [c.split()[0] for c in schema.split(", ")]
 
     def read(batches):
-        files, _ = fs.FileSystem.from_uri(root if ":" in root else f"file://{root}")
+        files, _ = _opened(root)
         for rows in batches:
             for path in rows["path"]:
                 found, size = [], 0
-                with files.open_input_stream(path) as stream:
+                with files.open_input_stream(path, compression=None) as stream:
                     for record in read_archive(stream):
                         found.append(record if payloads else record[:-1])
                         size += record[1] if payloads else 64
@@ -229,8 +247,10 @@ def read_archives(archives: DataFrame, root: str, payloads: bool = False) -> Dat
                             found, size = [], 0
                 yield _records(found, names)
 
-    # One archive is one sequential read: spread them over the tasks.
-    spread = archives.select("path").repartition(F.col("path"))
+    # One archive is one sequential read. A stated number keeps adaptive execution from
+    # putting all of the few paths into one task.
+    n_tasks = min(max(1, archives.count()), MAX_TASKS)
+    spread = archives.select("path").repartition(n_tasks)
     return spread.mapInPandas(read, schema)
 
 
