@@ -188,7 +188,8 @@ def _finder(sent, kind, threshold):
             dtype=object,
         )
 
-    return F.pandas_udf(found_in, _MATCHES.format(kind=kind))
+    # Spark would search twice, once to drop empty results before they are exploded.
+    return F.pandas_udf(found_in, _MATCHES.format(kind=kind)).asNondeterministic()
 
 
 def search(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
