@@ -133,6 +133,11 @@ class Encoder:
             self.parts[whole] = (left, right)
         self.longest = max(map(len, self.ids))
         self.sizes = {i: len(t) for i, t in self.bytes_of.items()}
+        # The bytes of all tokens in a row, for decoding by index.
+        tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.token_sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        self.token_bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.clean, self.memory, self.older = {}, {}, {}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -255,8 +260,11 @@ class Encoder:
         return [b"".join(ids) for ids in out]
 
     def decode(self, ids: bytes) -> str:
-        found = memoryview(ids).cast("I").tolist() if ids else []
-        return b"".join(map(self.bytes_of.__getitem__, found)).decode("utf-8", errors="replace")
+        found = np.frombuffer(ids, dtype="<u4")
+        length = self.token_sizes[found]
+        upto = np.cumsum(length)
+        first = np.repeat(self.token_starts[found] - (upto - length), length)
+        return self.token_bytes[first + np.arange(len(first))].tobytes().decode("utf-8", errors="replace")
 
 
 def _encoder(content):
