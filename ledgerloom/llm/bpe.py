@@ -27,6 +27,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.llm.common import free_name
 from ledgerloom.llm.words import mix64, powers
 
 # Fixed value: the pattern that cuts texts into words before merging; `cut_words` does the same.
@@ -35,7 +36,7 @@ _LETTER, _DIGIT, _SPACE, _OTHER = range(4)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Encoded words that a worker remembers.
 MEMORY_WORDS = 500_000
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 _LOADED = {}
 
 
@@ -303,7 +304,21 @@ def with_decoded(documents: DataFrame, vocabulary, ids: str = "ids", column: str
 
 
 def encoded_documents(documents: DataFrame, path: str) -> DataFrame:
-    """`documents` with ids, n_tokens and decoded in place of the text."""
+    """`documents` with ids, n_tokens and decoded, by one function: one Python worker a task."""
     vocabulary = send_vocabulary(documents.sparkSession, path)
-    marked = with_decoded(with_ids(documents, vocabulary), vocabulary)
-    return marked.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+    @F.pandas_udf("ids binary, decoded string")
+    def coded(texts: pd.Series) -> pd.DataFrame:
+        encoder = _encoder(vocabulary.value)
+        ids = encoder.encode(list(texts))
+        return pd.DataFrame({"ids": ids, "decoded": [encoder.decode(x) for x in ids]}, dtype=object)
+
+    name = free_name(documents, "coded")
+    marked = documents.withColumn(name, coded(F.coalesce(F.col("text"), F.lit(""))))
+    return marked.withColumns(
+        {
+            "ids": F.col(name)["ids"],
+            "decoded": F.col(name)["decoded"],
+            "n_tokens": (F.octet_length(F.col(name)["ids"]) / 4).cast("long"),
+        }
+    ).drop(name)

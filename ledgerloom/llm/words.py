@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _TABLES = {}
@@ -45,7 +45,7 @@ def powers(base, n):
     """base**0 .. base**(n-1) modulo 2**64; up to a few megabytes are kept per process."""
     have = _TABLES.get(base)
     if have is None or len(have) < n:
-        out = np.ones(max(n, _PIECE + 1), dtype=np.uint64)
+        out = np.ones(max(1 << (n - 1).bit_length(), 2), dtype=np.uint64)
         out[1:] = np.uint64(base)
         have = np.multiply.accumulate(out)
         if len(have) <= 2 * _PIECE:
@@ -132,7 +132,7 @@ def find_words(texts, table=ALNUM, lower=True) -> Words:
     return Words(joined, start, end, hashes, np.searchsorted(start, begins))
 
 
-def blocks(texts, limit=4 << 20):
+def blocks(texts, limit=1 << 20):
     """Index ranges of consecutive texts of about `limit` bytes together."""
     first, size = 0, 0
     for i, text in enumerate(texts):
