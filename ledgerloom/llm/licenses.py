@@ -9,6 +9,10 @@ the template and the first |B| - overlap + 1 words of the block (prefix filter),
 have enough words (length filter), and what remains after the shared position must suffice
 (positional filter). Pairs that pass are counted exactly, so the join finds every pair.
 
+Notices are often wrapped, so besides blocks there are runs, which line breaks do not end: a
+run starts at any word of a template and has the template's number of words divided by the
+threshold. It meets the template by the same share, after the same prefix and length filters.
+
 The templates are constants, so nothing but their word counts reaches the driver, and texts
 are scanned where they lie, without a shuffle.
 
@@ -54,6 +58,7 @@ class Templates:
     labels: list
     ranks: list
     needed: list
+    run_words: list
 
     @property
     def vocabulary(self):
@@ -72,11 +77,13 @@ class Templates:
 
 
 def _template_words(templates):
+    """(distinct words of every template, number of all its words)."""
     cut = find_words([t.encode() for t in templates])
-    return [
+    distinct = [
         sorted({cut.text(i) for i in range(cut.bounds[t], cut.bounds[t + 1])})
         for t in range(len(templates))
     ]
+    return distinct, np.diff(cut.bounds).tolist()
 
 
 def word_counts(documents: DataFrame, words) -> dict:
@@ -103,7 +110,7 @@ def word_counts(documents: DataFrame, words) -> dict:
 
 def prepare_templates(documents: DataFrame, templates=TEMPLATES, threshold=THRESHOLD) -> Templates:
     """Templates in the order of the corpus' own word frequencies."""
-    sets = _template_words(templates)
+    sets, sizes = _template_words(templates)
     every = sorted(set().union(*sets))
     counts = word_counts(documents, every)
     ordered = sorted(every, key=lambda w: (counts.get(w, 0), w))
@@ -113,6 +120,7 @@ def prepare_templates(documents: DataFrame, templates=TEMPLATES, threshold=THRES
         list(templates.values()),
         [sorted(rank[w] for w in s) for s in sets],
         [int(np.ceil(threshold * len(s) - 1e-9)) for s in sets],
+        [int(np.ceil(n / threshold - 1e-9)) for n in sizes],
     )
 
 
@@ -126,14 +134,19 @@ def _block_starts(lines, window):
     return line, first, np.minimum(first + window, sizes[line])
 
 
+def _ranks(words, templates):
+    """Rank of every word, -1 outside the templates."""
+    hashes, ranks = templates.vocabulary
+    at = np.minimum(np.searchsorted(hashes, words.hash), len(hashes) - 1)
+    return np.where(hashes[at] == words.hash, ranks[at], -1)
+
+
 def join_blocks(words, line_of_word, templates: Templates, window=WINDOW):
     """Every (template, first word, end word, shared words) that reaches its overlap."""
     out = []
     if not len(words.start):
         return out
-    hashes, ranks = templates.vocabulary
-    at = np.minimum(np.searchsorted(hashes, words.hash), len(hashes) - 1)
-    rank = np.where(hashes[at] == words.hash, ranks[at], -1)
+    rank = _ranks(words, templates)
     prefixes = templates.prefixes()
     seeds = np.flatnonzero(np.isin(rank, list(prefixes)))
     if not len(seeds):
@@ -168,6 +181,26 @@ def _meet(block, prefixes, templates):
                 yield t, shared
 
 
+def join_runs(words, doc, templates: Templates):
+    """Every (template, first word, end word, shared words) of a run that reaches its overlap."""
+    out = []
+    if not len(words.start):
+        return out
+    rank = _ranks(words, templates)
+    known = np.flatnonzero(rank >= 0)
+    for t, own in enumerate(templates.ranks):
+        needed = templates.needed[t]
+        first = known[np.isin(rank[known], own)]
+        end = np.minimum(first + templates.run_words[t], words.bounds[doc[first] + 1])
+        at, upto, ranks = np.arange(len(first)), np.searchsorted(first, end), rank[first]
+        seeds = np.concatenate([[0], np.cumsum(np.isin(ranks, own[: len(own) - needed + 1]))])
+        for i in np.flatnonzero((upto - at >= needed) & (seeds[upto] > seeds[at])).tolist():
+            shared = len(set(ranks[i : upto[i]].tolist()))
+            if shared >= needed:
+                out.append((t, first[i], end[i], shared))
+    return out
+
+
 def phrase_places(words, phrases=PHRASES):
     """(label, index of the first word) of every place of a phrase."""
     out, doc = [], words.doc()
@@ -189,8 +222,9 @@ def phrase_places(words, phrases=PHRASES):
 
 
 def scan_texts(texts, templates: Templates, phrases=PHRASES):
-    """(words, base places, template matches) of every UTF-8 text."""
-    counts, base, found = [], [[] for _ in texts], [[] for _ in texts]
+    """(words, base places, matches of blocks, matches of runs) of every UTF-8 text."""
+    counts, base = [], [[] for _ in texts]
+    found, runs = [[] for _ in texts], [[] for _ in texts]
     for first, last in blocks(texts):
         words = find_words(texts[first:last])
         doc = words.doc()
@@ -200,32 +234,36 @@ def scan_texts(texts, templates: Templates, phrases=PHRASES):
             base[first + d].append({"label": label, "word": at - int(words.bounds[d])})
         breaks = np.flatnonzero((words.data == 10) | (words.data == 13))
         lines = np.searchsorted(breaks, words.start)
-        for t, begin, end, shared in join_blocks(words, lines, templates):
-            d = int(doc[begin])
-            found[first + d].append(
-                {
-                    "label": templates.labels[t],
-                    "first_word": int(begin - words.bounds[d]),
-                    "n_words": int(end - begin),
-                    "containment": shared / len(templates.ranks[t]),
-                }
-            )
-    return counts, base, found
-
-
+        blocks_met, runs_met = join_blocks(words, lines, templates), join_runs(words, doc, templates)
+        for out, met in ((found, blocks_met), (runs, runs_met)):
+            for t, begin, end, shared in met:
+                d = int(doc[begin])
+                out[first + d].append(
+                    {
+                        "label": templates.labels[t],
+                        "first_word": int(begin - words.bounds[d]),
+                        "n_words": int(end - begin),
+                        "containment": shared / len(templates.ranks[t]),
+                    }
+                )
+    return counts, base, found, runs
+
+
+_MATCHES = "array<struct<label:string,first_word:long,n_words:long,containment:double>>"
 _FIELDS = (
     "n_words long, base array<struct<label:string,word:long>>, "
-    "found array<struct<label:string,first_word:long,n_words:long,containment:double>>"
+    f"found {_MATCHES}, runs {_MATCHES}"
 )
 
 
 def with_licenses(documents: DataFrame, templates: Templates) -> DataFrame:
-    """Add struct `licenses`: n_words, base (phrase places), found (template matches)."""
+    """Add struct `licenses`: n_words, base (phrase places), found (blocks that meet a
+    template), runs (runs that meet a template, across line breaks)."""
     sent = vars(templates)
 
     @F.pandas_udf(_FIELDS)
     def scanned(texts: pd.Series) -> pd.DataFrame:
-        counts, base, found = scan_texts(list(texts), Templates(**sent))
-        return pd.DataFrame({"n_words": counts, "base": base, "found": found})
+        counts, base, found, runs = scan_texts(list(texts), Templates(**sent))
+        return pd.DataFrame({"n_words": counts, "base": base, "found": found, "runs": runs})
 
     return documents.withColumn("licenses", scanned(utf8("text")))

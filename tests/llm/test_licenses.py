@@ -2,6 +2,7 @@ import random
 import re
 
 from ledgerloom.llm import licenses
+from ledgerloom.llm.queries import QUERIES
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -73,3 +74,43 @@ def test_global_order_is_by_corpus_frequency(make):
 def test_empty_table(make):
     frame = make([])
     assert licenses.with_licenses(frame, licenses.prepare_templates(frame)).count() == 0
+
+
+def labels_of(llm, tmp_path, every):
+    frame = llm.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = QUERIES["op6_licenses"](llm, str(tmp_path)).collect()
+    return {r["doc_id"]: (r["labels"].split(","), r["score"]) for r in rows}
+
+
+def test_notices_wrapped_at_every_word(llm, tmp_path):
+    wanted, every = [], []
+    for template, label in licenses.TEMPLATES.items():
+        w = template.split(" ")
+        wraps = [" ".join(w[:k]) + end + " ".join(w[k:]) for k in range(1, len(w)) for end in ("\n", "\r\n * ")]
+        for k, wrapped in enumerate([*wraps, "\n".join(w)]):
+            wanted.append(label)
+            every.append("word " * (7 * k) + "\n" + wrapped + "\nmore text")
+    got = labels_of(llm, tmp_path, every)
+    assert all(label in got[i][0] and got[i][1] == 1.0 for i, label in enumerate(wanted))
+
+
+def test_scattered_words_of_several_lines_are_no_notice(llm, tmp_path):
+    apart = "Released in May.\nThe end.\nLicensed under the Apache License, Version 2.0"
+    assert labels_of(llm, tmp_path, [apart])[0][0] == ["apache", "apache-2.0"]
+
+
+def test_runs_by_brute_force(make):
+    every, templates = texts(), {t: WORD.findall(lower(t)) for t in licenses.TEMPLATES}
+    frame, n = make(list(enumerate(every))), 0
+    for r in licenses.with_licenses(frame, licenses.prepare_templates(frame)).collect():
+        words, expected = WORD.findall(lower(r["text"])), []
+        for t, own in templates.items():
+            for s in (i for i, w in enumerate(words) if w in own):
+                run = words[s : s + -(-len(own) * 5 // 4)]
+                share = len(set(own) & set(run)) / len(set(own))
+                if share >= 0.8 - 1e-9:
+                    expected.append({"label": licenses.TEMPLATES[t], "first_word": s, "n_words": len(run), "containment": share})
+        assert sort(r["licenses"].asDict(recursive=True)["runs"]) == sort(expected)
+        n += len(expected)
+    assert n > 60
