@@ -12,6 +12,8 @@ have enough words (length filter), and what remains after the shared position mu
 Notices are often wrapped, so besides blocks there are runs, which line breaks do not end: a
 run starts at any word of a template and has the template's number of words divided by the
 threshold. It meets the template by the same share, after the same prefix and length filters.
+Runs follow each template's own length, so templates that no block could hold are met as well.
+Paragraphs of whole notices are met by runs only.
 
 The templates are constants, so nothing but their word counts reaches the driver, and texts
 are scanned where they lie, without a shuffle.
@@ -49,16 +51,36 @@ TEMPLATES = {
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit-grant",
 }
 
+# Paragraphs of well-known license notices, with their labels.
+NOTICES = {
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software": "mit-terms",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT': "mit-terms",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer": "bsd-terms",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-terms",
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED': "bsd-terms",
+    "you may not use this file except in compliance with the License. You may obtain a copy of the License at": "apache-terms",
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied': "apache-terms",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "gnu-terms",
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE": "gnu-terms",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "isc",
+    "This is free and unencumbered software released into the public domain": "unlicense",
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means": "unlicense",
+}
+
 
 @dataclass(frozen=True)
 class Templates:
-    """Templates with their words as ranks in the global order, rarest first."""
+    """Templates with their words as ranks in the global order, rarest first.
+
+    The first `n_blocks` ones meet blocks and runs, the others runs only.
+    """
 
     words: list
     labels: list
     ranks: list
     needed: list
     run_words: list
+    n_blocks: int
 
     @property
     def vocabulary(self):
@@ -68,9 +90,9 @@ class Templates:
         return hashes[order], order
 
     def prefixes(self):
-        """{rank: [(template, position)]} of the words in template prefixes."""
+        """{rank: [(template, position)]} of the words in the prefixes of block templates."""
         out = {}
-        for t, ranks in enumerate(self.ranks):
+        for t, ranks in enumerate(self.ranks[: self.n_blocks]):
             for position, rank in enumerate(ranks[: len(ranks) - self.needed[t] + 1]):
                 out.setdefault(rank, []).append((t, position))
         return out
@@ -108,19 +130,23 @@ def word_counts(documents: DataFrame, words) -> dict:
     return {known[r["word"]]: r["n"] for r in rows}
 
 
-def prepare_templates(documents: DataFrame, templates=TEMPLATES, threshold=THRESHOLD) -> Templates:
-    """Templates in the order of the corpus' own word frequencies."""
-    sets, sizes = _template_words(templates)
+def prepare_templates(
+    documents: DataFrame, templates=TEMPLATES, threshold=THRESHOLD, notices=None
+) -> Templates:
+    """Templates, and notices for runs only, in the order of the corpus' own word frequencies."""
+    pairs = [*templates.items(), *(notices or {}).items()]
+    sets, sizes = _template_words([text for text, _ in pairs])
     every = sorted(set().union(*sets))
     counts = word_counts(documents, every)
     ordered = sorted(every, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(ordered)}
     return Templates(
         ordered,
-        list(templates.values()),
+        [label for _, label in pairs],
         [sorted(rank[w] for w in s) for s in sets],
         [int(np.ceil(threshold * len(s) - 1e-9)) for s in sets],
         [int(np.ceil(n / threshold - 1e-9)) for n in sizes],
+        len(templates),
     )
 
 

@@ -160,8 +160,9 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 )
 def op6_licenses(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = licenses.with_licenses(documents, licenses.prepare_templates(documents))
-    # The check SQL has blocks of single lines only; a wrapped notice is met by a run.
+    templates = licenses.prepare_templates(documents, notices=licenses.NOTICES)
+    marked = licenses.with_licenses(documents, templates)
+    # The check SQL has blocks of single lines and TEMPLATES only; a wrapped notice is met by a run.
     base, found = F.col("licenses.base"), F.concat("licenses.found", "licenses.runs")
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     best = F.coalesce(F.array_max(found["containment"]), F.lit(0.0))

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from ledgerloom.llm import licenses
 from ledgerloom.llm.queries import QUERIES
@@ -114,3 +115,19 @@ def test_runs_by_brute_force(make):
         assert sort(r["licenses"].asDict(recursive=True)["runs"]) == sort(expected)
         n += len(expected)
     assert n > 60
+
+
+def test_paragraphs_of_real_notices(llm, tmp_path):
+    every = [textwrap.fill(t, 60, initial_indent="# ", subsequent_indent="# ") for t in licenses.NOTICES]
+    got = labels_of(llm, tmp_path, every + ["# alpha\n" * 90])
+    assert all(label in got[i][0] and got[i][1] == 1.0 for i, label in enumerate(licenses.NOTICES.values()))
+    assert got[len(every)] == ([""], 0.0)
+
+
+def test_templates_longer_than_a_block(make):
+    long = [f"w{k}" for k in range(100)]
+    texts_ = [" ".join(["x"] * n + long[:keep]) for n in (0, 17, 50) for keep in (100, 80, 79)]
+    frame = make(list(enumerate(texts_)))
+    marked = licenses.with_licenses(frame, licenses.prepare_templates(frame, {" ".join(long): "long"}))
+    got = {r["doc_id"]: {m["containment"] for m in r["licenses"]["runs"]} for r in marked.collect()}
+    assert [max(got[i], default=None) for i in range(9)] == [1.0, 0.8, None] * 3
