@@ -98,7 +98,10 @@ def read_map(spark: SparkSession, root: str, version: int | None = None) -> Data
 
 
 def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, root: str | None = None):
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot).
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, rebalanced_shard).
+
+    The map is stored as version 1, and edited for one more shard as version 2;
+    `rebalanced_shard` is the row's shard by version 2. `grown_shard` is null under this law.
 
     `slot` numbers the rows of a shard without gaps: rows are numbered within their virtual
     slot (thousands of tasks' worth), on top of the rows in the shard's earlier slots.
@@ -106,11 +109,16 @@ def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, root:
     spark = documents.sparkSession
     records = keep(record_slots(documents, slots), "records")
     sizes = keep(slot_sizes(spark, records, slots), "slot-sizes")
-    assigned = store_map(deal_slots(sizes, shards), root or scratch_path(spark, "slot-map"), 1)
+    root = root or scratch_path(spark, "slot-map")
+    store_map(deal_slots(sizes, shards), root, 1)
+    assigned = read_map(spark, root, 1)
+    store_map(grow(sizes, assigned, shards), root, 2)
+    rebalanced = read_map(spark, root).withColumnRenamed("shard", "rebalanced_shard")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     placed = assigned.join(F.broadcast(sizes), "virtual_slot").select(
         "virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("offset")
     )
+    placed = placed.join(F.broadcast(rebalanced), "virtual_slot")
     within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
     numbered = records.withColumn("number", F.row_number().over(within))
     # One row per slot, and slots are a fixed number: always small enough to broadcast.
@@ -124,4 +132,5 @@ def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, root:
         (F.col("offset") + F.col("number") - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
+        "rebalanced_shard",
     )

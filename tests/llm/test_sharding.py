@@ -47,3 +47,16 @@ def test_growing_moves_rows_into_the_new_shard_only(llm, make):
 
 def test_empty_table(make):
     assert sharding.shard(make([]), shards=3, slots=16).count() == 0
+
+
+def test_rows_follow_the_map_that_grew(llm, make):
+    root = scratch_path(llm, "grown-map-test")
+    got = sharding.shard(make([(i, "x" * (i % 90)) for i in range(4000)]), 10, 1024, root).toPandas()
+    latest = {r["virtual_slot"]: r["shard"] for r in sharding.read_map(llm, root).collect()}
+    first = {r["virtual_slot"]: r["shard"] for r in sharding.read_map(llm, root, 1).collect()}
+    assert (got["rebalanced_shard"] == got["virtual_slot"].map(latest)).all()
+    assert (got["shard"] == got["virtual_slot"].map(first)).all()
+    moved = got[got["rebalanced_shard"] != got["shard"]]
+    assert len(moved) and set(moved["rebalanced_shard"]) == {10}
+    loads = got.groupby("rebalanced_shard")["size"].sum()
+    assert len(loads) == 11 and loads.max() < 1.15 * loads.min()
