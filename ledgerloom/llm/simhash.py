@@ -141,30 +141,37 @@ def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = T
 
 
 def groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of every document row; text_key hashes the text."""
+    """(doc_id, text_key, fp, component_id, root) of every document row.
+
+    text_key hashes the text; root is a fingerprint of the component that no other one has.
+    """
     texts = documents.select("doc_id", "text", F.xxhash64(utf8("text")).alias("text_key"))
     marked = keep(with_fingerprint(texts).drop("text"), "fingerprints")
     firsts = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "firsts")
     links = keep(tile_links(firsts, radius), "tile-links")
     linked = firsts.join(components(links), F.col("fp") == F.col("node")).select("fp", "root", "first_id")
     low = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    joined = linked.join(low, "root").select("fp", "component_id")
+    joined = linked.join(low, "root").select("fp", "component_id", "root")
     ids = firsts.join(joined, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")
+        "fp",
+        F.coalesce("component_id", "first_id").alias("component_id"),
+        F.coalesce("root", "fp").alias("root"),
     )
     # Written, so that both sides of the last join are plain scans and a hot fingerprint is split.
     ids = keep(ids, "component-ids")
-    return marked.join(ids, "fp").select("doc_id", "text_key", "fp", "component_id")
+    return marked.join(ids, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def first_of_each(documents: DataFrame) -> DataFrame:
     """Documents without near copies: the smallest id of each component stays.
 
-    A null id stays only if its component has no other id. Rows that repeat an id and a
-    text are all kept here (exact dedup removes repeated rows).
+    A null id stays only if its component has no other id. Of different texts with the same
+    id (or none) the one with the smallest hash stays. Rows that repeat an id and a text are
+    all kept here (exact dedup removes repeated rows).
     """
-    stays = groups(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = stays.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    stays = groups(documents).groupBy("root").agg(F.min(row).alias("first"))
+    stays = stays.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
     text = F.coalesce(documents["text"], F.lit("")).cast("binary")
     same = documents["doc_id"].eqNullSafe(stays["_id"]) & (F.xxhash64(text) == stays["_key"])
     return documents.join(stays, same, "left_semi")

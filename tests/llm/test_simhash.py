@@ -87,3 +87,16 @@ def test_first_of_each_keeps_columns(make):
     ids = sorted((r["doc_id"], r["text"]) for r in kept.filter("doc_id is not null").collect())
     assert ids == [(2, "A b c D"), (9, "other words stand here")]
     assert simhash.first_of_each(make([])).count() == 0
+
+
+def test_first_of_each_leaves_one_of_repeated_and_null_ids(make):
+    base = [" ".join(f"{c}{k}" for k in range(400)) for c in "abcde"]
+    near = [b + " tail" for b in base]
+    fps = [[plain_fingerprint(t) for t in pair] for pair in zip(base, near)]
+    assert all((a ^ b).bit_count() <= 3 for a, b in fps)
+    assert all((a ^ b).bit_count() > 3 for i, p in enumerate(fps) for q in fps[:i] for a in p for b in q)
+    ids = [(5, 5), (None, None), (None, 7), (5, 5), (None, None)]
+    rows = [(i, t) for pair, *texts in zip(ids, base, near) for i, t in zip(pair, texts)]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.first_of_each(make(rows)).collect()]
+    assert sorted(t[0] for _, t in kept) == list("abcde") and set(kept) <= set(rows)
+    assert (7, near[2]) in kept
