@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import keep, utf8
+from ledgerloom.llm.common import free_name, keep, utf8
 
 #: Digests of a bucket, as a mean, and the least number of buckets.
 BUCKET_ROWS = 50_000
@@ -216,4 +216,8 @@ def without_copies(documents: DataFrame) -> DataFrame:
     # Whole rows that repeat an id and a text pass the join together; only then is it worth
     # another shuffle of the texts to leave one of them.
     known = documents.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if known else kept
+    if not known:
+        return kept
+    name = free_name(kept, "_digest")
+    marked = kept.withColumn(name, F.sha2(utf8("text"), 256))
+    return marked.dropDuplicates(["doc_id", name]).drop(name)

@@ -48,6 +48,13 @@ def test_one_row_of_each_text_stays(make):
     assert found == sorted([(2, "a"), (4, ""), (5, "b"), (5, "c"), (None, "z")], key=str)
 
 
+def test_null_and_empty_text_of_one_id_are_copies(make):
+    rows = [(4, None), (4, ""), (3, ""), (5, "b"), (5, "c")]
+    found = [(r["doc_id"], r["text"] or "") for r in exact_dedup.without_copies(make(rows)).collect()]
+    assert sorted(found) == [(4, ""), (5, "b"), (5, "c")]
+    assert exact_dedup.without_copies(make([(None, None), (None, "")])).count() == 1
+
+
 def test_empty_table(make):
     assert exact_dedup.groups(make([])).count() == 0
     assert exact_dedup.without_copies(make([])).count() == 0
