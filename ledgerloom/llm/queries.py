@@ -9,6 +9,7 @@ from ledgerloom.llm import (
     decontamination,
     exact_dedup,
     licenses,
+    periodicity,
     quality,
     sharding,
     simhash,
@@ -249,3 +250,38 @@ def op8_chat(spark, sf_dir):
 @query("op9_sharding")
 def op9_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodicity")
+def op13_periodicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # Of one document in ten the words from a on repeat the first p of them.
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = F.when(hashed % 10 == 0, words)
+    g, n = F.floor(hashed / 10), F.size(words)
+    changed = documents.select("doc_id", "text", words.alias("words"), g.alias("g"), n.alias("n"))
+    changed = changed.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    changed = changed.withColumn("p", period)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    places = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: place(i).cast("int"))
+    repeated = F.array_join(F.transform(places, lambda i: F.get("words", i)), " ")
+    text = F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text"))
+    found = periodicity.with_runs(changed.select("doc_id", text.alias("text")))
+    runs = F.col("periodicity.runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    best = best.cast("struct<length:long,start:long,period:long>")
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.select("doc_id", "periodicity", best.alias("best"), lines.alias("lines"))
+    text = F.concat(F.array_join("lines", "\n"), F.when(F.size("lines") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("lines").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("periodicity.collapsed", 256).alias("collapsed_sha256"),
+    )
