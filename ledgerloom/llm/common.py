@@ -1,11 +1,15 @@
 """Helpers of the operators: inputs as bytes, shared intermediate tables, label splits."""
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.session import use_utc, write_scratch
 
 #: Rows of one Arrow batch; whole texts can be long.
 BATCH_ROWS = 1024
+_STORE = "_ledgerloom_llm_process"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -58,3 +62,15 @@ def training_labels(labels: DataFrame, target: str, max_rows: int, seed: int = 1
         return known
     share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000))
     return known.filter(share < int(1_000_000 * max_rows / n))
+
+
+def kept_in_process(key, make):
+    """`make()`, once for each key in a worker process.
+
+    Modules of this folder travel by value, so their globals begin anew in every task; what a
+    process keeps lies in a module of its own that only `sys.modules` knows.
+    """
+    store = sys.modules.setdefault(_STORE, types.ModuleType(_STORE)).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]

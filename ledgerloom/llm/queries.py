@@ -9,6 +9,7 @@ from ledgerloom.llm import (
     decontamination,
     exact_dedup,
     licenses,
+    packing,
     periodicity,
     quality,
     sharding,
@@ -285,3 +286,11 @@ def op13_periodicity(spark, sf_dir):
         F.sha2(text, 256).alias("runs_sha256"),
         F.sha2("periodicity.collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_packing")
+def op12_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), path, end=2)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
