@@ -16,6 +16,7 @@ from ledgerloom.llm import (
     simhash,
     toxicity,
     warc,
+    whitening,
 )
 from ledgerloom.llm.common import held_out, table
 from ledgerloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -294,3 +295,21 @@ def op12_packing(spark, sf_dir):
     packed = packing.pack(table(spark, sf_dir, "documents"), path, end=2)
     crc = F.crc32("ids").alias("ids_crc32")
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.train(embeddings)
+    rows = whitening.whiten(embeddings, model)
+    rows = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    n, error, explained = (model.n, model.identity_error, model.explained) if model else (0, 0.0, [0.0])
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*map(F.lit, explained)), F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )

@@ -26,6 +26,9 @@ COLUMNS = {
     "op8_chat": "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     "op9_sharding": "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int",
     "op10_simhash": "doc_id long, fingerprint string, component_id long",
+    "op11_whitening": "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double",
+    "op12_packing": "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+    "op13_periodicity": "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string",
 }
 
 
@@ -46,8 +49,8 @@ def tables(llm):
     return lambda name: llm.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").collect()
 
 
-def test_ten_queries_and_the_pipeline():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+def test_every_query_and_the_pipeline():
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
