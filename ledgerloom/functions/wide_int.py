@@ -7,6 +7,8 @@ bigint, and the carries are folded once per group. A bigint limb sum holds more
 stay in hash aggregation with map-side combine.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: the largest unsigned 128-bit integer.
@@ -79,33 +81,29 @@ def numeric_desc(text: Column) -> list[Column]:
     return [F.length(text).desc(), text.desc()]
 
 
-def _binary_limbs(whole: Column) -> list[Column]:
-    """The four 32-bit parts of a non-negative double below 2^128, lowest first; exact."""
-    parts = []
-    for _ in range(4):
-        low = whole % F.lit(2.0**32)
-        parts.append(low.cast("bigint"))
-        whole = (whole - low) / F.lit(2.0**32)
-    return parts
+def _exact_decimal(whole: Column) -> Column:
+    """A non-negative double without fraction, below 2^125, as decimal(38, 0); exact.
+
+    Its upper and lower part are exact bigints. `whole` is named twice in each and no step
+    builds on another, so the expression stays small and compiled.
+    """
+    low = whole % F.lit(2.0**62)
+    high = (whole - low) / F.lit(2.0**62)
+    return high.cast("bigint").cast("decimal(20,0)") * F.lit(Decimal(2**62)) + low.cast(
+        "bigint"
+    ).cast("decimal(20,0)")
 
 
-def _large_text(whole: Column) -> Column:
-    """Digits of a double below 2^128 from its 32-bit parts, in limbs of seven digits.
+def _largest_text(whole: Column) -> Column:
+    """Digits of a double from 2^125 to 2^128, which may be one more than a decimal holds.
 
-    A part times seven digits of a power of 2^32 stays far below a bigint, and so do four
-    of them with a carry.
+    Such a double is a multiple of 8: the eighth is cut at twenty digits, and both parts are
+    multiplied with the carry.
     """
-    parts, base = _binary_limbs(whole), F.lit(_BASE)
-    limbs, carry = [], F.lit(0).cast("bigint")
-    for limb in range(_LIMB_COUNT):
-        total = carry
-        for i, part in enumerate(parts):
-            digits = 2 ** (32 * i) // _BASE**limb % _BASE
-            if digits:
-                total = total + part * F.lit(digits).cast("bigint")
-        limbs.append(F.lpad((total % base).cast("string"), _LIMB_DIGITS, "0"))
-        carry = F.call_function("div", total, base)
-    return F.ltrim(F.concat(*reversed(limbs)), F.lit("0"))
+    eighth, cut = _exact_decimal(whole / F.lit(8.0)), F.lit(Decimal(10**20))
+    low = (eighth % cut) * F.lit(Decimal(8))
+    high = F.call_function("div", eighth, cut) * F.lit(8) + F.call_function("div", low, cut)
+    return F.concat(high.cast("string"), F.lpad((low % cut).cast("string"), 20, "0"))
 
 
 def _integral_text(whole: Column) -> Column:
@@ -116,7 +114,8 @@ def _integral_text(whole: Column) -> Column:
     """
     return (
         F.when(whole < F.lit(2.0**63), whole.cast("bigint").cast("string"))
-        .when(whole < F.lit(2.0**128), _large_text(whole))
+        .when(whole < F.lit(2.0**125), _exact_decimal(whole).cast("string"))
+        .when(whole < F.lit(2.0**128), _largest_text(whole))
         .otherwise(F.format_string("%.0f", whole))
     )
 

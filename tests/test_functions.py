@@ -187,3 +187,22 @@ def test_ether_digits_are_exact_up_to_the_largest_amount(spark):
     rows = frame.select("ether", ether_to_wei(F.col("ether")).alias("wei"), ether_to_rank_wei(F.col("ether")).alias("rank"))
     for row in rows.collect():
         assert row["wei"] == row["rank"] == str(int(row["ether"] * 1e18)), row["ether"]
+
+
+def test_random_amounts_keep_every_digit(spark):
+    rng = random.Random(3)
+    ethers = [rng.random() * 2.0 ** rng.randrange(1, 69) for _ in range(3000)]
+    ethers += [rng.uniform(2.0**125, 2.0**128) / 1e18 for _ in range(500)]
+    ethers = [v for v in ethers if v * 1e18 < 2.0**128]
+    assert sum(v * 1e18 >= 1e38 for v in ethers) > 100
+    rows = spark.createDataFrame([(v,) for v in ethers], "v double")
+    rows = rows.select("v", ether_to_wei(F.col("v")).alias("wei"), ether_to_rank_wei(F.col("v")).alias("rank"))
+    for r in rows.collect():
+        assert (r.wei, r.rank) == (str(round(r.v * 1e18)), str(int(r.v * 1e18)))
+
+
+def test_amounts_stay_small_expressions(spark):
+    rows = spark.range(1).select(F.col("id").cast("double").alias("v"))
+    for amount in (ether_to_wei, ether_to_rank_wei):
+        plan = rows.select(amount(F.col("v")))._jdf.queryExecution().optimizedPlan()
+        assert plan.expressions().head().treeString().count("\n") < 400
