@@ -9,16 +9,18 @@ their bytes would give the two back; that is decided by undoing the later merge
 boundary step by step, and remembered.
 
 Texts are cut into words by the vocabulary's pattern on arrays of character kinds, a block of
-texts at a time; equal words of a block are found by two independent 64-bit hashes, so that
-each distinct word is handled once. A worker keeps encodings of words it has met, up to a
-bound; nothing is shuffled, and the vocabulary file is read once by the driver and sent to
-the executors (a few megabytes).
+texts at a time; equal words of a block are found by a hash and compared, so that each distinct
+word is handled once. A worker process keeps its encoder and the encodings of words it has met,
+up to a bound, from task to task; nothing is shuffled, and the vocabulary file is read once by
+the driver and sent to the executors (a few megabytes).
 
 Defined cases: null texts count as empty and give no tokens; the special tokens of the file
 are recognized inside texts; very long words only need a list of their own length; repeated
-rows are encoded each; extra columns stay; an empty table gives no rows.
+rows are encoded each; extra columns stay, those of the result columns' names are replaced; an
+empty table gives no rows.
 """
 
+import hashlib
 import json
 import struct
 
@@ -27,17 +29,15 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import free_name
-from ledgerloom.llm.words import mix64, powers
+from ledgerloom.llm.common import free_name, kept_in_process
+from ledgerloom.llm.words import same_sequences, sequence_hashes
 
 # Fixed value: the pattern that cuts texts into words before merging; `cut_words` does the same.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LETTER, _DIGIT, _SPACE, _OTHER = range(4)
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Encoded words that a worker remembers.
 MEMORY_WORDS = 500_000
 BLOCK_CHARS = 500_000
-_LOADED = {}
 
 
 def byte_letters():
@@ -49,15 +49,17 @@ def byte_letters():
 
 def _kinds():
     """The kind of every code point: letter, digit, space or other."""
-    if "kinds" not in _LOADED:
-        table = np.full(0x110000, _OTHER, dtype=np.uint8)
-        # Surrogates stand in no text; a placeholder keeps positions and code points equal.
-        every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "-" for c in range(0x110000))
-        for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
-            for found in regex.finditer(pattern, every):
-                table[found.start() : found.end()] = kind
-        _LOADED["kinds"] = table
-    return _LOADED["kinds"]
+    return kept_in_process("kinds", _make_kinds)
+
+
+def _make_kinds():
+    table = np.full(0x110000, _OTHER, dtype=np.uint8)
+    # Surrogates stand in no text; a placeholder keeps positions and code points equal.
+    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "-" for c in range(0x110000))
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            table[found.start() : found.end()] = kind
+    return table
 
 
 def cut_words(points, begins):
@@ -102,17 +104,24 @@ def cut_words(points, begins):
     return np.flatnonzero(word[:n])
 
 
-def _hashes(points, starts, ends):
-    """Two polynomial hashes of every word."""
-    out = []
-    with np.errstate(over="ignore"):
-        for base in _BASES:
-            inverse = pow(base, -1, 1 << 64)
-            sums = np.zeros(len(points) + 1, dtype=np.uint64)
-            terms = (points.astype(np.uint64) + np.uint64(1)) * powers(base, len(points))
-            np.cumsum(terms, out=sums[1:])
-            out.append(mix64((sums[ends] - sums[starts]) * powers(inverse, len(points) + 1)[starts]))
-    return out
+def distinct_words(points, starts, ends):
+    """(a place of every distinct word, the number of each word among them).
+
+    Words are grouped by a hash and then compared with the first of their group, character by
+    character; should a hash stand for two words, they are grouped by their characters.
+    """
+    sizes = ends - starts
+    hashes = sequence_hashes(points, sizes, 21)
+    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[word]
+    if (sizes == sizes[like]).all() and same_sequences(points, starts, points, starts[like], sizes).all():
+        return first, word
+    numbers, first, word = {}, [], np.empty(len(starts), dtype=np.int64)
+    for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        word[i] = n = numbers.setdefault(points[a:b].tobytes(), len(first))
+        if n == len(first):
+            first.append(i)
+    return np.array(first, dtype=np.int64), word
 
 
 class Encoder:
@@ -238,10 +247,7 @@ class Encoder:
         begins = np.concatenate([[0], np.cumsum(sizes)])
         starts = cut_words(points, begins[:-1][sizes > 0])
         ends = np.append(starts, len(points))[1:].astype(np.int64)
-        hashes, check = _hashes(points, starts, ends)
-        _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-        if (check[first][word] != check).any():
-            raise ValueError("two words share a hash")
+        first, word = distinct_words(points, starts, ends)
         distinct = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         self._remember(distinct)
         packed = [self.memory[w] for w in distinct]
@@ -270,10 +276,8 @@ class Encoder:
 
 def _encoder(content):
     """The encoder of a worker process, built once."""
-    key = hash(content)
-    if _LOADED.get("key") != key:
-        _LOADED.update(key=key, encoder=Encoder(content))
-    return _LOADED["encoder"]
+    key = ("bpe", hashlib.sha256(content).digest())
+    return kept_in_process(key, lambda: Encoder(content))
 
 
 def send_vocabulary(spark, path: str):
@@ -304,7 +308,10 @@ def with_decoded(documents: DataFrame, vocabulary, ids: str = "ids", column: str
 
 
 def encoded_documents(documents: DataFrame, path: str) -> DataFrame:
-    """`documents` with ids, n_tokens and decoded, by one function: one Python worker a task."""
+    """`documents` with ids, n_tokens and decoded, by one function: one Python worker a task.
+
+    Columns of these names are replaced.
+    """
     vocabulary = send_vocabulary(documents.sparkSession, path)
 
     @F.pandas_udf("ids binary, decoded string")

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.common import utf8
-from ledgerloom.llm.words import blocks, find_words
+from ledgerloom.llm.words import blocks, find_words, same_words
 
 THRESHOLD = 0.8
 WINDOW = 64
@@ -84,10 +84,9 @@ class Templates:
 
     @property
     def vocabulary(self):
-        """(sorted hashes, rank of each) of the template words."""
-        hashes = find_words([b" ".join(self.words)], lower=False).hash
-        order = np.argsort(hashes)
-        return hashes[order], order
+        """(the template words, their ranks by hash)."""
+        words = find_words([b" ".join(self.words)], lower=False)
+        return words, np.argsort(words.hash, kind="stable")
 
     def prefixes(self):
         """{rank: [(template, position)]} of the words in the prefixes of block templates."""
@@ -162,9 +161,16 @@ def _block_starts(lines, window):
 
 def _ranks(words, templates):
     """Rank of every word, -1 outside the templates."""
-    hashes, ranks = templates.vocabulary
-    at = np.minimum(np.searchsorted(hashes, words.hash), len(hashes) - 1)
-    return np.where(hashes[at] == words.hash, ranks[at], -1)
+    known, order = templates.vocabulary
+    hashes, out = known.hash[order], np.full(len(words.hash), -1, dtype=np.int64)
+    first, last = np.searchsorted(hashes, words.hash, "left"), np.searchsorted(hashes, words.hash, "right")
+    # A hash stands for one word, in all likelihood; the words are compared all the same.
+    for step in range(int((last - first).max(initial=0))):
+        at = np.flatnonzero(first + step < last)
+        rank = order[first[at] + step]
+        same = same_words(words, at, known, rank)
+        out[at[same]] = rank[same]
+    return out
 
 
 def join_blocks(words, line_of_word, templates: Templates, window=WINDOW):

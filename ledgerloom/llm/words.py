@@ -1,8 +1,9 @@
 """Words of whole texts as numpy arrays: one pass over the UTF-8 bytes of many texts.
 
 A word is a maximal run of word bytes after lower-casing A-Z. Every separator is an ASCII
-byte, so runs of bytes are exactly runs of characters. Word hashes are 64-bit polynomials
-taken from a running sum, mixed at the end; callers that need certainty compare the bytes.
+byte, so runs of bytes are exactly runs of characters. A word's hash is the sum of its bytes,
+each mixed with its place in the word, mixed again; callers that need certainty compare the
+bytes (`same_words`).
 """
 
 from dataclasses import dataclass
@@ -11,8 +12,6 @@ import numpy as np
 
 _PIECE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-_TABLES = {}
 
 
 def _separators(*ranges):
@@ -41,16 +40,28 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base, n):
-    """base**0 .. base**(n-1) modulo 2**64; up to a few megabytes are kept per process."""
-    have = _TABLES.get(base)
-    if have is None or len(have) < n:
-        out = np.ones(max(1 << (n - 1).bit_length(), 2), dtype=np.uint64)
-        out[1:] = np.uint64(base)
-        have = np.multiply.accumulate(out)
-        if len(have) <= 2 * _PIECE:
-            _TABLES[base] = have
-    return have[:n]
+def sequence_hashes(symbols, sizes, bits):
+    """Hash of every sequence; `symbols` of `bits` bits lie in a row, `sizes` cut them.
+
+    A symbol and its place are mixed into 64 bits before they are added up, so no pattern of
+    symbols cancels out as in sums of powers.
+    """
+    ends = np.cumsum(sizes)
+    place = np.arange(len(symbols)) - np.repeat(ends - sizes, sizes)
+    sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = mix64((place.astype(np.uint64) << np.uint64(bits)) | symbols.astype(np.uint64))
+        np.cumsum(mixed, out=sums[1:])
+        return mix64(sums[ends] - sums[ends - sizes] + np.uint64(_BASE))
+
+
+def same_sequences(a, a_start, b, b_start, sizes):
+    """Whether a[a_start:][:size] equals b[b_start:][:size], for every place and size."""
+    ends = np.cumsum(sizes)
+    place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    wrong = a[np.repeat(a_start, sizes) + place] != b[np.repeat(b_start, sizes) + place]
+    upto = np.concatenate([[0], np.cumsum(wrong)])
+    return upto[ends] == upto[ends - sizes]
 
 
 @dataclass
@@ -94,17 +105,19 @@ def _scan(data, table, offset):
     inside[1:-1] = table[data]
     edges = np.diff(inside)
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    inverse = pow(_BASE, -1, 1 << 64)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(
-            (data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)),
-            out=sums[1:],
-        )
-        hashes = mix64((sums[end] - sums[start]) * powers(inverse, len(data) + 1)[start])
+    hashes = sequence_hashes(data[inside[1:-1].view(bool)], end - start, 8)
     return start + offset, end + offset, hashes
 
 
+def same_words(one, i, other, j):
+    """Whether word i[k] of `one` is word j[k] of `other`, byte by byte, for every k."""
+    out = (one.end - one.start)[i] == (other.end - other.start)[j]
+    at = np.flatnonzero(out)
+    i, j = i[at], j[at]
+    out[at] = same_sequences(one.data, one.start[i], other.data, other.start[j], (one.end - one.start)[i])
+    return out
+
+
 def find_words(texts, table=ALNUM, lower=True) -> Words:
     """Words of a list of UTF-8 byte strings (None counts as empty)."""
     texts = [t or b"" for t in texts]

@@ -58,3 +58,29 @@ def test_documents(llm, make, library):
         assert r["n_tokens"] == len(expected) and r["decoded"] == (r["text"] or "")
         assert bytes(r["ids"]) == b"".join(i.to_bytes(4, "little") for i in expected)
     assert bpe.encoded_documents(make([]), PATH).count() == 0
+
+
+def thue_morse(n, a, b):
+    return "".join((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096])
+def test_a_word_and_its_complement(encoder, library, n):
+    check(encoder, library, [thue_morse(n, "a", "b"), thue_morse(n, "b", "a"), thue_morse(n, "a", "b")])
+
+
+def test_a_hash_of_two_words_costs_time_only(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "sequence_hashes", lambda points, sizes, bits: sizes % 2)
+    check(encoder, library, ["one two three four", "four three two one", "éé ab ba", ""])
+
+
+def test_columns_of_the_results_are_replaced(make):
+    docs = make([(1, "plain text")]).withColumnRenamed("label", "ids").withColumnRenamed("n", "n_tokens")
+    row = bpe.encoded_documents(docs, PATH).first()
+    assert row["n_tokens"] == 2 and len(row["ids"]) == 8 and row["decoded"] == "plain text"
+
+
+def test_a_process_keeps_its_encoder():
+    with open(PATH, "rb") as file:
+        content = file.read()
+    assert bpe._encoder(content) is bpe._encoder(bytes(bytearray(content)))

@@ -46,3 +46,22 @@ def test_blocks_cover_everything_once():
 def test_grams_stay_inside_texts(n):
     found = W.find_words([b"a b", b"c", b"d e f"])
     assert len(found.grams(n)[0]) == sum(max(0, k - n + 1) for k in (2, 1, 3))
+
+
+def thue_morse(n, a, b):
+    return bytes((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_a_word_and_its_complement_hash_apart(n):
+    found = W.find_words([thue_morse(n, 97, 98), thue_morse(n, 98, 97)])
+    assert found.hash[0] != found.hash[1]
+
+
+def test_same_words_compares_bytes():
+    one, other = W.find_words([b"alpha beta ab"]), W.find_words([b"beta alpha ac abc"])
+    i, j = np.divmod(np.arange(12), 4)
+    found = W.same_words(one, i, other, j)
+    assert found.tolist() == [one.text(a) == other.text(b) for a, b in zip(i, j)]
+    none = np.empty(0, dtype=np.int64)
+    assert W.same_words(one, none, other, none).tolist() == []
