@@ -21,80 +21,162 @@ gives no rows; columns beside the id and the text play no part.
 
 import hashlib
 import heapq
+import json
 import os
+import re
+import struct
+from array import array
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from ledgerloom.llm.bpe import send_vocabulary
-from ledgerloom.llm.common import kept_in_process
+from ledgerloom.llm.bpe import byte_letters, send_vocabulary
+from ledgerloom.llm.common import kept_in_process, utf8
+from ledgerloom.llm.words import blocks
 
 CAPACITY = 4096
 #: Tokens of a window; its ids take four bytes each.
 WINDOW_TOKENS = 1 << 22
 #: Tokens of a piece at which attention costs as much as the linear layers.
 COST_SCALE = 24_576
-PORTION_CHARS = 500_000
+#: Words that a worker process remembers, twice over; longer words are not remembered.
+MEMORY_WORDS, LONG_WORD = 250_000, 64
+MERGED_WORDS = 20_000
+# Latin letters that are composed and have a lower case of one letter, and ASCII punctuation.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
 
 
-def _tokenizer(content):
-    """The tokenizer of a file, once in a process; a task's cores belong to other tasks too."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+class Merges:
+    """Merges of a vocabulary, applied to many words at once."""
 
-    def load():
-        from tokenizers import Tokenizer
+    def __init__(self, content):
+        model = json.loads(content)["model"]
+        ids, end = model["vocab"], model["end_of_word_suffix"]
+        letters = sorted(byte_letters().items(), key=lambda x: x[1])
+        self.inner = np.array([ids[c] for c, _ in letters], dtype=np.int64)
+        self.last = np.array([ids[c + end] for c, _ in letters], dtype=np.int64)
+        pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+        self.whole = np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
+        keys = np.array([ids[a] << 32 | ids[b] for a, b in pairs], dtype=np.int64)
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        self.none = len(pairs)
+
+    def ranks(self, left, right):
+        """The place of every pair in the list of merges; `none` for no merge."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), self.none - 1)
+        return np.where(self.keys[at] == key, self.order[at], self.none)
 
-        loaded = Tokenizer.from_str(content.decode())
-        loaded.no_truncation()
-        loaded.no_padding()
-        return loaded
+    def encode(self, words):
+        """Packed ids of words (bytes, none empty) that are one piece each.
 
-    return kept_in_process(("packing", hashlib.sha256(content).digest()), load)
+        In every round each word merges its first pair of the lowest rank, until none has any.
+        """
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        width = int(sizes.max())
+        held = np.full((len(words), width + 1), -1, dtype=np.int64)
+        inside = np.arange(width + 1) < sizes[:, None]
+        held[inside] = self.inner[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        rows = np.arange(len(words))
+        held[rows, sizes - 1] = self.last[[w[-1] for w in words]]
+        rank = self.ranks(held[:, :-1], held[:, 1:])
+        steps = np.arange(width + 1)
+        while len(rows):
+            at = rank.argmin(axis=1)
+            least = rank[np.arange(len(rows)), at]
+            on = least < self.none
+            rows, at, least, rank = rows[on], at[on], least[on], rank[on]
+            here, own = np.arange(len(rows)), held[rows]
+            own[here, at] = self.whole[least]
+            own = np.take_along_axis(own, np.minimum(steps + (steps > at[:, None]), width), axis=1)
+            held[rows] = own
+            rank = np.take_along_axis(rank, np.minimum(steps[:-1] + (steps[:-1] > at[:, None]), width - 1), axis=1)
+            rank[here, at] = self.ranks(own[here, at], own[here, at + 1])
+            before = np.flatnonzero(at > 0)
+            left = at[before] - 1
+            rank[before, left] = self.ranks(own[before, left], own[before, left + 1])
+        count = (held >= 0).sum(axis=1)
+        packed = held[held >= 0].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(count)).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def portions(text, limit=PORTION_CHARS):
-    """`text` in parts that begin with a space and a letter or digit before it.
+class WordEncoder:
+    """Ids of texts by a tokenizer that drops white space, each distinct word encoded once.
 
-    The vocabulary drops white space between words, so parts are encoded as the whole is. A
-    text without such a place stays whole.
+    Such a vocabulary encodes what stands between white space on its own, so words (cut at
+    ASCII white space) are remembered, and those met again lately outlive the others. In a word
+    of Latin letters with punctuation behind them, the letters in lower case are one piece and
+    the punctuation another; such pieces of letters are merged together, many at once. What is
+    left is encoded by the library.
     """
-    at = 0
-    while len(text) - at > limit:
-        cut = text.find(" ", at + limit)
-        while cut > 0 and not text[cut - 1].isalnum():
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
-def encode(texts, tokenizer, end):
-    """Ids of every text as uint32 arrays, with the end token."""
-    out = [[] for _ in texts]
-    parts, owners, size = [], [], 0
-
-    def flush():
-        for i, found in zip(owners, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            out[i].append(np.array(found.ids, dtype=np.uint32))
-        parts.clear()
-        owners.clear()
-
-    for i, text in enumerate(texts):
-        for part in portions(text):
-            parts.append(part)
-            owners.append(i)
-            size += len(part)
-            if size >= PORTION_CHARS:
-                flush()
-                size = 0
-    flush()
-    closing = np.array([end], dtype=np.uint32)
-    return [np.concatenate([*ids, closing]) for ids in out]
+
+    def __init__(self, content):
+        # A task's cores belong to other tasks too.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(content.decode())
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.merges = Merges(content)
+        self.memory, self.older = {b"": b""}, {}
+
+    def _by_library(self, words):
+        texts = [word.decode() for word in words]
+        for word, found in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            yield word, array("I", found.ids).tobytes()
+
+    def _remember(self, words):
+        """Have the ids of all `words` in memory."""
+        if len(self.memory) > MEMORY_WORDS:
+            self.older, self.memory = self.memory, {b"": b""}
+        memory = self.memory
+        missing = words.difference(memory)
+        again = missing.intersection(self.older)
+        memory.update(zip(again, map(self.older.__getitem__, again)))
+        names, cores, ends, plain = list(missing.difference(again)), [], [], set()
+        for word in names:
+            found = _PLAIN.fullmatch(word.decode())
+            if found:
+                core = found[1].lower().encode()
+                plain.add(core)
+                cores.append(core)
+                ends.append(found[2].encode())
+            else:
+                cores.append(word)
+                ends.append(b"")
+        others = list(set(cores).union(ends).difference(plain, memory))
+        plain = sorted(plain.difference(memory), key=len)
+        for k in range(0, len(plain), MERGED_WORDS):
+            part = plain[k : k + MERGED_WORDS]
+            memory.update(zip(part, self.merges.encode(part)))
+        memory.update(self._by_library(others))
+        memory.update(zip(names, map(add, map(memory.__getitem__, cores), map(memory.__getitem__, ends))))
+
+    def encode(self, texts, end):
+        """Ids of every UTF-8 text as uint32 arrays, closed by `end`."""
+        out, closing = [], struct.pack("<I", end)
+        for first, last in blocks(texts):
+            cut = [t.split() for t in texts[first:last]]
+            words = set().union(*cut)
+            long = [w for w in words if len(w) > LONG_WORD]
+            self._remember(words.difference(long))
+            known = self.memory | dict(self._by_library(long)) if long else self.memory
+            for words in cut:
+                packed = b"".join(map(known.__getitem__, words)) + closing
+                out.append(np.frombuffer(packed, dtype="<u4"))
+        return out
+
+
+def _encoder(content):
+    """The encoder of a worker process, with the words it has met."""
+    return kept_in_process(("packing", hashlib.sha256(content).digest()), lambda: WordEncoder(content))
 
 
 def capacities(tokens, capacity):
@@ -151,7 +233,7 @@ def pack(
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     vocabulary = send_vocabulary(documents.sparkSession, path)
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = documents.select("doc_id", utf8("text").alias("text"))
     longs = ["start", "length", "doc_tokens", "sequence_id", "offset"]
     schema = StructType(
         [rows.schema["doc_id"]]
@@ -166,18 +248,18 @@ def pack(
         found.sort(key=lambda r: (r[3], r[4]))
         doc, start, length, sequence, offset = np.array(found, dtype=np.int64).T
         filled = np.bincount(sequence, weights=length, minlength=n).astype(np.int32)[sequence]
-        own = [ids[d][s : s + k].astype("<u4").tobytes() for d, s, k, _, _ in found]
+        own = [ids[d][s : s + k].tobytes() for d, s, k, _, _ in found]
         numbers = [start, length, np.array(sizes, dtype=np.int64)[doc], first + sequence, offset]
         columns = [pa.concat_arrays(keys).take(pa.array(doc))]
         columns += [pa.array(x) for x in numbers] + [pa.array(filled), pa.array(own, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, schema.names), n
 
     def packs(batches):
-        tokenizer = _tokenizer(vocabulary.value)
+        encoder = _encoder(vocabulary.value)
         first = TaskContext.get().partitionId() << 40
         keys, ids, size = [], [], 0
         for batch in batches:
-            found = encode(batch.column(1).to_pylist(), tokenizer, end)
+            found = encoder.encode(batch.column(1).to_pylist(), end)
             begin = 0
             for i, own in enumerate(found):
                 ids.append(own)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -88,17 +89,45 @@ def test_capacities():
     assert packing.capacities(64 * 3 + 37, 64) == [64, 64, 64, 32, 4, 1]
 
 
-def test_portions_are_encoded_as_the_whole(library, monkeypatch):
-    monkeypatch.setattr(packing, "PORTION_CHARS", 50)
-    dice = random.Random(1)
-    words = ["Straße", "ét́", "it's", "<|endoftext|>", "́", "12", "--", "ΟΔΟΣ", "　", "\n\n", "日本", ",", "I"]
-    texts = [" ".join(dice.choice(words) + dice.choice(["", " ", ".", "x"]) for _ in range(k)) for k in range(0, 300, 7)]
-    assert sum(len(list(packing.portions(t, 50))) for t in texts) > 2 * len(texts)
-    monkeypatch.setattr(packing, "portions", lambda t, cut=packing.portions: cut(t, 50))
-    found = packing.encode(texts, library, 2)
+@pytest.fixture(scope="module")
+def encoder():
+    with open(PATH, "rb") as file:
+        return packing.WordEncoder(file.read())
+
+
+def same_ids(encoder, library, texts):
+    found = encoder.encode([t.encode() for t in texts], 2)
     assert [x.tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=4))
+def test_any_text_is_encoded_as_by_the_library(encoder, library, texts):
+    same_ids(encoder, library, texts)
+
+
+def test_words_and_their_ends(encoder, library, monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY_WORDS", 40)
+    monkeypatch.setattr(packing, "LONG_WORD", 12)
+    dice = random.Random(1)
+    words = ["Straße", "E\u0301t", "It's", "'S", "x'", "<|endoftext|>", "a<|endoftext|>", "\u0301", "12", "--", "ΟΔΟΣ"]
+    words += ["\u3000", "\n\n", "日本", ",", "I", "İ", "I\u0307", "K", "(a)", "don't!", "a\x1cb", "\x85", "=\u0338", "é."]
+    tails = ["", " ", ".", "x", "!?", "'", "'s", "...", "\u0338", "\t", "\u00a0"]
+    texts = [
+        "".join(dice.choice(words) + dice.choice(tails) + dice.choice([" ", "", "\r\n"]) for _ in range(k))
+        for k in range(0, 300, 3)
+    ]
+    same_ids(encoder, library, texts)
+    same_ids(encoder, library, ["x" * 5000, "a. " * 3000, "", " \t\n"])
+
+
+def test_latin_letters(encoder, library):
+    dice = random.Random(2)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    words = ["".join(dice.choices(letters + ["e", "t", "a"] * 150, k=dice.randrange(1, 25))) for _ in range(5000)]
+    same_ids(encoder, library, [*letters, *("A" + x + "!" for x in letters), " ".join(words)])
+
+
 def check(rows, expected, capacity):
     """Whether the pieces hold every document of `expected` (lists of ids by key) exactly once."""
     docs, sequences = defaultdict(list), defaultdict(list)
