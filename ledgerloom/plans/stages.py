@@ -30,7 +30,11 @@ from ledgerloom.sources.contracts import (
     read_status_cache,
     read_status_table,
 )
-from ledgerloom.sources.sanctions import read_sanctions
+from ledgerloom.sources.sanctions import (
+    read_sanction_rejects,
+    read_sanctions,
+    sanction_counts,
+)
 
 
 @dataclass(frozen=True)
@@ -48,9 +52,20 @@ def extract_labels(
     path: str,
     strict: bool = False,
     source_name: str = LABEL_SOURCE,
+    rejects_path: str | None = None,
+    counts_path: str | None = None,
 ) -> int:
-    """Sanctions documents to the label table."""
+    """Sanctions documents to the label table.
+
+    `rejects_path` gets the elements that could not be read, with their text, and sources that
+    are missing or hold no element; `counts_path` the elements of each source per outcome.
+    """
     use_utc(spark)
+    if rejects_path is not None:
+        rejects = read_sanction_rejects(spark, documents)
+        rejects.write.option("compression", "zstd").parquet(rejects_path)
+    if counts_path is not None:
+        sanction_counts(spark, documents).write.json(counts_path)
     labels = build_label_table(read_sanctions(spark, documents, strict), source_name=source_name)
     labels = write_scratch(labels, "labels")
     count = sinks.write_labels(labels, path)
@@ -252,7 +267,14 @@ def build_graph(
         bounds = F.lit(start), F.lit(end)
         write_metadata(run_metadata(spark, *bounds, {counted: rows}, git_commit), notes[table])
 
-    found = extract_labels(spark, documents, paths["labels"], strict_sanctions)
+    found = extract_labels(
+        spark,
+        documents,
+        paths["labels"],
+        strict_sanctions,
+        rejects_path=f"{run}/rejects/sanctions",
+        counts_path=f"{run}/counts/sanctions",
+    )
     note("labels", "labeled_addresses", found)
     if skip_transactions and "transactions" in before:
         paths["transactions"] = before["transactions"]

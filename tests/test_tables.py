@@ -172,6 +172,85 @@ def test_sanctions_loose_and_strict(spark, tmp_path):
     assert {r.raw_address.lower() for r in strict.collect()} == structured
 
 
+def sdn(uid, number, end="</sdnEntry>", start="<sdnEntry>", kind="Digital Currency Address - ETH"):
+    return f"{start}<uid>{uid}</uid><idList><id><idType>{kind}</idType><idNumber>{number}</idNumber></id></idList>{end}"
+
+
+def test_broken_entries_are_rejected_one_by_one(spark, tmp_path):
+    good = [sdn(k, address(k)) for k in (1, 2, 3)]
+    good += [sdn(4, address(4), start="<sdnEntry a='>' b=\"x/>\">"), sdn(5, address(5)) + "<other/>"]
+    entries = [
+        good[0], sdn(11, address(11), end="</sdnEntr>"), good[1], sdn("x", address(12)),
+        sdn(13, address(13), end="").replace("</id>", "") + "</sdnEntry>", good[2],
+        sdn(14, address(14), start="<sdnEntry "), "<sdnEntry/>", "<sdnEntry></sdnEntry>", good[3],
+        sdn(15, address(15), end=""), good[4], sdn(16, address(16), start="<sdnEntry <"), "<sdnEntry>",
+    ]
+    for sep in ("\n  ", ""):
+        folder = tmp_path / f"sdn{len(sep)}"
+        folder.mkdir()
+        (folder / "a.xml").write_text("\ufeff<?xml version='1.0'?>\n<sdnList xmlns='x'>" + sep.join(entries))
+        rows = sanctions.classify_entries(spark, str(folder), "sdnEntry", sanctions.SDN_ENTRY).collect()
+        assert len(rows) == len(entries)
+        assert {r.uid for r in rows if r.reject_reason is None} == {1, 2, 3, 4, 5, None}
+        assert sum(r.reject_reason is None for r in rows) == 7
+        reasons = {k: next(r.reject_reason for r in rows if r.raw and address(k) in r.raw) for k in range(11, 17)}
+        assert reasons == {
+            11: "unclosed_entry", 12: "malformed_entry", 13: "malformed_entry",
+            14: "malformed_tag", 15: "unclosed_entry", 16: "malformed_tag",
+        }
+        strict = sanctions.read_sanctions(spark, [(str(folder), "sdn_xml")], strict=True)
+        assert sorted(r.raw_address for r in strict.collect()) == [address(k) for k in range(1, 6)]
+        loose = sanctions.read_sanctions(spark, [(str(folder), "sdn_xml")])
+        assert {address(k) for k in range(11, 17)} < {r.raw_address for r in loose.collect()}
+
+
+def test_entries_cut_by_splits(spark, tmp_path):
+    text = "<sdnList>" + "\n".join(sdn(k, address(k), end="</sdnEntry>" if k % 7 else "") for k in range(1, 400))
+    (tmp_path / "a.xml").write_text(text + "</sdnList>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = sanctions.classify_entries(spark, str(tmp_path), "sdnEntry", sanctions.SDN_ENTRY)
+        assert rows.rdd.getNumPartitions() > 5
+        rows = rows.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r.uid for r in rows if r.reject_reason is None) == [k for k in range(1, 400) if k % 7]
+    assert sum(r.reject_reason == "unclosed_entry" for r in rows) == 57
+
+
+def test_sources_without_entries(spark, tmp_path):
+    (tmp_path / "page.xml").write_text("<html><body>503 try later</body></html>")
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "none.xml").write_text("<?xml version='1.0'?><Sanctions></Sanctions>")
+    (tmp_path / "sdn.xml").write_text(SDN)
+    (tmp_path / "cut.xml").write_text(SDN[: SDN.rindex("</sdnList>")])
+    names = (("page", "sdn_xml"), ("empty", "sdn_xml"), ("none", "advanced_xml"), ("sdn", "sdn_xml"), ("gone", "csv"))
+    names += (("cut", "sdn_xml"),)
+    listed = [(str(tmp_path / f"{n}.xml"), layout) for n, layout in names]
+    found = {r.source.rsplit("/")[-1]: r.reject_reason for r in sanctions.read_sanction_rejects(spark, listed).collect()}
+    none = "no_entries"
+    assert found == {
+        "page.xml": "malformed_tag", "empty.xml": none, "none.xml": none, "gone.xml": "missing_source", "cut.xml": "cut_document"
+    }
+    counts = sanctions.sanction_counts(spark, listed).collect()
+    assert sorted((r.outcome, r.n_entries) for r in counts) == [("accepted", 2)] * 2 + [("malformed_tag", 1)]
+
+
+def test_label_stage_writes_rejects(spark, tmp_path):
+    source, out = tmp_path / "sdn.xml", tmp_path / "out"
+    source.write_text("<l>" + sdn(1, address(1)) + sdn(2, address(2), end="") + "</l>")
+    listed = [(str(source), "sdn_xml"), (str(tmp_path / "gone.xml"), "advanced_xml")]
+    paths = [str(out / n) for n in ("labels", "rejects", "counts")]
+    assert stages.extract_labels(spark, listed, paths[0], True, rejects_path=paths[1], counts_path=paths[2]) == 1
+    rejects = spark.read.parquet(paths[1]).collect()
+    assert sorted(r.reject_reason for r in rejects) == ["missing_source", "unclosed_entry"]
+    assert any(r.raw and address(2) in r.raw and r.source_url.endswith("sdn.xml") for r in rejects)
+    counts = {r.outcome: r.n_entries for r in spark.read.json(paths[2]).collect()}
+    assert counts == {"accepted": 1, "unclosed_entry": 1}
+
+
 def test_unreadable_sources(spark, tmp_path):
     missing = (str(tmp_path / "missing.xml"), "sdn_xml")
     found = sanctions.read_sanctions(spark, [missing, *documents(tmp_path)])

@@ -644,6 +644,64 @@ def strict_sources(spark, sf_dir):
     return labeling.validate_and_dedupe(found.select("raw_address"))
 
 
+def broken_sdn(spark, sf_dir):
+    """An SDN document with a customer an entry, of which many are broken in four ways."""
+    key, address = F.col("c_custkey"), customer_address("c_custkey")
+    kind = F.when(F.col("c_nationkey") % 4 == 0, "Digital Currency Address - ETH").otherwise("Tax ID")
+    entry = F.concat(
+        F.when(key % 11 == 2, "<sdnEntry <uid>").otherwise("<sdnEntry><uid>"),
+        F.when(key % 11 == 3, "n").otherwise(""),
+        key,
+        F.lit("</uid><idList><id><idType>"),
+        kind,
+        F.when(key % 11 == 4, "</idNumber>").otherwise("</idType>"),
+        F.lit("<idNumber>"),
+        address,
+        F.lit("</idNumber></id></idList>"),
+        F.when(key % 11 == 5, "</sdnEntr>").otherwise("</sdnEntry>"),
+    )
+    path = scratch_path(spark, "broken-sdn")
+    table(spark, sf_dir, "customer").select(entry.alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "S10_sanction_rejects",
+    "SELECT CASE c_custkey % 11 WHEN 2 THEN 'malformed_tag' WHEN 5 THEN 'unclosed_entry' ELSE "
+    "'malformed_entry' END AS reject_reason, '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key "
+    "FROM customer WHERE c_custkey % 11 IN (2, 3, 4, 5) UNION ALL SELECT 'missing_source', NULL",
+)
+def sanction_rejects(spark, sf_dir):
+    listed = [(broken_sdn(spark, sf_dir), "sdn_xml"), ("/nowhere/missing.xml", "advanced_xml")]
+    rejects = sanctions.read_sanction_rejects(spark, listed)
+    key = F.nullif(F.regexp_extract("raw", "0x[0-9a-f]{40}", 0), F.lit(""))
+    return rejects.select("reject_reason", key.alias("key"))
+
+
+@query(
+    "S10_broken_strict_source",
+    "SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer "
+    "WHERE c_nationkey % 4 = 0 AND c_custkey % 11 NOT IN (2, 3, 4, 5)",
+)
+def broken_strict_source(spark, sf_dir):
+    found = sanctions.read_sanctions(spark, [(broken_sdn(spark, sf_dir), "sdn_xml")], strict=True)
+    return labeling.validate_and_dedupe(found.select("raw_address"))
+
+
+@query(
+    "C1_label_counts",
+    "SELECT CASE c_custkey % 11 WHEN 2 THEN 'malformed_tag' WHEN 5 THEN 'unclosed_entry' WHEN 3 THEN "
+    "'malformed_entry' WHEN 4 THEN 'malformed_entry' ELSE 'accepted' END AS outcome, "
+    "count(*) AS n_entries FROM customer GROUP BY 1",
+)
+def label_counts(spark, sf_dir):
+    names = ("labels", "rejects", "counts")
+    labels, rejects, counts = (scratch_path(spark, n) for n in names)
+    listed = [(broken_sdn(spark, sf_dir), "sdn_xml")]
+    stages.extract_labels(spark, listed, labels, rejects_path=rejects, counts_path=counts)
+    return spark.read.json(counts).select("outcome", "n_entries")
+
+
 @query(
     "S11_sdn_identifiers",
     "SELECT c_custkey AS uid, CASE c_custkey % 3 WHEN 0 THEN lpad(to_hex(c_custkey + 1), 40, '0') "
