@@ -34,7 +34,7 @@ from ledgerloom.llm.words import same_sequences, sequence_hashes
 
 # Fixed value: the pattern that cuts texts into words before merging; `cut_words` does the same.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_LETTER, _DIGIT, _SPACE, _OTHER = range(4)
+LETTER, DIGIT, SPACE, OTHER = range(4)
 #: Encoded words that a worker remembers.
 MEMORY_WORDS = 500_000
 BLOCK_CHARS = 500_000
@@ -47,18 +47,22 @@ def byte_letters():
     return {chr(b if b in printable else next(spare)): b for b in range(256)}
 
 
-def _kinds():
+def character_kinds():
     """The kind of every code point: letter, digit, space or other."""
     return kept_in_process("kinds", _make_kinds)
 
 
 def _make_kinds():
-    table = np.full(0x110000, _OTHER, dtype=np.uint8)
+    # By the library's own patterns: other libraries know other versions of Unicode.
+    from tokenizers import Regex, pre_tokenizers
+
+    table = np.full(0x110000, OTHER, dtype=np.uint8)
     # Surrogates stand in no text; a placeholder keeps positions and code points equal.
     every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "-" for c in range(0x110000))
-    for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
-        for found in regex.finditer(pattern, every):
-            table[found.start() : found.end()] = kind
+    for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (SPACE, r"\s+")):
+        cut = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        for _, (start, end) in cut.pre_tokenize_str(every):
+            table[start:end] = kind
     return table
 
 
@@ -72,7 +76,7 @@ def cut_words(points, begins):
     n = len(points)
     if n == 0:
         return np.empty(0, dtype=np.int64)
-    kind = _kinds()[points]
+    kind = character_kinds()[points]
     fresh = np.zeros(n + 1, dtype=bool)
     fresh[begins] = True
     fresh[n] = True
@@ -80,7 +84,7 @@ def cut_words(points, begins):
     change[1:] |= kind[1:] != kind[:-1]
     run = np.flatnonzero(change)
     end = np.append(run[1:], n)
-    space = kind[run] == _SPACE
+    space = kind[run] == SPACE
     word = np.zeros(n + 1, dtype=bool)
     word[run] = True
     # White space with a word after it in the same text gives up its last character.
@@ -90,7 +94,7 @@ def cut_words(points, begins):
     word[end[plain]] = False
     # Apostrophes at the start of a word, alone, with the right letters after them.
     lone = np.flatnonzero((points[run] == 39) & (end - run == 1) & word[run] & ~fresh[end])
-    lone = lone[kind[end[lone]] == _LETTER] if len(lone) else lone
+    lone = lone[kind[end[lone]] == LETTER] if len(lone) else lone
     if len(lone):
         at, stop = end[lone], end[lone + 1]
         first, second = points[at], points[np.minimum(at + 1, n - 1)]
@@ -108,10 +112,12 @@ def distinct_words(points, starts, ends):
     """(a place of every distinct word, the number of each word among them).
 
     Words are grouped by a hash and then compared with the first of their group, character by
-    character; should a hash stand for two words, they are grouped by their characters.
+    character; should a hash stand for two words, they are grouped by their characters. Words
+    may have gaps between them.
     """
     sizes = ends - starts
-    hashes = sequence_hashes(points, sizes, 21)
+    inside = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    hashes = sequence_hashes(points[inside], sizes, 21)
     _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
     like = first[word]
     if (sizes == sizes[like]).all() and same_sequences(points, starts, points, starts[like], sizes).all():
@@ -239,14 +245,18 @@ class Encoder:
                 after.append(self.special[own[k + 1]] if k + 1 < len(own) else -1)
         return parts, np.array(owner, dtype=np.int64), np.array(after, dtype=np.int64)
 
+    def _cut(self, points, begins):
+        """Starts and ends of the words of texts that begin at `begins`."""
+        starts = cut_words(points, begins)
+        return starts, np.append(starts, len(points))[1:].astype(np.int64)
+
     def _encode_block(self, texts):
         parts, owner, after = self._segments(texts)
         joined = "".join(parts)
         points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         begins = np.concatenate([[0], np.cumsum(sizes)])
-        starts = cut_words(points, begins[:-1][sizes > 0])
-        ends = np.append(starts, len(points))[1:].astype(np.int64)
+        starts, ends = self._cut(points, begins[:-1][sizes > 0])
         first, word = distinct_words(points, starts, ends)
         distinct = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         self._remember(distinct)

@@ -22,160 +22,152 @@ gives no rows; columns beside the id and the text play no part.
 import hashlib
 import heapq
 import json
-import os
-import re
 import struct
-from array import array
-from operator import add
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from ledgerloom.llm.bpe import byte_letters, send_vocabulary
-from ledgerloom.llm.common import kept_in_process, utf8
-from ledgerloom.llm.words import blocks
+from ledgerloom.llm.bpe import DIGIT, LETTER, SPACE, Encoder, byte_letters, character_kinds, send_vocabulary
+from ledgerloom.llm.common import kept_in_process
 
 CAPACITY = 4096
 #: Tokens of a window; its ids take four bytes each.
 WINDOW_TOKENS = 1 << 22
 #: Tokens of a piece at which attention costs as much as the linear layers.
 COST_SCALE = 24_576
-#: Words that a worker process remembers, twice over; longer words are not remembered.
-MEMORY_WORDS, LONG_WORD = 250_000, 64
+#: Pieces that are merged together.
 MERGED_WORDS = 20_000
-# Latin letters that are composed and have a lower case of one letter, and ASCII punctuation.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
 
 
-class Merges:
-    """Merges of a vocabulary, applied to many words at once."""
+def cut_pieces(points, begins):
+    """Starts and ends of the pieces of texts: runs of letters, single digits, runs of other
+    characters; white space is dropped. An apostrophe takes s, t, m, d, re, ve or ll along."""
+    n = len(points)
+    if n == 0:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    kind = character_kinds()[points]
+    fresh = np.zeros(n + 1, dtype=bool)
+    fresh[begins] = True
+    fresh[n] = True
+    start = fresh.copy()
+    start[1:n] |= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    run = np.flatnonzero(start[:n])
+    end = np.append(run[1:], n)
+    lone = np.flatnonzero((points[run] == 39) & (end - run == 1) & ~fresh[end])
+    lone = lone[kind[end[lone]] == LETTER] if len(lone) else lone
+    if len(lone):
+        at, stop = end[lone], end[lone + 1]
+        first, second = points[at], points[np.minimum(at + 1, n - 1)]
+        pair = np.isin(first, [114, 118]) & (second == 101) | (first == 108) & (second == 108)
+        taken = np.where(np.isin(first, [115, 116, 109, 100]), 1, np.where(pair & (at + 1 < stop), 2, 0))
+        at, stop, taken = at[taken > 0], stop[taken > 0], taken[taken > 0]
+        start[at] = False
+        start[(at + taken)[at + taken < stop]] = True
+        run = np.flatnonzero(start[:n])
+        end = np.append(run[1:], n)
+    held = kind[run] != SPACE
+    return run[held], end[held]
+
+
+def _unassigned():
+    """Whether a code point is unknown to Python's version of Unicode, but maybe not to the library's."""
+    return np.array([category(chr(c)) == "Cn" for c in range(0x110000)])
+
+
+class WordEncoder(Encoder):
+    """A vocabulary of byte letters whose pieces end in a mark of their own.
+
+    Texts are composed, set in lower case and cut into pieces; equal pieces of a block are
+    encoded once and remembered. New pieces are merged together, one merge a round each.
+    """
 
     def __init__(self, content):
-        model = json.loads(content)["model"]
+        from tokenizers import Tokenizer
+
+        described = json.loads(content)
+        model, letters = described["model"], sorted(byte_letters().items(), key=lambda x: x[1])
         ids, end = model["vocab"], model["end_of_word_suffix"]
-        letters = sorted(byte_letters().items(), key=lambda x: x[1])
-        self.inner = np.array([ids[c] for c, _ in letters], dtype=np.int64)
-        self.last = np.array([ids[c + end] for c, _ in letters], dtype=np.int64)
+        self.inner = np.array([ids[c] for c, _ in letters], dtype=np.int32)
+        self.last = np.array([ids[c + end] for c, _ in letters], dtype=np.int32)
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
-        self.whole = np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
+        self.whole = np.array([ids[a + b] for a, b in pairs], dtype=np.int32)
         keys = np.array([ids[a] << 32 | ids[b] for a, b in pairs], dtype=np.int64)
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
-        self.none = len(pairs)
+        self.order = np.argsort(keys).astype(np.int32)
+        self.keys, self.none = keys[self.order], len(pairs)
+        self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        names = sorted(self.special, key=len, reverse=True)
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.memory, self.older = {}, {}
+        self.normalizer = Tokenizer.from_str(content.decode()).normalizer
+        self.unknown = kept_in_process("unassigned", _unassigned)
+
+    def _segments(self, texts):
+        parts, owner, after = super()._segments(texts)
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32)
+        unknown = self.unknown[points]
+        # A sigma at the end of a word has a lower case of its own for `lower` alone.
+        normal = [normalize("NFC", p).replace("Σ", "σ").lower() for p in parts]
+        if unknown.any():
+            ends = np.cumsum([len(p) for p in parts])
+            for k in np.unique(np.searchsorted(ends, np.flatnonzero(unknown), side="right")).tolist():
+                normal[k] = self.normalizer.normalize_str(parts[k])
+        return normal, owner, after
+
+    def _cut(self, points, begins):
+        return cut_pieces(points, begins)
+
+    def _learn(self, words):
+        ordered = sorted(words, key=len)
+        for k in range(0, len(ordered), MERGED_WORDS):
+            part = ordered[k : k + MERGED_WORDS]
+            self.memory.update(zip(part, self.merge([w.encode() for w in part])))
 
     def ranks(self, left, right):
         """The place of every pair in the list of merges; `none` for no merge."""
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, key), self.none - 1)
         return np.where(self.keys[at] == key, self.order[at], self.none)
 
-    def encode(self, words):
-        """Packed ids of words (bytes, none empty) that are one piece each.
+    def merge(self, words):
+        """Packed ids of pieces (bytes, none empty).
 
-        In every round each word merges its first pair of the lowest rank, until none has any.
+        In every round each piece merges its first pair of the lowest rank, until none has any.
         """
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         width = int(sizes.max())
-        held = np.full((len(words), width + 1), -1, dtype=np.int64)
+        held = np.full((len(words), width + 1), -1, dtype=np.int32)
         inside = np.arange(width + 1) < sizes[:, None]
         held[inside] = self.inner[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        rows = np.arange(len(words))
-        held[rows, sizes - 1] = self.last[[w[-1] for w in words]]
-        rank = self.ranks(held[:, :-1], held[:, 1:])
-        steps = np.arange(width + 1)
+        held[np.arange(len(words)), sizes - 1] = self.last[[w[-1] for w in words]]
+        rank, rows, steps = self.ranks(held[:, :-1], held[:, 1:]), np.arange(len(words)), np.arange(width + 1)
         while len(rows):
             at = rank.argmin(axis=1)
             least = rank[np.arange(len(rows)), at]
             on = least < self.none
-            rows, at, least, rank = rows[on], at[on], least[on], rank[on]
+            rows, at, least = rows[on], at[on], least[on]
             here, own = np.arange(len(rows)), held[rows]
             own[here, at] = self.whole[least]
-            own = np.take_along_axis(own, np.minimum(steps + (steps > at[:, None]), width), axis=1)
+            moved = np.minimum(steps + (steps > at[:, None]), width)
+            own = np.take_along_axis(own, moved, axis=1)
             held[rows] = own
-            rank = np.take_along_axis(rank, np.minimum(steps[:-1] + (steps[:-1] > at[:, None]), width - 1), axis=1)
+            rank = np.take_along_axis(rank[on], np.minimum(moved[:, :-1], width - 1), axis=1)
             rank[here, at] = self.ranks(own[here, at], own[here, at + 1])
-            before = np.flatnonzero(at > 0)
-            left = at[before] - 1
-            rank[before, left] = self.ranks(own[before, left], own[before, left + 1])
-        count = (held >= 0).sum(axis=1)
-        packed = held[held >= 0].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(count)).tolist()
+            left = np.flatnonzero(at > 0)
+            near = at[left] - 1
+            rank[left, near] = self.ranks(own[left, near], own[left, near + 1])
+        kept = held >= 0
+        packed = held[kept].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
-class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space, each distinct word encoded once.
-
-    Such a vocabulary encodes what stands between white space on its own, so words (cut at
-    ASCII white space) are remembered, and those met again lately outlive the others. In a word
-    of Latin letters with punctuation behind them, the letters in lower case are one piece and
-    the punctuation another; such pieces of letters are merged together, many at once. What is
-    left is encoded by the library.
-    """
-
-    def __init__(self, content):
-        # A task's cores belong to other tasks too.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(content.decode())
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.merges = Merges(content)
-        self.memory, self.older = {b"": b""}, {}
-
-    def _by_library(self, words):
-        texts = [word.decode() for word in words]
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            yield word, array("I", found.ids).tobytes()
-
-    def _remember(self, words):
-        """Have the ids of all `words` in memory."""
-        if len(self.memory) > MEMORY_WORDS:
-            self.older, self.memory = self.memory, {b"": b""}
-        memory = self.memory
-        missing = words.difference(memory)
-        again = missing.intersection(self.older)
-        memory.update(zip(again, map(self.older.__getitem__, again)))
-        names, cores, ends, plain = list(missing.difference(again)), [], [], set()
-        for word in names:
-            found = _PLAIN.fullmatch(word.decode())
-            if found:
-                core = found[1].lower().encode()
-                plain.add(core)
-                cores.append(core)
-                ends.append(found[2].encode())
-            else:
-                cores.append(word)
-                ends.append(b"")
-        others = list(set(cores).union(ends).difference(plain, memory))
-        plain = sorted(plain.difference(memory), key=len)
-        for k in range(0, len(plain), MERGED_WORDS):
-            part = plain[k : k + MERGED_WORDS]
-            memory.update(zip(part, self.merges.encode(part)))
-        memory.update(self._by_library(others))
-        memory.update(zip(names, map(add, map(memory.__getitem__, cores), map(memory.__getitem__, ends))))
-
-    def encode(self, texts, end):
-        """Ids of every UTF-8 text as uint32 arrays, closed by `end`."""
-        out, closing = [], struct.pack("<I", end)
-        for first, last in blocks(texts):
-            cut = [t.split() for t in texts[first:last]]
-            words = set().union(*cut)
-            long = [w for w in words if len(w) > LONG_WORD]
-            self._remember(words.difference(long))
-            known = self.memory | dict(self._by_library(long)) if long else self.memory
-            for words in cut:
-                packed = b"".join(map(known.__getitem__, words)) + closing
-                out.append(np.frombuffer(packed, dtype="<u4"))
-        return out
-
-
 def _encoder(content):
-    """The encoder of a worker process, with the words it has met."""
+    """The encoder of a worker process, with the pieces it has met."""
     return kept_in_process(("packing", hashlib.sha256(content).digest()), lambda: WordEncoder(content))
 
 
@@ -233,7 +225,7 @@ def pack(
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     vocabulary = send_vocabulary(documents.sparkSession, path)
-    rows = documents.select("doc_id", utf8("text").alias("text"))
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     longs = ["start", "length", "doc_tokens", "sequence_id", "offset"]
     schema = StructType(
         [rows.schema["doc_id"]]
@@ -255,11 +247,12 @@ def pack(
         return pa.RecordBatch.from_arrays(columns, schema.names), n
 
     def packs(batches):
-        encoder = _encoder(vocabulary.value)
+        encoder, closing = _encoder(vocabulary.value), struct.pack("<I", end)
         first = TaskContext.get().partitionId() << 40
         keys, ids, size = [], [], 0
         for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist(), end)
+            texts = encoder.encode(batch.column(1).to_pylist())
+            found = [np.frombuffer(x + closing, dtype="<u4") for x in texts]
             begin = 0
             for i, own in enumerate(found):
                 ids.append(own)

@@ -84,3 +84,9 @@ def test_a_process_keeps_its_encoder():
     with open(PATH, "rb") as file:
         content = file.read()
     assert bpe._encoder(content) is bpe._encoder(bytes(bytearray(content)))
+
+
+def test_every_character(encoder, library):
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rows = ["".join(":" + c + "a1" + c + " " for c in letters[k : k + 400]) for k in range(0, len(letters), 400)]
+    check(encoder, library, rows)
