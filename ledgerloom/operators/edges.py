@@ -15,26 +15,36 @@ def wide_sum(
     return fold_limbs(sums, "_w", name)
 
 
-def edge_parts(transactions: DataFrame, granularity: str = "week") -> DataFrame:
-    """Counts and limb sums per (src, dst, period) of some of the transactions."""
-    keyed = transactions.select(
+def edge_keys(transactions: DataFrame) -> DataFrame:
+    """(src, dst, block_timestamp, _padded) of transactions, ready for exact sums."""
+    return transactions.select(
         F.coalesce("from_address", F.lit("")).alias("src"),
         F.coalesce("to_address", F.lit("")).alias("dst"),
-        period_start(F.col("block_timestamp"), granularity).alias("week_start"),
+        "block_timestamp",
         padded_u128(F.col("value_wei")).alias("_padded"),
     )
+
+
+def edge_parts(transactions: DataFrame, granularity: str = "week") -> DataFrame:
+    """Counts and limb sums per (src, dst, period) of some of the transactions."""
+    period = period_start(F.col("block_timestamp"), granularity).alias("week_start")
+    keyed = edge_keys(transactions).select("src", "dst", period, "_padded")
     return keyed.groupBy("src", "dst", "week_start").agg(
         F.count(F.lit(1)).alias("tx_count"), *limb_sums(F.col("_padded"), "limb_")
     )
 
 
-def fold_parts(parts: DataFrame) -> DataFrame:
-    """Edges of the parts of all transactions; sums of parts are exact."""
+def add_parts(parts: DataFrame) -> DataFrame:
+    """One row per edge of parts from any number of layers; sums of parts are exact."""
     limbs = [c for c in parts.columns if c.startswith("limb_")]
-    sums = parts.groupBy("src", "dst", "week_start").agg(
+    return parts.groupBy("src", "dst", "week_start").agg(
         F.sum("tx_count").alias("tx_count"), *(F.sum(c).alias(c) for c in limbs)
     )
-    return fold_limbs(sums, "limb_", "total_value_wei").select(
+
+
+def fold_parts(parts: DataFrame) -> DataFrame:
+    """Edges of the parts of all transactions."""
+    return fold_limbs(add_parts(parts), "limb_", "total_value_wei").select(
         "src", "dst", "week_start", "tx_count", "total_value_wei"
     )
 
