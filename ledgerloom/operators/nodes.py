@@ -49,13 +49,18 @@ def hub_threshold(degree_table: DataFrame, percentile: float = HUB_PERCENTILE) -
     looked up in the histogram of degrees. E edges have at most about 2 * sqrt(E) different
     degrees, so the running sum over the histogram is small whatever the graph.
     """
+    return threshold_of(degree_histogram(degree_table), percentile)
+
+
+def degree_histogram(degree_table: DataFrame) -> DataFrame:
+    """(total, n_addresses): how many addresses have each total degree above zero."""
     total = (F.col("degree_in") + F.col("degree_out")).alias("total")
-    histogram = (
-        degree_table.select(total)
-        .filter("total > 0")
-        .groupBy("total")
-        .agg(F.count(F.lit(1)).alias("n_addresses"))
-    )
+    positive = degree_table.select(total).filter("total > 0")
+    return positive.groupBy("total").agg(F.count(F.lit(1)).alias("n_addresses"))
+
+
+def threshold_of(histogram: DataFrame, percentile: float = HUB_PERCENTILE) -> DataFrame:
+    """The hub threshold of a degree histogram, see `hub_threshold`."""
     everything = Window.partitionBy(F.lit(0))
     count = F.sum("n_addresses").over(everything)
     upto = F.sum("n_addresses").over(everything.orderBy("total"))
@@ -137,7 +142,11 @@ def classify_nodes(
 ) -> DataFrame:
     """Node rows of a degree table. The threshold is one value, read as scalar subquery."""
     threshold = hub_threshold(degree_table, percentile).scalar()
-    resolved = resolve_contracts(degree_table, known, status)
+    return classify_degrees(resolve_contracts(degree_table, known, status), threshold)
+
+
+def classify_degrees(resolved: DataFrame, threshold: Column) -> DataFrame:
+    """Node rows of degrees with contract flags."""
     is_contract = F.coalesce("is_contract", F.lit(False))
     total = F.col("degree_in") + F.col("degree_out")
     return resolved.select(
