@@ -150,13 +150,18 @@ def edges_stage(
     path: str,
     granularity: str = "week",
     rejects_path: str | None = None,
+    window: tuple[datetime, datetime] | None = None,
 ) -> int:
     """Transaction table to edge table; rows without usable time go to `rejects_path`.
 
     Without that path such rows are an error. Tables written by this package have none,
-    tables from elsewhere may.
+    tables from elsewhere may. With a `window` (start, end) the table is one by month, of which
+    only the window's months are read.
     """
     use_utc(spark)
+    if window is not None:
+        rows = sources.read_months(spark, transactions_path, *window)
+        return sinks.write_edges(aggregate_edges(rows, granularity), path)
     usable, unusable = split_times(sources.read_transactions(spark, transactions_path))
     if rejects_path is not None:
         unusable.write.option("compression", "zstd").parquet(rejects_path)

@@ -6,10 +6,17 @@ counted too.
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from ledgerloom.functions.times import format_rfc3339
-from ledgerloom.operators.cleaning import TRANSACTION_COLUMNS, drop_repeats, has_both_ends
+from ledgerloom.functions.times import format_rfc3339, period_start
+from ledgerloom.operators.cleaning import (
+    TRANSACTION_COLUMNS,
+    drop_repeats,
+    has_both_ends,
+    merge_transactions,
+)
 from ledgerloom.operators.labeling import show_checksums
+from ledgerloom.operators.quality import table_exists
 from ledgerloom.session import write_scratch
+from ledgerloom.sources.tables import type_transactions
 
 
 def _write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
@@ -58,6 +65,50 @@ def write_transactions(
     )
 
 
+def months_of(rows: DataFrame) -> DataFrame:
+    """Typed transactions with the month they are stored under."""
+    return rows.withColumn("block_month", period_start(F.col("block_timestamp"), "month"))
+
+
+def write_months(
+    transactions: DataFrame, path: str, key_cols=("tx_hash",), deduplicate: bool = True
+) -> int:
+    """Transaction table in a folder per month, by time within; returns the number of rows.
+
+    Months that the rows are in are replaced as a whole, others stay. Stopped half-way, the
+    same call replaces the same months again. `transactions` must not be a scan of `path`.
+    """
+    rows = transactions.select(*TRANSACTION_COLUMNS).filter(has_both_ends())
+    if deduplicate:
+        rows = drop_repeats(rows, key_cols, ("block_timestamp",))
+    seen = Observation()
+    ordered = order_transactions(months_of(rows)).observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    shown = ordered.withColumn("block_timestamp", format_rfc3339(F.col("block_timestamp")))
+    writer = shown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "zstd").partitionBy("block_month").parquet(path)
+    return seen.get["n_rows"]
+
+
+def merge_months(transactions: DataFrame, path: str, key_cols=("tx_hash",)) -> int:
+    """Merge transactions into a month table; only the months they are in are read and replaced.
+
+    Stored rows win over new ones of the same key. A key has one time: its versions in
+    different months are not compared. Returns the number of rows of the replaced months.
+    """
+    spark = transactions.sparkSession
+    new = transactions.select(*TRANSACTION_COLUMNS).filter(has_both_ends())
+    new = write_scratch(months_of(new).filter("block_month is not null"), "new-months")
+    months = [r[0] for r in new.select("block_month").distinct().collect()]
+    if not months:
+        return 0
+    frames = [new]
+    if table_exists(spark, path):
+        stored = type_transactions(spark.read.parquet(path).filter(F.col("block_month").isin(months)))
+        frames.insert(0, stored)
+    merged = write_scratch(merge_transactions(frames, key_cols), "merged-months")
+    return write_months(merged, path, deduplicate=False)
+
+
 def write_edges(edges: DataFrame, path: str) -> int:
     """Edge table by (src, dst, week_start), dates as text."""
     ordered = edges.orderBy("src", "dst", "week_start")

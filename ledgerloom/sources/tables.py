@@ -4,11 +4,14 @@ All readers pass the declared layout, so columns are found by name and nothing i
 Missing cells get the documented defaults; malformed times become null, never "now".
 """
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions.times import parse_rfc3339
 from ledgerloom.operators.nodes import parse_node_type
+from ledgerloom.operators.selecting import select_window
 from ledgerloom.schemas import EDGES_DISK, LABELS_DISK, NODES_DISK, TRANSACTIONS_DISK
 
 
@@ -49,6 +52,20 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return type_transactions(scan_transactions(spark, path))
 
 
+def read_months(spark: SparkSession, path: str, start: datetime, end: datetime) -> DataFrame:
+    """Transactions of a month table from `start` up to, not including, `end` (aware times).
+
+    Only the folders of these months are listed for reading; within them the days prune row
+    groups, since times are stored as text that sorts by day.
+    """
+    start, end = (t.astimezone(timezone.utc) for t in (start, end))
+    months = F.col("block_month").between(F.lit(start.date().replace(day=1)), F.lit(end.date()))
+    last = (end.date() + timedelta(days=1)).isoformat()
+    days = F.col("block_timestamp").between(F.lit(start.date().isoformat()), F.lit(last))
+    raw = _checked(spark, path, TRANSACTIONS_DISK)
+    return select_window(type_transactions(raw.filter(months & days)), start, end)
+
+
 def type_transactions(raw: DataFrame) -> DataFrame:
     return raw.select(
         _text("tx_hash"),

@@ -1,0 +1,89 @@
+"""Transaction tables by month: what a window reads, and merges that replace months."""
+
+import random
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+from ledgerloom.operators.cleaning import merge_transactions
+from ledgerloom.operators.edges import aggregate_edges
+from ledgerloom.plans import stages
+from ledgerloom.sinks import tables as sinks
+from ledgerloom.sources import tables as sources
+
+LAYOUT = "tx_hash string, block_timestamp timestamp, from_address string, to_address string, value_wei string"
+
+
+def made(rng, n, first=0):
+    """Transfers over fourteen months, with repeats."""
+    rows = []
+    for k in range(n):
+        number = first + rng.randrange(n)
+        when = datetime(2023, 1, 5) + timedelta(hours=17 * (number % 600), microseconds=number % 3)
+        rows.append((f"0x{number}", when, rng.choice("abc"), rng.choice("xyz"), str(rng.randrange(10**20))))
+    return rows + [("0xnone", datetime(2023, 1, 1), "", "x", "1")]
+
+
+def utc(*parts):
+    return datetime(*parts, tzinfo=timezone.utc)
+
+
+def rows(frame):
+    return sorted(map(str, frame.select(*LAYOUT.replace(",", "").split()[::2]).collect()))
+
+
+def test_a_window_reads_its_months(spark, tmp_path):
+    path = str(tmp_path / "tx")
+    frame = spark.createDataFrame(made(random.Random(1), 900), LAYOUT)
+    count = sinks.write_months(frame, path)
+    whole = merge_transactions([frame.filter("from_address != ''")])
+    assert count == whole.count() and rows(sources.read_transactions(spark, path)) == rows(whole)
+    start, end = utc(2023, 3, 20), utc(2023, 4, 17)
+    window = sources.read_months(spark, path, start, end)
+    assert rows(window) == rows(whole.filter("block_timestamp >= '2023-03-20' and block_timestamp < '2023-04-17'"))
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "block_month" in filters and "PushedFilters: []" not in plan
+    window.collect()
+    plan = window._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numPartitions").value() == 2
+    edges = str(tmp_path / "edges")
+    stages.edges_stage(spark, path, edges, window=(start, end))
+    assert rows_of_edges(sources.read_edges(spark, edges)) == rows_of_edges(aggregate_edges(window))
+
+
+def rows_of_edges(frame):
+    return sorted(map(str, frame.collect()))
+
+
+@pytest.mark.parametrize("when", [(2023, 3, 1), (2023, 3, 1, 0, 0, 1), (2023, 12, 31, 23, 59, 59)])
+def test_bounds_are_exact(spark, tmp_path, when):
+    path, at = str(tmp_path / "tx"), datetime(*when)
+    near = [at + timedelta(microseconds=k) for k in (-1_000_000, -1, 0, 1, 1_000_000)]
+    sinks.write_months(spark.createDataFrame([(str(k), t, "a", "b", "1") for k, t in enumerate(near)], LAYOUT), path)
+    bound = at.replace(tzinfo=timezone.utc)
+    after = sources.read_months(spark, path, bound, bound + timedelta(days=40))
+    assert sorted(r.tx_hash for r in after.collect()) == ["2", "3", "4"]
+    before = sources.read_months(spark, path, bound - timedelta(days=40), bound)
+    assert sorted(r.tx_hash for r in before.collect()) == ["0", "1"]
+
+
+def test_merges_replace_only_their_months(spark, tmp_path):
+    rng, path = random.Random(2), str(tmp_path / "tx")
+    first, second = made(rng, 300), made(rng, 200, first=250)
+    one, two = (spark.createDataFrame(r, LAYOUT) for r in (first, second))
+    assert sinks.merge_months(one, path) > 0
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "tx").rglob("*.parquet")}
+
+    before = files()
+    sinks.merge_months(two, path)
+    usable = [f.filter("from_address != ''") for f in (one, two)]
+    assert rows(sources.read_transactions(spark, path)) == rows(merge_transactions(usable))
+    months = {str(r[0]) for r in sinks.months_of(two).select("block_month").distinct().collect()}
+    kept = {p: t for p, t in before.items() if not any(m in p for m in months)}
+    assert kept and kept.items() <= files().items()
+    again = files()
+    assert sinks.merge_months(two.limit(0), path) == 0 and files() == again

@@ -1,12 +1,17 @@
 """Queries on tables that go on from what is stored: node states, statuses, checksums, months."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import nodes
 from ledgerloom.operators.edges import aggregate_edges
-from ledgerloom.plans import incremental
+from ledgerloom.plans import incremental, stages
 from ledgerloom.session import scratch_path, write_scratch
-from workload.graph import _LATEST_SQL, _NODE_SQL
+from ledgerloom.sinks import tables as sinks
+from ledgerloom.sources import tables as sources
+from workload.flows import _SHOWN, shown
+from workload.graph import _LATEST_SQL, _NODE_SQL, dated
 from workload.registry import query
 from workload.standins import (
     PERCENTILE,
@@ -82,3 +87,41 @@ def status_changes(spark, sf_dir):
     known = F.coalesce(F.col("is_contract").cast("string"), F.lit("unknown"))
     rows = incremental.read_state(spark, folder)
     return rows.select("address", known.alias("is_contract"), "degree_in", "degree_out")
+
+
+def month_table(spark, sf_dir):
+    """Transactions merged into a month table in two portions that share months and rows."""
+    path, rows = scratch_path(spark, "months"), transactions(spark, sf_dir)
+    when = F.to_date("block_timestamp")
+    sinks.merge_months(rows.filter(when < CUTS[0]), path)
+    sinks.merge_months(rows.filter(when >= "1994-05-01"), path)
+    return path
+
+
+@query("K2_month_table", check_sql(f"SELECT {_SHOWN} FROM uniq", "uniq"))
+def merged_months(spark, sf_dir):
+    return shown(sources.read_transactions(spark, month_table(spark, sf_dir)))
+
+
+WINDOW = datetime(1995, 3, 20, tzinfo=timezone.utc), datetime(1995, 4, 17, tzinfo=timezone.utc)
+_WINDOW_SQL = "block_timestamp >= TIMESTAMP '1995-03-20' AND block_timestamp < TIMESTAMP '1995-04-17'"
+
+
+@query("F5_month_window", check_sql(f"SELECT {_SHOWN} FROM uniq WHERE {_WINDOW_SQL}", "uniq"))
+def month_window(spark, sf_dir):
+    return shown(sources.read_months(spark, month_table(spark, sf_dir), *WINDOW))
+
+
+@query(
+    "C4_window_edges",
+    check_sql(
+        "SELECT from_address AS src, to_address AS dst, CAST(CAST(date_trunc('week', block_timestamp) "
+        "AS DATE) AS VARCHAR) AS week_start, count(*) AS tx_count, CAST(sum(CAST(value_wei AS "
+        f"HUGEINT)) AS VARCHAR) AS total_value_wei FROM uniq WHERE {_WINDOW_SQL} GROUP BY 1, 2, 3",
+        "uniq",
+    ),
+)
+def window_edges(spark, sf_dir):
+    path = scratch_path(spark, "edges")
+    stages.edges_stage(spark, month_table(spark, sf_dir), path, window=WINDOW)
+    return dated(sources.read_edges(spark, path))
