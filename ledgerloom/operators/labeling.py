@@ -9,6 +9,7 @@ from ledgerloom.functions.addresses import (
     prefixed_addresses,
 )
 from ledgerloom.functions.checksum import checksum_address
+from ledgerloom.layers import merge_layers, read_layers, write_layer
 from ledgerloom.operators.keysets import BROADCAST_KEYS
 from ledgerloom.session import write_scratch
 
@@ -64,18 +65,49 @@ def normalize_addresses(df: DataFrame, column: str, checksum: bool = False) -> D
 
 def address_dimension(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct valid addresses of the columns: `key` and `checksum`, hashed once each."""
+    return distinct_keys(df, *columns).withColumn("checksum", checksum_address(F.col("key")))
+
+
+def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct valid addresses of the columns, as `key`."""
     every = df.select(F.explode(F.array(*(address_key(F.col(c)) for c in columns))).alias("key"))
-    distinct = every.filter("key is not null").distinct()
-    return distinct.withColumn("checksum", checksum_address(F.col("key")))
+    return every.filter("key is not null").distinct()
+
+
+def stored_checksums(keys: DataFrame, folder: str) -> DataFrame:
+    """`key` and `checksum` of distinct keys, from a table that outlives the run.
+
+    Only keys that the table lacks are hashed, and they are added to it as a layer. Two runs
+    at once may both add a key; that is as good as one.
+    """
+    spark, known = keys.sparkSession, read_layers(keys.sparkSession, folder)
+    if known is None:
+        known = spark.createDataFrame([], "key string, checksum string")
+    found = keys.select("key").join(known, "key", "left").dropDuplicates(["key"])
+    found = write_scratch(found, "known-checksums")
+    fresh = found.filter("checksum is null")
+    if fresh.isEmpty():
+        return found
+    added = write_layer(fresh.select("key", checksum_address(F.col("key")).alias("checksum")), folder)
+    return found.filter("checksum is not null").unionByName(read_layers(spark, folder, names=[added]))
+
+
+def merge_checksums(spark, folder: str):
+    """Fold the layers of a checksum table into one row per key."""
+    return merge_layers(spark, folder, lambda rows: rows.dropDuplicates(["key"]))
 
 
-def show_checksums(rows: DataFrame, *columns: str) -> DataFrame:
+def show_checksums(rows: DataFrame, *columns: str, folder: str | None = None) -> DataFrame:
     """Well-formed addresses of the columns in checksum form; other text stays as it is.
 
     Every distinct address is hashed once, into a table that is written and joined back
-    (broadcast while it is small). `rows` is read twice: pass a written table.
+    (broadcast while it is small); with `folder`, once for all runs that share it. `rows` is
+    read twice: pass a written table.
     """
-    dimension = write_scratch(address_dimension(rows, *columns), "checksums")
+    if folder is None:
+        dimension = write_scratch(address_dimension(rows, *columns), "checksums")
+    else:
+        dimension = stored_checksums(distinct_keys(rows, *columns), folder)
     few = dimension.count() <= BROADCAST_KEYS
     shown = rows
     for number, column in enumerate(columns):

@@ -86,10 +86,16 @@ def parse_node_type(text: Column) -> Column:
     return F.when(text.isin("hub", "contract"), text).otherwise("eoa")
 
 
+def newest_status(status: DataFrame) -> DataFrame:
+    """The newest row per lowercase address: `resolved_at`, then true, decides."""
+    newest = F.max(F.struct("resolved_at", "is_contract")).alias("row")
+    rows = status.groupBy(F.lower("address").alias("address")).agg(newest)
+    return rows.select("address", "row.is_contract", "row.resolved_at")
+
+
 def latest_status(status: DataFrame) -> DataFrame:
-    """Newest contract status per lowercase address (`resolved_at`, then true, decides)."""
-    newest = F.max_by("is_contract", F.struct("resolved_at", "is_contract"))
-    return status.groupBy(F.lower("address").alias("key")).agg(newest.alias("is_contract"))
+    """Newest contract status per lowercase address, as `key` and `is_contract`."""
+    return newest_status(status).select(F.col("address").alias("key"), "is_contract")
 
 
 def resolve_contracts(

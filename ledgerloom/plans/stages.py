@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.layers import child_names, unique_name
 from ledgerloom.operators import cleaning, quality, ranking, selecting
 from ledgerloom.operators.edges import aggregate_edges
 from ledgerloom.operators.keysets import KeySet, key_set, touching
@@ -122,6 +123,7 @@ def expand_and_merge(
     checksum: bool = True,
     max_labels: int | None = None,
     counts_path: str | None = None,
+    checksums_path: str | None = None,
 ) -> int:
     """Typed transfers and labels to the transaction table.
 
@@ -135,7 +137,9 @@ def expand_and_merge(
             seen.alias("rows_seen"), kept.alias("rows_kept"), (seen - kept).alias("rows_removed")
         )
         counts.write.json(counts_path)
-    return sinks.write_transactions(merged, path, deduplicate=False, checksum=checksum)
+    return sinks.write_transactions(
+        merged, path, deduplicate=False, checksum=checksum, checksums_path=checksums_path
+    )
 
 
 def split_times(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -209,11 +213,8 @@ TABLES = ("labels", "transactions", "edges", "nodes")
 
 
 def run_folders(spark: SparkSession, folder: str) -> list[str]:
-    """The folders of the runs below `folder`, oldest first."""
-    runs = []
-    while quality.table_exists(spark, f"{folder}/run-{len(runs) + 1}"):
-        runs.append(f"{folder}/run-{len(runs) + 1}")
-    return runs
+    """The folders of the runs below `folder`, by the time they were begun."""
+    return [f"{folder}/{name}" for name in child_names(spark, folder) if name.startswith("run-")]
 
 
 def latest_tables(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -257,13 +258,14 @@ def build_graph(
     table partitioned by month: accepted rows go on, and the run writes how many rows were
     rejected for which reason. Frames without `reject_reason` count as accepted.
 
-    Nothing that exists is replaced: every run has a folder of its own, and a skipped stage
+    Nothing that exists is replaced: every run has a folder of its own that no other run takes,
+    runs share a table of address checksums, to which they add, and a skipped stage
     is read from the newest run that has it (transactions under `skip_transactions`; no
     nodes are built under `skip_nodes`).
     """
     use_utc(spark)
     before = latest_tables(spark, folder)
-    run = f"{folder}/run-{len(run_folders(spark, folder)) + 1}"
+    run = f"{folder}/{unique_name('run')}"
     paths = {name: f"{run}/{name}" for name in TABLES}
     notes = {name: f"{run}/metadata/{name}" for name in TABLES}
     start, end = selecting.window_bounds(end, weeks)
@@ -300,6 +302,7 @@ def build_graph(
             checksum,
             max_labels,
             f"{run}/counts/repeats",
+            f"{folder}/checksums",
         )
         note("transactions", "raw_transactions", rows)
     rows = edges_stage(

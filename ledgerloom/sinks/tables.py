@@ -13,7 +13,9 @@ from ledgerloom.operators.cleaning import (
     has_both_ends,
     merge_transactions,
 )
+from ledgerloom.layers import merge_layers, write_layer
 from ledgerloom.operators.labeling import show_checksums
+from ledgerloom.operators.nodes import newest_status
 from ledgerloom.operators.quality import table_exists
 from ledgerloom.session import write_scratch
 from ledgerloom.sources.tables import type_transactions
@@ -48,17 +50,19 @@ def write_transactions(
     key_cols=("tx_hash",),
     deduplicate: bool = True,
     checksum: bool = False,
+    checksums_path: str | None = None,
 ) -> int:
     """Transaction table, times as text. `deduplicate=False` is for rows already unique.
 
-    Checksums are made once per distinct address, from rows written before.
+    Checksums are made once per distinct address, from rows written before; with
+    `checksums_path`, once for all runs that share it.
     """
     rows = transactions.select(*TRANSACTION_COLUMNS).filter(has_both_ends())
     if deduplicate:
         rows = drop_repeats(rows, key_cols, ("block_timestamp",))
     if checksum:
         rows = write_scratch(rows, "unique") if deduplicate else rows
-        rows = show_checksums(rows, "from_address", "to_address")
+        rows = show_checksums(rows, "from_address", "to_address", folder=checksums_path)
     rows = order_transactions(rows)
     return _write(
         rows.withColumn("block_timestamp", format_rfc3339(F.col("block_timestamp"))), path
@@ -120,5 +124,13 @@ def write_nodes(nodes: DataFrame, path: str) -> int:
 
 
 def append_status(status: DataFrame, path: str) -> int:
-    """Add resolved contract statuses to the status table."""
-    return _write(status.select("address", "is_contract", "resolved_at"), path, "append")
+    """Add resolved contract statuses to the status table, as a layer of its own."""
+    seen = Observation()
+    rows = status.select("address", "is_contract", "resolved_at")
+    write_layer(rows.observe(seen, F.count(F.lit(1)).alias("n_rows")), path)
+    return seen.get["n_rows"]
+
+
+def merge_status(spark, path: str):
+    """Fold the status table into a snapshot: the newest row of every lowercase address."""
+    return merge_layers(spark, path, newest_status, least=1)

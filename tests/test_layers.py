@@ -7,8 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import layers
+from ledgerloom.operators import labeling
 from ledgerloom.operators.cleaning import merge_transactions
 from ledgerloom.operators.edges import aggregate_edges
+from ledgerloom.operators.nodes import latest_status
+from ledgerloom.sinks import tables as sinks
+from ledgerloom.sources.contracts import read_status_table
 from ledgerloom.streaming import jobs
 
 
@@ -196,3 +200,53 @@ def test_merged_edge_sums(spark, tmp_path):
             jobs.merge_stream_edges(spark, path)
     expected = aggregate_edges(spark.createDataFrame(every, LAYOUT)).collect()
     assert sorted(map(str, jobs.read_stream_edges(spark, path).collect())) == sorted(map(str, expected))
+
+
+STATUS = "address string, is_contract boolean, resolved_at timestamp"
+
+
+def test_status_snapshot_has_a_row_an_address(spark, tmp_path):
+    path, day = str(tmp_path / "status"), lambda d: datetime(2024, 1, d)
+    every = [("0xA", True, day(1)), ("0xb", False, day(1)), ("0xa", False, day(2)), ("0xb", True, day(1)), ("0xc", None, day(3))]
+    for k in range(0, 5, 2):
+        assert sinks.append_status(spark.createDataFrame(every[k : k + 2], STATUS), path) == min(2, 5 - k)
+    whole = spark.createDataFrame(every, STATUS)
+    before = sorted(map(str, latest_status(read_status_table(spark, path)).collect()))
+    assert before == sorted(map(str, latest_status(whole).collect()))
+    sinks.merge_status(spark, path)
+    merged = read_status_table(spark, path)
+    assert sorted(r.address for r in merged.collect()) == ["0xa", "0xb", "0xc"]
+    assert sorted(map(str, latest_status(merged).collect())) == before
+    sinks.append_status(spark.createDataFrame([("0xC", True, day(4))], STATUS), path)
+    assert {r.key: r.is_contract for r in latest_status(read_status_table(spark, path)).collect()} == {
+        "0xa": False, "0xb": True, "0xc": True,
+    }
+
+
+def test_checksums_are_made_once_for_all_runs(spark, tmp_path):
+    folder = str(tmp_path / "checksums")
+
+    def shown(*numbers):
+        layout = "a string, b string"
+        rows = spark.createDataFrame([(f"0x{n:040x}", "no address") for n in numbers], layout)
+        out = labeling.show_checksums(rows, "a", "b", folder=folder).collect()
+        expected = labeling.show_checksums(rows, "a", "b").collect()
+        assert sorted(out) == sorted(expected)
+        return layers.live_layers(spark, folder)
+
+    assert len(shown(1, 2, 0xABCDEF, 0xABCDEF)) == 1
+    assert len(shown(2, 1)) == 1
+    added = shown(2, 0xFEDCBA, 1)[-1]
+    assert layers.read_layers(spark, folder, names=[added]).count() == 1
+    # Two runs at once may add the same key.
+    layers.write_layer(layers.read_layers(spark, folder), folder)
+    shown(1, 0xFEDCBA, 3)
+    labeling.merge_checksums(spark, folder)
+    rows = layers.read_layers(spark, folder)
+    assert rows.count() == rows.select("key").distinct().count() == 5
+    shown(1, 0xFEDCBA, 3)
+
+
+def test_runs_at_once_take_folders_of_their_own(tmp_path):
+    names = [layers.unique_name("run") for _ in range(1000)]
+    assert len(set(names)) == 1000 and [n[:30] for n in names] == sorted(n[:30] for n in names)

@@ -4,21 +4,24 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import nodes
+from ledgerloom.operators import labeling, nodes
 from ledgerloom.operators.edges import aggregate_edges
 from ledgerloom.plans import incremental, stages
 from ledgerloom.session import scratch_path, write_scratch
 from ledgerloom.sinks import tables as sinks
-from ledgerloom.sources import tables as sources
+from ledgerloom.sources import contracts, tables as sources
 from workload.flows import _SHOWN, shown
 from workload.graph import _LATEST_SQL, _NODE_SQL, dated
+from workload.keccak import checksum_sql
 from workload.registry import query
 from workload.standins import (
     PERCENTILE,
     check_sql,
     contract_addresses,
+    customer_address,
     labeled_addresses,
     status_rows,
+    table,
     transactions,
 )
 
@@ -125,3 +128,37 @@ def window_edges(spark, sf_dir):
     path = scratch_path(spark, "edges")
     stages.edges_stage(spark, month_table(spark, sf_dir), path, window=WINDOW)
     return dated(sources.read_edges(spark, path))
+
+
+@query(
+    "K6_status_snapshot",
+    check_sql(
+        "SELECT address, arg_max(is_contract, resolved_at) AS is_contract, "
+        "strftime(max(resolved_at), '%Y-%m-%d') AS resolved_at FROM status GROUP BY address",
+        "status",
+    ),
+)
+def status_snapshot(spark, sf_dir):
+    path, every = scratch_path(spark, "status"), status_rows(spark, sf_dir)
+    for portion in range(4):
+        sinks.append_status(every.filter(F.year("resolved_at") % 4 == portion), path)
+        if portion == 1:
+            sinks.merge_status(spark, path)
+    sinks.merge_status(spark, path)
+    day = F.date_format("resolved_at", "yyyy-MM-dd").alias("resolved_at")
+    return contracts.read_status_table(spark, path).select("address", "is_contract", day)
+
+
+@query(
+    "P2_stored_checksums",
+    checksum_sql(
+        "SELECT '0x' || lpad(lower(to_hex(c_custkey + 1)), 40, '0') AS key FROM customer",
+        "SELECT key, checksum FROM checksums",
+    ),
+)
+def stored_checksums(spark, sf_dir):
+    # The second run meets the first one's addresses and hashes the others only.
+    folder = scratch_path(spark, "checksums")
+    keys = table(spark, sf_dir, "customer").select(customer_address("c_custkey").alias("key"))
+    labeling.stored_checksums(keys.filter(F.hash("key") % 3 != 0), folder)
+    return labeling.stored_checksums(keys, folder)
