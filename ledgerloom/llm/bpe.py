@@ -133,6 +133,8 @@ def distinct_words(points, starts, ends):
 class Encoder:
     """A byte-level vocabulary whose ids follow the order of the merges."""
 
+    block_chars = None
+
     def __init__(self, content: bytes):
         described = json.loads(content)
         letters = byte_letters()
@@ -222,11 +224,11 @@ class Encoder:
 
     def encode(self, texts):
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        out, block, size = [], [], 0
+        out, block, size, limit = [], [], 0, self.block_chars or BLOCK_CHARS
         for text in texts:
             block.append(text)
             size += len(text)
-            if size >= BLOCK_CHARS:
+            if size >= limit:
                 out += self._encode_block(block)
                 block, size = [], 0
         return out + self._encode_block(block)

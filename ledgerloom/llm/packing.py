@@ -86,6 +86,8 @@ class WordEncoder(Encoder):
     encoded once and remembered. New pieces are merged together, one merge a round each.
     """
 
+    block_chars = 1_000_000
+
     def __init__(self, content):
         from tokenizers import Tokenizer
 
