@@ -1,18 +1,24 @@
 """Shards by fixed virtual slots, in DataFrame and SQL functions only.
 
-Every record hashes by its id into one of thousands of slots, for ever. Bytes are summed per
-slot (combined on the map side), and slots, largest first, go to the shard with the fewest
-bytes so far: shards end up nearly equal in bytes, since thousands of small slots can always
-fill the gaps. The slot-to-shard map is a small table, written under a version; growing edits
-the map by moving a few slots into the new shard, so no record rehashes and no other one
+Every record hashes by its id and text into one of thousands of slots, for ever. Bytes are
+summed per slot (combined on the map side), and slots, largest first, go to the shard with the
+fewest bytes so far: shards end up nearly equal in bytes, since thousands of small slots can
+always fill the gaps. The slot-to-shard map is a small table, written under a version; growing
+edits the map by moving a few slots into the new shard, so no record rehashes and no other one
 moves.
 
-The map has one row per slot, whatever the number of records: it is the only thing that is
-broadcast or brought together in one row.
+The map has one row per slot, whatever the number of records. Rows are numbered within portions
+of a slot, as many as its rows call for, so a slot of any size is numbered by many tasks. The
+portions' counts, slots and a millionth of the rows at most, are broadcast with the map.
 
-Defined cases: null texts have no bytes of their own; a null id hashes like any value; rows
-that repeat an id share its slot and are numbered each; extra columns stay out of the result;
-an empty table gives an empty result, and its map deals the empty slots out evenly.
+Groups of equal texts do not stay together: the law is equal bytes, and a group may be a third
+of all rows. Its records have ids of their own and so go to different slots.
+
+Defined cases: null texts have no bytes of their own; a record without id is its place in the
+written table, so null ids are spread; rows that repeat an id with another text are records of
+their own, and copies of a whole row share its slot and are numbered each; extra columns stay
+out of the result; an empty table gives an empty result, and its map deals the empty slots out
+evenly.
 """
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -23,15 +29,26 @@ from ledgerloom.session import scratch_path
 SLOTS = 8192
 SHARDS = 40
 ROW_BYTES = 16
+#: Rows of a portion of a slot that one task numbers.
+PORTION_ROWS = 1_000_000
 
 
 def record_slots(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot) of every row."""
-    return documents.select(
+    """(doc_id, size, text_crc32, place, virtual_slot) of every row; write it once.
+
+    `place` numbers the rows as they are read. It stands for an id that is null, and chooses a
+    portion of a large slot.
+    """
+    numbered = documents.select("doc_id", utf8("text").alias("text")).withColumn(
+        "place", F.monotonically_increasing_id()
+    )
+    record = F.when(F.col("doc_id").isNull(), F.xxhash64("place", F.lit("no id")))
+    return numbered.select(
         "doc_id",
-        (F.octet_length(utf8("text")).cast("long") + ROW_BYTES).alias("size"),
-        F.crc32(utf8("text")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(slots)).cast("int").alias("virtual_slot"),
+        (F.octet_length("text").cast("long") + ROW_BYTES).alias("size"),
+        F.crc32("text").alias("text_crc32"),
+        "place",
+        F.pmod(record.otherwise(F.xxhash64("doc_id", "text")), F.lit(slots)).cast("int").alias("virtual_slot"),
     )
 
 
@@ -47,7 +64,7 @@ def slot_sizes(spark: SparkSession, records: DataFrame, slots: int = SLOTS) -> D
 def deal_slots(sizes: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(virtual_slot, shard): largest slots first, each to the shard with the fewest bytes.
 
-    The sizes of all slots stand in one sorted array (slots are a fixed number), and a fold
+    An empty slot counts as a row without text, or one shard would take them all. The sizes of all slots stand in one sorted array (slots are a fixed number), and a fold
     over it carries the bytes of the shards.
     """
     ordered = sizes.agg(
@@ -60,8 +77,9 @@ def deal_slots(sizes: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     def place(state, slot):
         least = F.array_position(state["loads"], F.array_min(state["loads"])).cast("int")
+        weight = F.greatest(slot["n_bytes"], F.lit(ROW_BYTES).cast("long"))
         loads = F.transform(
-            state["loads"], lambda load, i: F.when(i == least - 1, load + slot["n_bytes"]).otherwise(load)
+            state["loads"], lambda load, i: F.when(i == least - 1, load + weight).otherwise(load)
         )
         return F.struct(loads.alias("loads"), F.array_append(state["chosen"], least - 1).alias("chosen"))
 
@@ -71,15 +89,23 @@ def deal_slots(sizes: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def grow(sizes: DataFrame, assigned: DataFrame, shards: int) -> DataFrame:
-    """The map with one more shard (number `shards`): every old shard gives up its smallest
-    slots as far as they fit its equal part of the new shard; all others stay."""
+    """The map with one more shard (number `shards`): every old shard gives up slots in the
+    order of a hash, as long as both their number and their bytes are within the new shard's
+    equal part; all others stay. Empty slots move like others, for they will be filled."""
     rows = assigned.join(sizes, "virtual_slot")
     mine = Window.partitionBy("shard")
-    rows = rows.withColumn("total", F.sum("n_bytes").over(mine)).withColumn(
-        "upto", F.sum("n_bytes").over(mine.orderBy("n_bytes", "virtual_slot").rowsBetween(Window.unboundedPreceding, 0))
+    order = mine.orderBy(F.xxhash64("virtual_slot", F.lit(shards)), "virtual_slot")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    part = 1 / (shards + 1)
+    # A slot goes if its middle is within the part, so that parts are met on average.
+    bytes_upto = F.coalesce(F.sum("n_bytes").over(before), F.lit(0)) + F.col("n_bytes") / 2
+    slots_upto = F.row_number().over(order) - 0.5
+    moves = (bytes_upto <= F.sum("n_bytes").over(mine) * part) & (
+        slots_upto <= F.count(F.lit(1)).over(mine) * part
+    )
+    return rows.withColumn("moves", moves).select(
+        "virtual_slot", F.when(F.col("moves"), shards).otherwise(F.col("shard")).alias("shard")
     )
-    moves = F.col("upto") <= F.col("total") / (shards + 1)
-    return rows.select("virtual_slot", F.when(moves, shards).otherwise(F.col("shard")).alias("shard"))
 
 
 def store_map(assigned: DataFrame, root: str, version: int) -> DataFrame:
@@ -97,14 +123,20 @@ def read_map(spark: SparkSession, root: str, version: int | None = None) -> Data
     return stored.filter(F.col("version") == wanted).drop("version")
 
 
-def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, root: str | None = None):
+def shard(
+    documents: DataFrame,
+    shards: int = SHARDS,
+    slots: int = SLOTS,
+    root: str | None = None,
+    portion_rows: int = PORTION_ROWS,
+) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, rebalanced_shard).
 
     The map is stored as version 1, and edited for one more shard as version 2;
     `rebalanced_shard` is the row's shard by version 2. `grown_shard` is null under this law.
 
-    `slot` numbers the rows of a shard without gaps: rows are numbered within their virtual
-    slot (thousands of tasks' worth), on top of the rows in the shard's earlier slots.
+    `slot` numbers the rows of a shard without gaps: rows are numbered within their portion of
+    a virtual slot, on top of the rows in the shard's earlier portions.
     """
     spark = documents.sparkSession
     records = keep(record_slots(documents, slots), "records")
@@ -114,15 +146,21 @@ def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, root:
     assigned = read_map(spark, root, 1)
     store_map(grow(sizes, assigned, shards), root, 2)
     rebalanced = read_map(spark, root).withColumnRenamed("shard", "rebalanced_shard")
-    before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    placed = assigned.join(F.broadcast(sizes), "virtual_slot").select(
-        "virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("offset")
-    )
-    placed = placed.join(F.broadcast(rebalanced), "virtual_slot")
-    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    numbered = records.withColumn("number", F.row_number().over(within))
+    portions = F.greatest(F.lit(1), F.ceil(F.col("n_rows") / portion_rows)).alias("portions")
     # One row per slot, and slots are a fixed number: always small enough to broadcast.
-    joined = numbered.join(F.broadcast(placed), "virtual_slot")
+    placed = assigned.join(F.broadcast(sizes), "virtual_slot").select("virtual_slot", "shard", portions)
+    placed = placed.join(F.broadcast(rebalanced), "virtual_slot")
+    dealt = records.join(F.broadcast(placed), "virtual_slot")
+    dealt = dealt.withColumn("portion", F.pmod(F.xxhash64("place"), F.col("portions")))
+    counted = keep(dealt.groupBy("shard", "virtual_slot", "portion").agg(F.count(F.lit(1)).alias("n")), "portions")
+    before = Window.partitionBy("shard").orderBy("virtual_slot", "portion").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(
+        "virtual_slot", "portion", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+    )
+    # Portions are slots and a millionth of the rows: thousands, and 100,000 for 10^11 rows.
+    within = Window.partitionBy("virtual_slot", "portion").orderBy("doc_id", "text_crc32", "size", "place")
+    numbered = dealt.withColumn("number", F.row_number().over(within))
+    joined = numbered.join(F.broadcast(offsets), ["virtual_slot", "portion"])
     return joined.select(
         "doc_id",
         "size",

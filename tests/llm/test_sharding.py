@@ -26,7 +26,7 @@ def test_dealing_is_greedy(llm):
     loads, chosen = [0] * 5, {}
     for slot, _, size in sorted(sizes, key=lambda r: (-r[2], -r[0])):
         chosen[slot] = loads.index(min(loads))
-        loads[chosen[slot]] += size
+        loads[chosen[slot]] += max(size, sharding.ROW_BYTES)
     assert {r["virtual_slot"]: r["shard"] for r in sharding.deal_slots(table, 5).collect()} == chosen
 
 
@@ -45,6 +45,46 @@ def test_growing_moves_rows_into_the_new_shard_only(llm, make):
     assert latest == {tuple(r) for r in second.collect()} != {tuple(r) for r in sharding.read_map(llm, root, 1).collect()}
 
 
+def test_null_and_repeated_ids_are_spread(make):
+    rows = [(None, "same")] * 1500 + [(7, f"text {i}") for i in range(1500)]
+    got = sharding.shard(make(rows), shards=4, slots=512).toPandas()
+    for part in (got[got["doc_id"].isna()], got[got["doc_id"] == 7]):
+        counts = part.groupby("shard").size()
+        assert len(counts) == 4 and counts.min() > 250
+    loads = got.groupby("shard")["size"].sum()
+    assert loads.max() < 1.02 * loads.min()
+
+
+def test_equal_texts_go_to_all_shards(make):
+    rows = [(i, "one text for all") for i in range(2000)]
+    got = sharding.shard(make(rows), shards=4, slots=512).toPandas()
+    assert got.groupby("shard").size().min() > 450
+
+
+def test_a_large_slot_is_numbered_in_portions(make):
+    rows = [(5, "a row and its copies")] * 900 + [(i, "x") for i in range(300)]
+    got = sharding.shard(make(rows).repartition(6), shards=3, slots=16, portion_rows=50).toPandas()
+    assert len(got) == 1200 and got.groupby("virtual_slot").size().max() > 900
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+
+
+def test_the_new_shard_takes_its_part_of_slots_and_bytes(llm):
+    documents = llm.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    records = sharding.record_slots(documents)
+    sizes = sharding.slot_sizes(llm, records).cache()
+    first = sharding.deal_slots(sizes, 40).cache()
+    grown = sharding.grow(sizes, first, 40).join(sizes, "virtual_slot").toPandas()
+    new = grown[grown["shard"] == 40]
+    for share in (len(new) / len(grown), new["n_bytes"].sum() / grown["n_bytes"].sum()):
+        assert 0.5 / 41 < share < 2 / 41
+    empty = (grown["n_bytes"] == 0).mean()
+    held = first.join(sizes.filter("n_bytes = 0"), "virtual_slot").groupBy("shard").count().toPandas()["count"]
+    assert len(held) == 40 and held.max() < 2 * held.min()
+    assert abs((new["n_bytes"] == 0).mean() - empty) < 0.15
+    assert new["n_bytes"].count() == grown.merge(first.toPandas(), on="virtual_slot").query("shard_x != shard_y").shape[0]
+
+
 def test_empty_table(make):
     assert sharding.shard(make([]), shards=3, slots=16).count() == 0
 
