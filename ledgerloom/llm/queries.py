@@ -92,16 +92,20 @@ def op4_bpe(spark, sf_dir):
         UNION ALL
         SELECT 'b', item_id,
             regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
-    ), shingles AS (
-        SELECT DISTINCT kind, id, unnest(list_transform(
-            range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
-        FROM cut WHERE len(w) >= 5
-    ), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'b' GROUP BY id)
-    SELECT d.id AS doc_id, b.id AS item_id, CAST(any_value(n) AS INTEGER) AS n_shingles,
-        CAST(count(*) AS INTEGER) AS n_shared, count(*) / any_value(n) AS containment
-    FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 'd' AND b.kind = 'b'
-    JOIN sizes ON sizes.id = b.id
-    GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n)
+    ), items AS (SELECT id, w, least(5, len(w)) AS n FROM cut WHERE kind = 'b' AND len(w) > 0),
+    own AS (
+        SELECT DISTINCT id, n, unnest(list_transform(range(1, len(w) - n + 2),
+            lambda i: array_to_string(w[i : i + n - 1], ' '))) AS s
+        FROM items
+    ), lengths AS (SELECT DISTINCT n FROM items), shingles AS (
+        SELECT DISTINCT id, n, unnest(list_transform(range(1, len(w) - n + 2),
+            lambda i: array_to_string(w[i : i + n - 1], ' '))) AS s
+        FROM cut, lengths WHERE kind = 'd' AND len(w) >= n
+    ), sizes AS (SELECT id, count(*) AS n FROM own GROUP BY id)
+    SELECT d.id AS doc_id, b.id AS item_id, CAST(any_value(sizes.n) AS INTEGER) AS n_shingles,
+        CAST(count(*) AS INTEGER) AS n_shared, count(*) / any_value(sizes.n) AS containment
+    FROM shingles d JOIN own b ON d.s = b.s AND d.n = b.n JOIN sizes ON sizes.id = b.id
+    GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(sizes.n)
     """,
 )
 def op5_decontamination(spark, sf_dir):

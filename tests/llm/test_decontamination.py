@@ -1,9 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from ledgerloom.llm import decontamination
+from ledgerloom.llm import decontamination, words
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -57,6 +58,56 @@ def test_blocks_of_items_change_nothing(llm, make, case, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute_force(docs, items)
 
 
+def test_a_hash_of_two_shingles_changes_nothing(llm, make, case, monkeypatch):
+    docs, items = case
+    true_hashes = words.Words.gram_hashes
+    monkeypatch.setattr(words.Words, "gram_hashes", lambda *a: true_hashes(*a) % np.uint64(7))
+    found = decontamination.sketch_items([(t or "").lower().encode() for _, t in items])
+    expected = brute_force(docs, items)
+    got = decontamination.find_items([(t or "").lower().encode() for _, t in docs], found)
+    pairs = [(docs[d][0], items[i][0], found.count(i), n) for d, own in enumerate(got) for i, n in own]
+    assert sorted(pairs, key=str) == expected
+
+
+def test_a_shingle_and_its_complement_are_two(llm, make):
+    morse = lambda a, b: "".join((a, b)[i.bit_count() & 1] for i in range(1024))
+    text = " ".join(["one two three four", morse("a", "b"), "one two three four", morse("b", "a")])
+    benchmark = llm.createDataFrame([(1, text)], "item_id long, text string")
+    rows = decontamination.search(make([(1, text), (2, "one two three four " + morse("a", "b"))]), benchmark)
+    assert sorted(map(tuple, rows.drop("containment").collect())) == brute_force([(1, text)], [(1, text)])
+
+
+def test_many_copies_of_an_item_and_a_column_of_the_name(llm, make):
+    text = "these seven words stand in a document"
+    benchmark = llm.createDataFrame([(k, text.upper()) for k in range(2000)], "item_id long, text string")
+    rows = decontamination.search(make([(1, "before " + text), (2, "clean")]), benchmark)
+    assert sorted(r["item_id"] for r in rows.collect()) == list(range(2000))
+    items = decontamination._distinct_items(benchmark)
+    assert items.count() == 1
+    marked = decontamination.with_matches(make([(1, text), (2, "clean")]), items)
+    assert sorted((r["doc_id"], len(r["matches"])) for r in marked.collect()) == [(1, 1), (2, 0)]
+
+
+def test_blocks_pass_through_the_driver_one_at_a_time(llm, make, monkeypatch):
+    items = [(k, f"item {k} has these nine words of its own {k}") for k in range(400)]
+    docs = [(k, f"text before. Item {k} has these nine words of its own {k}") for k in range(0, 400, 40)]
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 6000)
+    sent, live, broadcast = [], set(), type(llm.sparkContext).broadcast
+
+    def watched(context, value):
+        made = broadcast(context, value)
+        destroy = made.destroy
+        live.add(id(made))
+        sent.append((sum(len(t) for t, _ in value), len(live)))
+        made.destroy = lambda *a: (live.discard(id(made)), destroy(*a))
+        return made
+
+    monkeypatch.setattr(type(llm.sparkContext), "broadcast", watched)
+    rows = decontamination.search(make(docs), llm.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(k, k) for k in range(0, 400, 40)]
+    assert len(sent) > 5 and max(size for size, _ in sent) < 6000 and max(n for _, n in sent) == 1
+
+
 def test_leaking_documents_go(llm, make, case):
     docs, items = case
     benchmark = llm.createDataFrame(items, "item_id long, text string")
