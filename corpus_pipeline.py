@@ -39,12 +39,14 @@ def drop_leaks(spark, docs, sf_dir):
 
 
 def encode(spark, docs, sf_dir):
-    """Token ids of every document, with a digest of what they decode to."""
+    """Token ids of every document (packed little-endian unsigned 32-bit integers), with digests
+    of them and of what they decode to."""
     prepare(spark)
     encoded = bpe.encoded_documents(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
     return encoded.select(
         "doc_id",
         "n_tokens",
+        "ids",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -4,12 +4,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.operators.bitmaps import bitmap_of, with_hit
 from ledgerloom.session import write_scratch
 
 # A broadcast set holds at most this many 42-character keys, about 200 MB once hashed.
 BROADCAST_KEYS = 1_000_000
-# Fixed value: the bits of one bitmap of Spark's bitmap functions.
-_BITMAP_BITS = 32_768
 
 
 @dataclass(frozen=True)
@@ -68,39 +67,19 @@ def touching(
     return flagged.filter("from_hit or to_hit")
 
 
-def _filter_bits(keys: KeySet) -> int:
-    """A power of two, about 16 bits a key: 128 KB to 128 MB as a whole."""
-    return 1 << min(max((16 * keys.rows).bit_length(), 20), 30)
-
-
-def _bit_of(column, bits: int):
-    place = F.pmod(F.xxhash64(F.lower(column)), F.lit(bits))
-    return F.call_function("div", place, F.lit(_BITMAP_BITS)), place % F.lit(_BITMAP_BITS)
-
-
 def _likely(rows: DataFrame, keys: KeySet, limit: int, *columns: str) -> DataFrame:
     """Rows with a key in one of the columns, and a few others; all of them if the set is
-    small enough to broadcast. The filter is a bitmap over hashes, broadcast in pieces; its
-    size is bounded, and it has no false negatives."""
+    small enough to broadcast. The bitmap's size is bounded, and it misses no key."""
     if keys.fits_broadcast(limit):
         return rows
-    bits = _filter_bits(keys)
-    piece, bit = _bit_of(F.col("key"), bits)
-    pieces = keys.table.select(piece.alias("_piece"), bit.alias("_bit")).groupBy("_piece")
-    pieces = write_scratch(pieces.agg(F.bitmap_construct_agg("_bit").alias("_bitmap")), "filter")
-    found = F.lit(False)
-    for number, column in enumerate(columns):
-        piece, bit = _bit_of(F.col(column), bits)
-        side = pieces.select(
-            F.col("_piece").alias(f"_piece{number}"), F.col("_bitmap").alias(f"_bitmap{number}")
-        )
-        rows = rows.join(F.broadcast(side), piece == F.col(f"_piece{number}"), "left")
-        byte = F.substring(F.col(f"_bitmap{number}"), (bit / 8).cast("int") + 1, F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        hit = F.call_function("shiftright", value, (bit % 8).cast("int")) % 2 == 1
-        found = found | F.coalesce(hit, F.lit(False))
-    extra = [c for c in rows.columns if c.startswith(("_piece", "_bitmap"))]
-    return rows.filter(found).drop(*extra)
+    bitmap = bitmap_of(keys.table, F.xxhash64("key"), keys.rows)
+    flags = [f"_likely{number}" for number in range(len(columns))]
+    for column, flag in zip(columns, flags):
+        rows = with_hit(rows, F.xxhash64(F.lower(F.col(column))), bitmap, flag)
+    found = F.col(flags[0])
+    for flag in flags[1:]:
+        found = found | F.col(flag)
+    return rows.filter(found).drop(*flags)
 
 
 def outgoing(transfers: DataFrame, keys: KeySet, limit: int = BROADCAST_KEYS) -> DataFrame:

@@ -39,11 +39,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Where that is unset, a folder in the session's warehouse, which Spark's own tables need
-    on shared storage too.
+    Where that is unset, a folder in the warehouse of a local session; a cluster has to name
+    one, since a folder of the driver's own would not do.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
