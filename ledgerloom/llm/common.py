@@ -5,6 +5,7 @@ import types
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerloom.operators.bitmaps import bitmap_of, with_hit
 from ledgerloom.session import use_utc, write_scratch
 
 #: Rows of one Arrow batch; whole texts can be long.
@@ -41,6 +42,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return write_scratch(df, name)
 
 
+def parted(rows: DataFrame, hashed: Column, losers: DataFrame, losing: Column):
+    """`rows` in two: those that are no losers for certain, and those that have to be looked at.
+
+    Losers are known by a hash that rows have as well. Only their part, and a few rows that hit
+    the bitmap by chance, goes to the second frame, so whole texts of all others stay where
+    they are. `rows` is read twice.
+    """
+    name = free_name(rows, "may_lose")
+    bitmap = bitmap_of(losers, losing, losers.count())
+    marked = with_hit(rows, hashed, bitmap, name)
+    return marked.filter(~F.col(name)).drop(name), marked.filter(name).drop(name)
+
+
 def held_out(column: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves remainder 2 modulo 4. A null id is never held out."""
     rest = F.crc32(F.col(column).cast("string").cast("binary")) % 4

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import free_name, keep, utf8
+from ledgerloom.llm.common import free_name, keep, parted, utf8
 
 #: Digests of a bucket, as a mean, and the least number of buckets.
 BUCKET_ROWS = 50_000
@@ -207,17 +207,21 @@ def groups(documents: DataFrame, history_share: float = 0.5) -> DataFrame:
 
 
 def without_copies(documents: DataFrame) -> DataFrame:
-    """Documents with one row per text: the row with the largest id stays."""
-    stays = keep(groups(documents).filter("kept"), "stays").select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")
+    """Documents with one row per text: the row with the largest id stays.
+
+    Rows that lose to no other are told by a bitmap and pass as they are; the texts of the
+    others alone are shuffled.
+    """
+    found = keep(groups(documents), "groups")
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    losers = found.filter(~F.col("kept")).select("doc_id", "digest")
+    sure, rest = parted(
+        documents, F.xxhash64("doc_id", digest), losers, F.xxhash64("doc_id", "digest")
     )
-    same = F.unhex(F.sha2(F.coalesce(documents["text"], F.lit("")), 256)) == stays["_digest"]
-    kept = documents.join(stays, documents["doc_id"].eqNullSafe(stays["_id"]) & same, "left_semi")
-    # Whole rows that repeat an id and a text pass the join together; only then is it worth
-    # another shuffle of the texts to leave one of them.
-    known = documents.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    if not known:
-        return kept
-    name = free_name(kept, "_digest")
-    marked = kept.withColumn(name, F.sha2(utf8("text"), 256))
-    return marked.dropDuplicates(["doc_id", name]).drop(name)
+    stays = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    # Whole rows that repeat an id and a text are losers of their own row: all of them are here.
+    name = free_name(rest, "_digest")
+    marked = rest.withColumn(name, digest)
+    same = marked["doc_id"].eqNullSafe(stays["_id"]) & (marked[name] == stays["_digest"])
+    kept = marked.join(stays, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    return sure.unionByName(kept)

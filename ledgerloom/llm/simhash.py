@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import keep, utf8
+from ledgerloom.llm.common import keep, parted, utf8
 from ledgerloom.llm.components import components
 
 SHINGLE = 3
@@ -167,11 +167,18 @@ def first_of_each(documents: DataFrame) -> DataFrame:
 
     A null id stays only if its component has no other id. Of different texts with the same
     id (or none) the one with the smallest hash stays. Rows that repeat an id and a text are
-    all kept here (exact dedup removes repeated rows).
+    all kept here (exact dedup removes repeated rows). Only texts of documents that have a near
+    copy are shuffled.
     """
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    stays = groups(documents).groupBy("root").agg(F.min(row).alias("first"))
-    stays = stays.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
-    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
-    same = documents["doc_id"].eqNullSafe(stays["_id"]) & (F.xxhash64(text) == stays["_key"])
-    return documents.join(stays, same, "left_semi")
+    found = keep(groups(documents).select("doc_id", "text_key", "root"), "groups")
+    stays = keep(found.groupBy("root").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n")), "stays")
+    first = stays.select("root", "n", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
+    # All rows of components of more than one: what is no loser for certain is alone in its own.
+    losers = found.join(first.filter("n > 1").select("root"), "root", "left_semi")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    sure, rest = parted(
+        documents, F.xxhash64("doc_id", F.xxhash64(text)), losers, F.xxhash64("doc_id", "text_key")
+    )
+    same = rest["doc_id"].eqNullSafe(first["_id"]) & (F.xxhash64(text) == first["_key"])
+    return sure.unionByName(rest.join(first, same, "left_semi"))
