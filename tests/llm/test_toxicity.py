@@ -1,4 +1,10 @@
+import math
+import re
+from collections import Counter, defaultdict
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import toxicity
 from ledgerloom.llm.common import held_out, training_labels
@@ -64,3 +70,62 @@ def test_weights_are_sparse_and_skip_grams_count():
 def _sorted(hashes, w):
     order = np.argsort(hashes)
     return hashes[order], w[order]
+
+
+def plain_features(text):
+    """Distinct words, pairs and skip-grams, as tuples."""
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
+    pairs = {(a, b, 0) for a, b in zip(words, words[1:])}
+    return {(w,) for w in words} | pairs | {(a, b, 1) for a, b in zip(words, words[2:])}
+
+
+def plain_ftrl(examples, settings):
+    """FTRL-proximal per example, with accumulators in dictionaries; the weights by feature."""
+    seen = Counter(f for own, _ in examples for f in own)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        l1 = 0.0 if f == "bias" else settings.l1
+        if abs(z[f]) <= l1:
+            return 0.0
+        rate = (settings.beta + math.sqrt(n[f])) / settings.alpha + settings.l2
+        return -(z[f] - math.copysign(l1, z[f])) / rate
+
+    for _ in range(settings.epochs):
+        for own, y in examples:
+            active = ["bias", *(f for f in own if seen[f] >= settings.min_docs)]
+            weights = {f: weight(f) for f in active}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(weights.values()))))) - y
+            for f in active:
+                sigma = (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / settings.alpha
+                z[f] += g - sigma * weights[f]
+                n[f] += g * g
+    return {f: weight(f) for f in z if weight(f)}
+
+
+@pytest.mark.parametrize("max_rows, shards", [(24_000, 1), (24_000, 3), (150, 2)])
+def test_shards_and_sample_by_brute_force(llm, make, monkeypatch, max_rows, shards):
+    rows, labels = corpus(400)
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join([t, *rng.choice(WORDS, rng.integers(1, 9))])) for i, t in rows]
+    known = llm.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sample = {r["doc_id"]: r["label"] for r in training_labels(known, "toxic", max_rows).collect()}
+    assert len(sample) < 400 and (max_rows > 400) == (len(sample) > 250)
+    monkeypatch.setattr(toxicity, "ROWS_PER_SHARD", max(1, len(sample) / shards))
+    settings = toxicity.Ftrl(l1=0.5, epochs=3)
+    model = toxicity.train(make(rows), known, settings=settings, max_rows=max_rows)
+    ids = llm.createDataFrame([(i,) for i in sample], "doc_id long")
+    dealt = ids.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("s")).collect()
+    texts, weights = dict(rows), Counter()
+    assert len({r["s"] for r in dealt}) == shards
+    for shard in range(shards):
+        own = sorted(r["doc_id"] for r in dealt if r["s"] == shard)
+        learned = plain_ftrl([(plain_features(texts[i]), sample[i]) for i in own], settings)
+        for f, w in learned.items():
+            weights[f] += w / shards
+    assert len(model[0]) == len(weights) > 20
+    expected = []
+    for _, text in rows:
+        total = weights["bias"] + sum(weights[f] for f in plain_features(text) if f in weights)
+        expected.append(1 / (1 + math.exp(-total)))
+    assert np.allclose(toxicity.score_texts([t.encode() for _, t in rows], model), expected, atol=1e-9)
