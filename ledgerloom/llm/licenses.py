@@ -1,22 +1,19 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line; longer lines are cut into windows of 64 words every 32 words, so that any
-run of up to 32 words lies whole in one. A block meets a template if it has at least the
-threshold share of the template's distinct words. Words are ordered by their frequency over
-all documents, rarest first (words outside the templates cannot match and are left out). A
-pair that reaches the overlap must share a word within the first |T| - overlap + 1 words of
-the template and the first |B| - overlap + 1 words of the block (prefix filter), a block must
-have enough words (length filter), and what remains after the shared position must suffice
-(positional filter). Pairs that pass are counted exactly, so the join finds every pair.
-
-Notices are often wrapped, so besides blocks there are runs, which line breaks do not end: a
-run starts at any word of a template and has the template's number of words divided by the
-threshold. It meets the template by the same share, after the same prefix and length filters.
-Runs follow each template's own length, so templates that no block could hold are met as well.
-Paragraphs of whole notices are met by runs only.
-
-The templates are constants, so nothing but their word counts reaches the driver, and texts
-are scanned where they lie, without a shuffle.
+A block is a run of consecutive words, whatever line breaks lie in it, as long as the template
+it is held against: the template's number of words divided by the threshold (fewer at the end of
+a text). It meets the template if it has at least the threshold share of the template's distinct
+words. Blocks begin at every word of the template in the text: one that began before its first
+such word would have no more of them.
+
+Words are ordered by their frequency over all documents, rarest first. Of a template's distinct
+words a block must have enough in all (length filter), and its rarest one must stand within the
+first |T| - overlap + 1 of the order (prefix filter); what remains from there on must suffice for
+the overlap (positional filter). Blocks that pass are counted exactly, so the join finds every
+pair.
+
+Templates are a table of (label, text), small enough to go along with every task; texts are
+scanned where they lie, without a shuffle.
 
 Besides, places of base phrases are found: runs of consecutive words.
 
@@ -35,7 +32,8 @@ from ledgerloom.llm.common import utf8
 from ledgerloom.llm.words import blocks, find_words, same_words
 
 THRESHOLD = 0.8
-WINDOW = 64
+#: Characters of all templates together, which every task holds.
+MAX_TEMPLATE_CHARS = 8 << 20
 
 # Phrases that mark a license, with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -70,17 +68,13 @@ NOTICES = {
 
 @dataclass(frozen=True)
 class Templates:
-    """Templates with their words as ranks in the global order, rarest first.
-
-    The first `n_blocks` ones meet blocks and runs, the others runs only.
-    """
+    """Templates with their words as ranks in the global order, rarest first."""
 
     words: list
     labels: list
     ranks: list
     needed: list
-    run_words: list
-    n_blocks: int
+    block_words: list
 
     @property
     def vocabulary(self):
@@ -88,14 +82,6 @@ class Templates:
         words = find_words([b" ".join(self.words)], lower=False)
         return words, np.argsort(words.hash, kind="stable")
 
-    def prefixes(self):
-        """{rank: [(template, position)]} of the words in the prefixes of block templates."""
-        out = {}
-        for t, ranks in enumerate(self.ranks[: self.n_blocks]):
-            for position, rank in enumerate(ranks[: len(ranks) - self.needed[t] + 1]):
-                out.setdefault(rank, []).append((t, position))
-        return out
-
 
 def _template_words(templates):
     """(distinct words of every template, number of all its words)."""
@@ -129,36 +115,38 @@ def word_counts(documents: DataFrame, words) -> dict:
     return {known[r["word"]]: r["n"] for r in rows}
 
 
-def prepare_templates(
-    documents: DataFrame, templates=TEMPLATES, threshold=THRESHOLD, notices=None
-) -> Templates:
-    """Templates, and notices for runs only, in the order of the corpus' own word frequencies."""
-    pairs = [*templates.items(), *(notices or {}).items()]
+def template_table(spark, templates=None) -> DataFrame:
+    """(label, text) of the templates known here, or of a dictionary of texts and labels."""
+    pairs = TEMPLATES | NOTICES if templates is None else templates
+    return spark.createDataFrame([(label, text) for text, label in pairs.items()], "label string, text string")
+
+
+def prepare_templates(documents: DataFrame, templates: DataFrame, threshold=THRESHOLD) -> Templates:
+    """A table of templates (label, text) in the order of the corpus' own word frequencies.
+
+    Templates without a word are left out; equal ones count once for each label.
+    """
+    known = templates.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("label", "text"))).distinct()
+    chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars > MAX_TEMPLATE_CHARS:
+        raise ValueError(f"{chars} characters of templates, at most {MAX_TEMPLATE_CHARS} allowed")
+    pairs = sorted((r["text"], r["label"]) for r in known.collect())
     sets, sizes = _template_words([text for text, _ in pairs])
+    chosen = [k for k, own in enumerate(sets) if own]
+    sets, sizes = [sets[k] for k in chosen], [sizes[k] for k in chosen]
     every = sorted(set().union(*sets))
-    counts = word_counts(documents, every)
+    counts = word_counts(documents, every) if every else {}
     ordered = sorted(every, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(ordered)}
     return Templates(
         ordered,
-        [label for _, label in pairs],
+        [pairs[k][1] for k in chosen],
         [sorted(rank[w] for w in s) for s in sets],
         [int(np.ceil(threshold * len(s) - 1e-9)) for s in sets],
         [int(np.ceil(n / threshold - 1e-9)) for n in sizes],
-        len(templates),
     )
 
 
-def _block_starts(lines, window):
-    """(line, first word, end word) of the blocks of lines given as word counts."""
-    sizes = np.asarray(lines)
-    steps = np.maximum(1, -(-(sizes - window // 2) // (window // 2)))
-    line = np.repeat(np.arange(len(sizes)), steps)
-    part = np.arange(len(line)) - np.repeat(np.cumsum(steps) - steps, steps)
-    first = part * (window // 2)
-    return line, first, np.minimum(first + window, sizes[line])
-
-
 def _ranks(words, templates):
     """Rank of every word, -1 outside the templates."""
     known, order = templates.vocabulary
@@ -173,61 +161,38 @@ def _ranks(words, templates):
     return out
 
 
-def join_blocks(words, line_of_word, templates: Templates, window=WINDOW):
-    """Every (template, first word, end word, shared words) that reaches its overlap."""
-    out = []
-    if not len(words.start):
-        return out
-    rank = _ranks(words, templates)
-    prefixes = templates.prefixes()
-    seeds = np.flatnonzero(np.isin(rank, list(prefixes)))
-    if not len(seeds):
-        return out
-    # Blocks without a word of any template prefix are never looked at.
-    for line in np.unique(line_of_word[seeds]):
-        begin, end = np.searchsorted(line_of_word, [line, line + 1])
-        for _, first, last in zip(*_block_starts([end - begin], window)):
-            inside = rank[begin + first : begin + last]
-            block = np.unique(inside[inside >= 0])
-            if len(block):
-                out += [
-                    (t, begin + first, begin + last, shared)
-                    for t, shared in _meet(block.tolist(), prefixes, templates)
-                ]
+def _rarest(positions, first, last):
+    """The least of positions[first:last], for every pair of bounds (none empty)."""
+    span = last - first
+    out, levels, k = np.empty(len(first), dtype=np.int64), positions, 0
+    while len(out) and (1 << k) <= int(span.max()):
+        here = np.flatnonzero((span >> k) == 1)
+        out[here] = np.minimum(levels[first[here]], levels[last[here] - (1 << k)])
+        if len(levels) <= 1 << k:
+            break
+        levels, k = np.minimum(levels[: -(1 << k)], levels[1 << k :]), k + 1
     return out
 
 
-def _meet(block, prefixes, templates):
-    """(template, shared words) of a block given as sorted ranks."""
-    tried, size, members = set(), len(block), set(block)
-    for place, rank in enumerate(block):
-        for t, position in prefixes.get(rank, ()):
-            needed, own = templates.needed[t], templates.ranks[t]
-            if t in tried or size < needed or place > size - needed:
-                continue
-            if 1 + min(len(own) - position - 1, size - place - 1) < needed:
-                continue
-            tried.add(t)
-            shared = sum(r in members for r in own)
-            if shared >= needed:
-                yield t, shared
-
-
-def join_runs(words, doc, templates: Templates):
-    """Every (template, first word, end word, shared words) of a run that reaches its overlap."""
+def join_blocks(words, doc, templates: Templates):
+    """Every (template, first word, end word, shared words) of a block that reaches its overlap."""
     out = []
-    if not len(words.start):
+    if not len(words.start) or not templates.words:
         return out
     rank = _ranks(words, templates)
     known = np.flatnonzero(rank >= 0)
     for t, own in enumerate(templates.ranks):
-        needed = templates.needed[t]
-        first = known[np.isin(rank[known], own)]
-        end = np.minimum(first + templates.run_words[t], words.bounds[doc[first] + 1])
-        at, upto, ranks = np.arange(len(first)), np.searchsorted(first, end), rank[first]
-        seeds = np.concatenate([[0], np.cumsum(np.isin(ranks, own[: len(own) - needed + 1]))])
-        for i in np.flatnonzero((upto - at >= needed) & (seeds[upto] > seeds[at])).tolist():
-            shared = len(set(ranks[i : upto[i]].tolist()))
+        needed, own = templates.needed[t], np.array(own)
+        position = np.searchsorted(own, rank[known])
+        mine = own[np.minimum(position, len(own) - 1)] == rank[known]
+        first, position = known[mine], position[mine]
+        end = np.minimum(first + templates.block_words[t], words.bounds[doc[first] + 1])
+        at, upto = np.arange(len(first)), np.searchsorted(first, end)
+        rarest = _rarest(position, at, upto)
+        reach = np.minimum(len(own) - rarest, upto - at)
+        # The prefix says rarest <= |T| - overlap; length and position bound what a block can share.
+        for i in np.flatnonzero((rarest <= len(own) - needed) & (reach >= needed)).tolist():
+            shared = len(set(position[i : upto[i]].tolist()))
             if shared >= needed:
                 out.append((t, first[i], end[i], shared))
     return out
@@ -254,9 +219,8 @@ def phrase_places(words, phrases=PHRASES):
 
 
 def scan_texts(texts, templates: Templates, phrases=PHRASES):
-    """(words, base places, matches of blocks, matches of runs) of every UTF-8 text."""
-    counts, base = [], [[] for _ in texts]
-    found, runs = [[] for _ in texts], [[] for _ in texts]
+    """(words, base places, matches) of every UTF-8 text."""
+    counts, base, found = [], [[] for _ in texts], [[] for _ in texts]
     for first, last in blocks(texts):
         words = find_words(texts[first:last])
         doc = words.doc()
@@ -264,38 +228,35 @@ def scan_texts(texts, templates: Templates, phrases=PHRASES):
         for label, at in phrase_places(words, phrases):
             d = int(doc[at])
             base[first + d].append({"label": label, "word": at - int(words.bounds[d])})
-        breaks = np.flatnonzero((words.data == 10) | (words.data == 13))
-        lines = np.searchsorted(breaks, words.start)
-        blocks_met, runs_met = join_blocks(words, lines, templates), join_runs(words, doc, templates)
-        for out, met in ((found, blocks_met), (runs, runs_met)):
-            for t, begin, end, shared in met:
-                d = int(doc[begin])
-                out[first + d].append(
-                    {
-                        "label": templates.labels[t],
-                        "first_word": int(begin - words.bounds[d]),
-                        "n_words": int(end - begin),
-                        "containment": shared / len(templates.ranks[t]),
-                    }
-                )
-    return counts, base, found, runs
-
-
-_MATCHES = "array<struct<label:string,first_word:long,n_words:long,containment:double>>"
+        for t, begin, end, shared in join_blocks(words, doc, templates):
+            d = int(doc[begin])
+            found[first + d].append(
+                {
+                    "label": templates.labels[t],
+                    "first_word": int(begin - words.bounds[d]),
+                    "n_words": int(end - begin),
+                    "containment": shared / len(templates.ranks[t]),
+                }
+            )
+    return counts, base, found
+
+
 _FIELDS = (
     "n_words long, base array<struct<label:string,word:long>>, "
-    f"found {_MATCHES}, runs {_MATCHES}"
+    "found array<struct<label:string,first_word:long,n_words:long,containment:double>>"
 )
 
 
-def with_licenses(documents: DataFrame, templates: Templates) -> DataFrame:
-    """Add struct `licenses`: n_words, base (phrase places), found (blocks that meet a
-    template), runs (runs that meet a template, across line breaks)."""
+def with_licenses(documents: DataFrame, templates: Templates, column: str = "licenses") -> DataFrame:
+    """Add a struct: n_words, base (phrase places), found (blocks that meet a template).
+
+    A column of the name is replaced.
+    """
     sent = vars(templates)
 
     @F.pandas_udf(_FIELDS)
     def scanned(texts: pd.Series) -> pd.DataFrame:
-        counts, base, found, runs = scan_texts(list(texts), Templates(**sent))
-        return pd.DataFrame({"n_words": counts, "base": base, "found": found, "runs": runs})
+        counts, base, found = scan_texts(list(texts), Templates(**sent))
+        return pd.DataFrame({"n_words": counts, "base": base, "found": found})
 
-    return documents.withColumn("licenses", scanned(utf8("text")))
+    return documents.withColumn(column, scanned(utf8("text")))

@@ -131,22 +131,27 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
         SELECT regexp_extract_all(p, {_WORDS}) AS p, label
         FROM ({_rows(licenses.PHRASES)}) AS v(p, label)
     ), templates AS (
-        SELECT list_distinct(regexp_extract_all(translate(t, {_LOWER}), {_WORDS})) AS t, label
-        FROM ({_rows(licenses.TEMPLATES)}) AS v(t, label)
-    ), low AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
-    cut AS (SELECT doc_id, regexp_extract_all(t, {_WORDS}) AS w FROM low),
-    places AS (
+        SELECT row_number() OVER () AS id, regexp_extract_all(translate(t, {_LOWER}), {_WORDS}) AS t, label
+        FROM ({_rows(licenses.TEMPLATES | licenses.NOTICES)}) AS v(t, label)
+    ), cut AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORDS}) AS w
+        FROM documents
+    ), places AS (
         SELECT doc_id, label, unnest(list_filter(
             range(1, len(w) + 1), lambda i: w[i : i + len(p) - 1] = p)) - 1 AS word
         FROM cut, phrases
-    ), lines AS (
-        SELECT doc_id, regexp_extract_all(unnest(string_split_regex(t, '[\r\n]')), {_WORDS}) AS w
-        FROM low
-    ), windows AS (
-        SELECT doc_id, w, unnest(range(0, greatest(len(w) - 32, 1), 32)) AS s FROM lines
+    ), own AS (
+        SELECT id, label, len(list_distinct(t)) AS n, (len(t) * 5 + 3) // 4 AS span,
+            unnest(list_distinct(t)) AS word
+        FROM templates
+    ), hits AS (
+        SELECT doc_id, place, own.* FROM (
+            SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM cut
+        ) JOIN own USING (word)
     ), shares AS (
-        SELECT doc_id, label, len(list_intersect(t, w[s + 1 : s + 64])) / len(t) AS share
-        FROM windows, templates
+        SELECT doc_id, label, count(DISTINCT word) OVER (
+            PARTITION BY doc_id, id ORDER BY place RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) / n AS share
+        FROM hits
     ), found AS (
         SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= 0.8 GROUP BY 1, 2
     ), based AS (
@@ -167,10 +172,9 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 )
 def op6_licenses(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    templates = licenses.prepare_templates(documents, notices=licenses.NOTICES)
+    templates = licenses.prepare_templates(documents, licenses.template_table(spark))
     marked = licenses.with_licenses(documents, templates)
-    # The check SQL has blocks of single lines and TEMPLATES only; a wrapped notice is met by a run.
-    base, found = F.col("licenses.base"), F.concat("licenses.found", "licenses.runs")
+    base, found = F.col("licenses.base"), F.col("licenses.found")
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     best = F.coalesce(F.array_max(found["containment"]), F.lit(0.0))
     return marked.select(
