@@ -135,12 +135,15 @@ class Encoder:
 
     block_chars = None
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, extra=()):
+        """`extra` are further special tokens, numbered on from the vocabulary."""
         described = json.loads(content)
         letters = byte_letters()
         plain = lambda token: bytes(letters[c] for c in token)
         self.ids = {plain(t): i for t, i in described["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        after = 1 + max([*self.ids.values(), *self.special.values()])
+        self.special.update((t, after + k) for k, t in enumerate(extra))
         self.bytes_of = {i: t for t, i in self.ids.items()}
         self.bytes_of.update({i: t.encode() for t, i in self.special.items()})
         self.merged, self.parts = {}, {}

@@ -2,16 +2,18 @@ r"""Chat formatting with offset-aligned loss masks.
 
 A conversation is rendered whole: each turn as `<|turn|>role<|says|>text</turn>`. Control
 strings inside roles and texts are escaped with backslashes, so the output can be read back
-without loss. The rendered text is encoded once with offsets; the sorted spans of assistant
-texts are met with the sorted spans of tokens by binary search, which gives the mask. The
-control strings are tokens of their own, so no token crosses the border of a text.
+without loss. The rendered text is encoded once, and offsets follow from the tokens' bytes; the
+sorted spans of assistant texts are met with the sorted spans of tokens by binary search, which
+gives the mask. The control strings are tokens of their own, so no token crosses the border of
+a text.
 
 Turns of a conversation are brought together by a shuffle on its id and sorted by turn; rows
-stream through, and one conversation at a time is held.
+stream through, and conversations are encoded some at a time. A single conversation is one
+task's work, however long.
 
-Defined cases: null texts and roles count as empty; rows without conversation id form one
-conversation under null; ties of turn go by role and text; repeated rows are turns of their
-own; an empty table gives no conversations; extra columns play no part.
+Defined cases: null texts and roles count as empty; a row without conversation id is a
+conversation of its own, so such rows are spread; ties of turn go by role and text; repeated
+rows are turns of their own; an empty table gives no conversations; extra columns play no part.
 """
 
 import hashlib
@@ -21,14 +23,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.bpe import send_vocabulary
+from ledgerloom.llm.bpe import BLOCK_CHARS, Encoder, send_vocabulary
+from ledgerloom.llm.common import kept_in_process
 
 # The control strings of the template.
 TURN, SAYS, END = "<|turn|>", "<|says|>", "</turn>"
 CONTROLS = (TURN, SAYS, END, "<|endoftext|>")
 _CONTROL = re.compile("|".join(map(re.escape, CONTROLS)))
 _ESCAPE = re.compile(r"\\(.)", re.DOTALL)
-_LOADED = {}
 
 
 def escape(text):
@@ -74,27 +76,31 @@ def mask_tokens(offsets, spans):
     return np.stack([first, np.maximum(first, last)], axis=1)
 
 
-def _tokenizer(content):
-    """The file's tokenizer with the control strings as tokens and exact offsets."""
-    from tokenizers import AddedToken, Tokenizer, processors
+def _encoder(content):
+    """The vocabulary with the control strings as tokens, once in a process."""
+    key = ("chat", hashlib.sha256(content).digest())
+    return kept_in_process(key, lambda: Encoder(content, CONTROLS[:3]))
 
-    key = hash(content)
-    if key not in _LOADED:
-        loaded = Tokenizer.from_str(content.decode())
-        loaded.add_special_tokens([AddedToken(c, normalized=False, special=True) for c in CONTROLS[:3]])
-        loaded.post_processor = processors.ByteLevel(trim_offsets=False)
-        _LOADED.clear()
-        _LOADED[key] = loaded
-    return _LOADED[key]
 
+def token_offsets(text, ids, encoder):
+    """(start, end) characters of every token; one within a character has all of it."""
+    if not len(ids):
+        return np.empty((0, 2), dtype=np.int64)
+    ends = np.cumsum(encoder.token_sizes[ids])
+    starts = ends - encoder.token_sizes[ids]
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    character = np.cumsum((data & 0xC0) != 0x80) - 1
+    return np.stack([character[starts], character[ends - 1] + 1], axis=1)
 
-def format_conversation(turns, tokenizer):
-    """One conversation rendered, encoded and masked."""
-    formatted, spans = render(turns)
-    encoded = tokenizer.encode(formatted, add_special_tokens=False)
-    offsets = np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2)
-    ranges = mask_tokens(offsets, spans)
-    return formatted, encoded.ids, offsets, ranges
+
+def format_all(conversations, encoder):
+    """(formatted text, ids, offsets, token ranges to learn from) of lists of (role, text)."""
+    rendered = [render(turns) for turns in conversations]
+    encoded = encoder.encode([formatted for formatted, _ in rendered])
+    for (formatted, spans), packed in zip(rendered, encoded):
+        ids = np.frombuffer(packed, dtype="<u4")
+        offsets = token_offsets(formatted, ids, encoder)
+        yield formatted, ids, offsets, mask_tokens(offsets, spans)
 
 
 def masked_texts(formatted, offsets, ranges):
@@ -104,69 +110,68 @@ def masked_texts(formatted, offsets, ranges):
     ]
 
 
-_FORMATTED = "conv_id long, formatted string, ids array<int>, offsets binary, loss_ranges array<array<int>>"
+def read_back(formatted, offsets, ranges):
+    """(turns, digest of them, length and digest of the text under the mask, length) of an output."""
+    turns = parse(formatted)
+    said = "".join(f"{role}\n{text}\n" for role, text in turns)
+    loss = "".join(masked_texts(formatted, offsets, ranges))
+    return len(turns), _sha256(said), len(loss), _sha256(loss), len(formatted)
+
+
+_DIGESTS = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+_FORMATTED = (
+    "conv_id long, formatted string, ids binary, offsets binary, loss_ranges binary, "
+    f"read_back struct<{_DIGESTS.replace(' ', ':').replace(',:', ',')}>"
+)
+_COLUMNS = ["conv_id", "formatted", "ids", "offsets", "loss_ranges", "read_back"]
+_NAMES = [c.split()[0] for c in _DIGESTS.split(", ")]
 
 
 def format_conversations(conversations: DataFrame, path: str) -> DataFrame:
-    """(conv_id, formatted, ids, offsets, loss_ranges) of every conversation.
+    """(conv_id, formatted, ids, offsets, loss_ranges, read_back) of every conversation.
 
-    `offsets` are packed pairs of 64-bit positions, one per token; `loss_ranges` are ranges
-    of tokens to learn from.
+    `ids` are packed little-endian unsigned 32-bit integers, `offsets` pairs of 64-bit positions,
+    one per token, `loss_ranges` pairs of 64-bit token numbers: from, up to which to learn.
+    `read_back` has digests of what the other columns give when they are read again.
     """
     vocabulary = send_vocabulary(conversations.sparkSession, path)
+    alone = F.col("conv_id").isNull()
     rows = conversations.select(
         "conv_id",
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
+        F.when(alone, F.xxhash64("turn", "role", "text")).otherwise(0).alias("apart"),
     )
 
-    def finished(conv_id, turns, tokenizer):
-        formatted, ids, offsets, ranges = format_conversation(turns, tokenizer)
-        return (conv_id, formatted, ids, offsets.tobytes(), ranges.tolist())
+    def outputs(ids, conversations):
+        encoder, out = _encoder(vocabulary.value), []
+        for conv_id, found in zip(ids, format_all(conversations, encoder)):
+            formatted, tokens, offsets, ranges = found
+            digests = dict(zip(_NAMES, read_back(formatted, offsets, ranges)))
+            out.append((conv_id, formatted, tokens.tobytes(), offsets.tobytes(), ranges.tobytes(), digests))
+        frame = pd.DataFrame(out, columns=_COLUMNS)
+        return frame.astype({"conv_id": "Int64"})
 
     def formats(batches):
-        tokenizer, current, turns = _tokenizer(vocabulary.value), None, []
+        ids, held, size = [], [], 0
         for rows in batches:
-            done = []
-            ids = [None if pd.isna(x) else int(x) for x in rows["conv_id"]]
-            for conv_id, role, text in zip(ids, rows["role"], rows["text"]):
-                if turns and conv_id != current:
-                    done.append(finished(current, turns, tokenizer))
-                    turns = []
-                current = conv_id
-                turns.append((role, text))
-            yield pd.DataFrame(done, columns=_COLUMNS)
-        if turns:
-            yield pd.DataFrame([finished(current, turns, tokenizer)], columns=_COLUMNS)
-
-    sorted_rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return sorted_rows.mapInPandas(formats, _FORMATTED)
-
-
-_COLUMNS = ["conv_id", "formatted", "ids", "offsets", "loss_ranges"]
-_DIGESTS = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-
-
-def with_digests(formatted: DataFrame) -> DataFrame:
-    """Read formatted conversations back and add digests of turns and of the masked text."""
-
-    @F.pandas_udf(_DIGESTS)
-    def digests(text: pd.Series, offsets: pd.Series, ranges: pd.Series) -> pd.DataFrame:
-        out = []
-        for formatted, packed, tokens in zip(text, offsets, ranges):
-            turns = parse(formatted)
-            said = "".join(f"{role}\n{text}\n" for role, text in turns)
-            spans = np.frombuffer(packed, dtype=np.int64).reshape(-1, 2)
-            pairs = np.array([list(r) for r in tokens], dtype=np.int64).reshape(-1, 2)
-            loss = "".join(masked_texts(formatted, spans, pairs))
-            out.append(
-                (len(turns), _sha256(said), len(loss), _sha256(loss), len(formatted))
-            )
-        names = [c.split()[0] for c in _DIGESTS.split(", ")]
-        return pd.DataFrame(out, columns=names)
-
-    return formatted.withColumn("read_back", digests("formatted", "offsets", "loss_ranges"))
+            own = [None if pd.isna(x) else int(x) for x in rows["conv_id"]]
+            for conv_id, role, text in zip(own, rows["role"], rows["text"]):
+                if not ids or conv_id is None or conv_id != ids[-1]:
+                    if size >= BLOCK_CHARS:
+                        yield outputs(ids, held)
+                        ids, held, size = [], [], 0
+                    ids.append(conv_id)
+                    held.append([])
+                held[-1].append((role, text))
+                size += len(text)
+        if ids:
+            yield outputs(ids, held)
+
+    dealt = rows.repartition("conv_id", "apart")
+    sorted_rows = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
+    return sorted_rows.select("conv_id", "role", "text").mapInPandas(formats, _FORMATTED)
 
 
 def _sha256(text):

@@ -230,13 +230,15 @@ def _escaped_sql(text):
         FROM conversations
         UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
         UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), apart AS (
+        SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM turns
     ), said AS (
         SELECT conv_id, count(*) AS n_turns,
             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS whole,
             coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
             CAST(sum(length({_escaped_sql("role")}) + length({_escaped_sql("text")})
                 + {len(chat.TURN + chat.SAYS + chat.END)}) AS BIGINT) AS formatted_chars
-        FROM turns GROUP BY conv_id
+        FROM apart GROUP BY conv_id, alone
     )
     SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
         sha256(loss) AS loss_sha256, formatted_chars
@@ -254,7 +256,7 @@ def op8_chat(spark, sf_dir):
     formatted = chat.format_conversations(
         conversations.unionByName(extra), public_tokenizers.path(VOCABULARY)
     )
-    return chat.with_digests(formatted).select("conv_id", "read_back.*")
+    return formatted.select("conv_id", "read_back.*")
 
 
 @query("op9_sharding")
