@@ -55,7 +55,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def with_fingerprint(documents: DataFrame, column: str = "fp") -> DataFrame:
-    """Add the fingerprint of `text` as a signed long; other columns stay as they are."""
+    """Add the fingerprint of `text` as a signed long; a column of the name is replaced."""
 
     @F.pandas_udf("long")
     def of_texts(texts: pd.Series) -> pd.Series:

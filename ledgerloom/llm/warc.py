@@ -170,7 +170,8 @@ def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     they are few; beyond that the join shuffles, and adaptive execution splits hot digests.
     """
     rows = pages.select("page_id", "url", utf8("html").alias("payload"))
-    rows = rows.withColumn("_digest", F.unhex(F.sha1("payload")))
+    # Not the SHA-1 of the records: files are known that share it.
+    rows = rows.withColumn("_digest", F.unhex(F.sha2("payload", 256)))
     large = rows.filter(F.octet_length("payload") >= least_bytes)
     firsts = large.groupBy("_digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     firsts = keep(firsts.filter("_n > 1").select("_digest", "_first"), "repeated-payloads")
@@ -254,6 +255,17 @@ def read_archives(archives: DataFrame, root: str, payloads: bool = False) -> Dat
     return spread.mapInPandas(read, schema)
 
 
+def unresolved_revisits(records: DataFrame) -> DataFrame:
+    """(refers_to, payload_digest, payload_bytes) that revisits name and no response has.
+
+    Revisits of one response collapse on the map side before they are joined.
+    """
+    key = ["refers_to", "payload_digest", "payload_bytes"]
+    named = records.filter("record_type = 'revisit'").select(*key).distinct()
+    there = records.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), *key[1:])
+    return named.join(there, key, "left_anti")
+
+
 def _records(found, names):
     out = pd.DataFrame(found, columns=names)
     return out.astype({"page_id": "Int64", "refers_to": "Int64"})

@@ -100,3 +100,8 @@ def test_first_of_each_leaves_one_of_repeated_and_null_ids(make):
     kept = [(r["doc_id"], r["text"]) for r in simhash.first_of_each(make(rows)).collect()]
     assert sorted(t[0] for _, t in kept) == list("abcde") and set(kept) <= set(rows)
     assert (7, near[2]) in kept
+
+
+def test_a_column_of_the_fingerprints_name_is_replaced(make):
+    row = simhash.with_fingerprint(make([(1, "a b c d")])).first()
+    assert row["fp"] & (1 << 64) - 1 == simhash.fingerprint(b"a b c d") and row["label"] == "x"
