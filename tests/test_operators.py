@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import cleaning, labeling, nodes, quality, ranking, selecting
 from ledgerloom.operators.edges import aggregate_edges
-from ledgerloom.operators.keysets import _likely, key_set, touching, without_members
+from ledgerloom.operators.keysets import _likely, flag_members, key_set, touching, without_members
 
 TX = "tx_hash string, block_timestamp timestamp, from_address string, to_address string, value_wei string"
 
@@ -417,3 +417,28 @@ def test_verdicts(spark, count, strict, expected):
             quality.enforce(report)
     else:
         quality.enforce(report)
+
+
+def test_runtime_filters_of_spark_do_not_serve_both_ends(spark, tmp_path):
+    names = [(f"0x{k:040x}", f"0x{k + 1:040x}") for k in range(2000)]
+    spark.createDataFrame(names, "from_address string, to_address string").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    keys = key_set(rows.limit(50).select(F.col("from_address").alias("address")))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        plain = rows
+        for column in ("from_address", "to_address"):
+            plain = flag_members(plain, column, keys, f"hit_{column}", limit=0)
+        plain = plain.filter("hit_from_address or hit_to_address")
+        plan = plain._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" not in plan and "bloom" not in plan.lower()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert touching(rows, keys, limit=0).count() == plain.count() > 0

@@ -137,6 +137,28 @@ def label_bounds(spark, sf_dir):
     return selecting.bound_labels(labeled_addresses(spark, sf_dir).select("address"), minimum=1)
 
 
+@query(
+    "F7_label_bound_errors",
+    check_sql(
+        "SELECT 'at least' AS bound, count(*) || ' labeled addresses found, at least ' || (count(*) + 1) "
+        "|| ' needed' AS error FROM labeled UNION ALL SELECT 'at most', count(*) || ' labeled addresses "
+        "found, at most ' || (count(*) - 1) || ' allowed' FROM labeled UNION ALL "
+        "SELECT 'both', NULL",
+        "labeled",
+    ),
+)
+def label_bound_errors(spark, sf_dir):
+    labels = labeled_addresses(spark, sf_dir).select("address")
+    n, rows = labels.count(), []
+    for bound, low, high in (("at least", n + 1, None), ("at most", 1, n - 1), ("both", n, n)):
+        try:
+            selecting.bound_labels(labels, low, high)
+            rows.append((bound, None))
+        except ValueError as error:
+            rows.append((bound, str(error)))
+    return spark.createDataFrame(rows, "bound string, error string")
+
+
 _DIRECTED_SQL = """
 SELECT tx_hash, block_number, from_address AS address, 'from' AS direction FROM tx
 UNION ALL SELECT tx_hash, block_number, to_address, 'to' FROM tx"""
