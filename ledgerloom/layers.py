@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _RECORDS, _LAYERS = "_versions", "layers"
 
@@ -123,8 +123,13 @@ def _batch_number(name):
 
 
 def write_layer(rows: DataFrame, folder: str, name: str | None = None, partition_by=()) -> str:
-    """Add a layer; one of the same name is replaced. Returns its name."""
+    """Add a layer; one of the same name is replaced. Returns its name.
+
+    Rows of a partitioned layer are brought together by partition, a large one in several files.
+    """
     name = name or unique_name("append")
+    if partition_by:
+        rows = rows.hint("rebalance", *map(F.col, partition_by))
     writer = rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by)
     writer.parquet(f"{folder}/{_LAYERS}/layer={name}")
     return name
