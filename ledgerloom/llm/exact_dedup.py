@@ -10,7 +10,7 @@ repeats of the slot's group, the others are not in the history and group on thei
 Copies collapse to one row per digest on the map side before anything is shuffled, so a text
 that makes up a third of all rows costs one row per task. Only digests and ids are moved.
 
-Defined cases: null texts count as empty; an empty text is a text like any other; a null
+Defined cases: ids are longs; null texts count as empty; an empty text is a text like any other; a null
 id loses against any id; of rows that repeat the same id and text one row stays (`kept`
 is true once per group); extra columns play no part; an empty table gives no rows.
 """

@@ -96,7 +96,8 @@ def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = T
     """Links (a, b) between distinct fingerprints (column fp) at `radius` bits or fewer.
 
     The links are a spanning forest of each pair of tiles: together they connect exactly
-    what all links connect.
+    what all links connect. A tile travels as one row; pairs of tiles are listed by number
+    first, so that they are dealt out evenly.
     """
     high = F.bit_count(F.shiftrightunsigned("fp", 32))
     low = F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
@@ -106,38 +107,38 @@ def tile_links(fingerprints: DataFrame, radius: int = RADIUS, tile_rows: int = T
     cuts = keep(cuts, "cells")
     sub = F.pmod(F.xxhash64("fp"), F.col("cuts"))
     tiled = cells.join(F.broadcast(cuts), ["p", "q"]).withColumn("sub", sub)
+    tiles = tiled.groupBy(_tile_id("p", "q", "sub").alias("tile")).agg(F.collect_list("fp").alias("fps"))
+    tiles = keep(tiles, "tiles")
     steps = [
         F.struct(F.lit(dp).alias("p"), F.lit(dq).alias("q"))
         for dp in range(-radius, radius + 1)
         for dq in range(-radius, radius + 1)
         if abs(dp) + abs(dq) <= radius
     ]
-    # Every row goes to each pair of tiles its own tile belongs to, on one side of it.
-    meets = tiled.select("fp", "p", "q", "sub", F.explode(F.array(*steps)).alias("by")).select(
-        "fp", "p", "q", "sub", (F.col("p") + F.col("by.p")).alias("p2"), (F.col("q") + F.col("by.q")).alias("q2")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = cuts.select("p", "q", "cuts", F.explode(F.array(*steps)).alias("by")).select(
+        "p", "q", "cuts", (F.col("p") + F.col("by.p")).alias("p2"), (F.col("q") + F.col("by.q")).alias("q2")
     )
     others = cuts.select(F.col("p").alias("p2"), F.col("q").alias("q2"), F.col("cuts").alias("cuts2"))
-    meets = meets.join(F.broadcast(others), ["p2", "q2"]).withColumn(
-        "sub2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts2") - 1))
+    pairs = own.join(F.broadcast(others), ["p2", "q2"]).withColumn("sub", every("cuts"))
+    pairs = pairs.withColumn("sub2", every("cuts2")).select(
+        _tile_id("p", "q", "sub").alias("one"), _tile_id("p2", "q2", "sub2").alias("two")
     )
-    own, other = _tile_id("p", "q", "sub"), _tile_id("p2", "q2", "sub2")
-    sides = meets.select(
-        "fp",
-        F.least(own, other).alias("one"),
-        F.greatest(own, other).alias("two"),
-        (own <= other).alias("left"),
-    )
-
-    def compare(rows):
-        fps = rows["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-        if rows["one"].iloc[0] == rows["two"].iloc[0]:
-            found = _forest(fps, None, radius)
-        else:
-            left = rows["left"].to_numpy(dtype=bool)
-            found = _forest(fps[left], fps[~left], radius)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    return sides.groupBy("one", "two").applyInPandas(compare, "a long, b long")
+    left = tiles.select(F.col("tile").alias("one"), F.col("fps").alias("left"))
+    right = tiles.select(F.col("tile").alias("two"), F.col("fps").alias("right"))
+    # A pair comes from both of its tiles; the join drops tiles that the hash has left empty.
+    met = pairs.filter("one <= two").join(left, "one").join(right, "two")
+
+    def compare(batches):
+        for rows in batches:
+            for one, two, left, right in zip(rows["one"], rows["two"], rows["left"], rows["right"]):
+                left = np.asarray(left, dtype=np.int64).view(np.uint64)
+                right = None if one == two else np.asarray(right, dtype=np.int64).view(np.uint64)
+                found = _forest(left, right, radius)
+                if len(found):
+                    yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+    return met.select("one", "two", "left", "right").mapInPandas(compare, "a long, b long")
 
 
 def groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
