@@ -1,5 +1,7 @@
 """Streaming queries: each runs to the end of its input and returns what it wrote."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.times import format_rfc3339
@@ -30,6 +32,18 @@ _FIRST_SQL = check_sql(
 )
 
 
+@contextmanager
+def state_partitions(spark, n=8):
+    """Few partitions of state for inputs of this size; a stream keeps the number it starts with."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _shown(rows):
     return rows.select(
         "tx_hash",
@@ -81,7 +95,8 @@ def state_unique(spark, sf_dir):
     names = ("cleaned", "marks", "unique", "marks")
     cleaned, marks, path, more_marks = (scratch_path(spark, n) for n in names)
     stream_clean(spark, landed_pages(spark, sf_dir), cleaned, marks).awaitTermination()
-    stream_unique(spark, cleaned, path, more_marks, "30 days", max_files_per_trigger=400).awaitTermination()
+    with state_partitions(spark):
+        stream_unique(spark, cleaned, path, more_marks, "30 days", max_files_per_trigger=800).awaitTermination()
     merge_unique(spark, path)
     return _shown(read_unique(spark, path))
 
@@ -113,7 +128,8 @@ def landed_events(spark, sf_dir):
 def week_windows(spark, sf_dir):
     # Weeks close on the way: what comes after that is late and still counted.
     path, marks = scratch_path(spark, "weeks"), scratch_path(spark, "marks")
-    stream_weeks(landed_events(spark, sf_dir), path, marks, delay="1 day").awaitTermination()
+    with state_partitions(spark):
+        stream_weeks(landed_events(spark, sf_dir), path, marks, delay="1 day").awaitTermination()
     return dated(read_weeks(spark, path))
 
 
