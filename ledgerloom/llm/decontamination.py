@@ -71,8 +71,10 @@ def _same_shingles(one, i, other, j, lengths):
 def _distinct(words, item, hashes, first, lengths):
     """Which of the shingles, sorted by item and hash, differ from those before them."""
     fresh = np.ones(len(hashes), dtype=bool)
+    if not len(hashes):
+        return fresh
     group = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (hashes[1:] != hashes[:-1])))
-    head = np.repeat(group, np.diff(np.append(group, len(hashes)))) if len(hashes) else group
+    head = np.repeat(group, np.diff(np.append(group, len(hashes))))
     fresh[head != np.arange(len(hashes))] = False
     other = np.flatnonzero(~fresh & ~_same_shingles(words, first, words, first[head], lengths[item]))
     # A hash that stands for two shingles of one item: tell them apart by their words.

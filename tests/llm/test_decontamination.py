@@ -118,6 +118,13 @@ def test_leaking_documents_go(llm, make, case):
     assert kept.count() == len([d for d in docs if d not in leaking])
 
 
+@pytest.mark.parametrize("texts", [[], [b""], [b"", b" .. ", b"!"]])
+def test_items_without_words_match_nothing(texts):
+    items = decontamination.sketch_items(texts)
+    assert decontamination.find_items([b"a b c d e", b""], items) == [[], []]
+    assert [items.count(i) for i in range(len(texts))] == [0] * len(texts)
+
+
 def test_empty_tables(llm, make):
     nothing = llm.createDataFrame([], "item_id long, text string")
     assert decontamination.search(make([(1, "a b c d e f")]), nothing).count() == 0
