@@ -94,48 +94,87 @@ def _exact_decimal(whole: Column) -> Column:
     ).cast("decimal(20,0)")
 
 
-def _largest_text(whole: Column) -> Column:
-    """Digits of a double from 2^125 to 2^128, which may be one more than a decimal holds.
+def _eighth(whole: Column) -> Column:
+    return _exact_decimal(whole / F.lit(8.0))
 
-    Such a double is a multiple of 8: the eighth is cut at twenty digits, and both parts are
+
+def _largest_text(eighth: Column) -> Column:
+    """Digits of a double from 2^110 to 2^128, which may be one more than a decimal holds.
+
+    Such a double is a multiple of 8: its `eighth` is cut at twenty digits, and both parts are
     multiplied with the carry.
     """
-    eighth, cut = _exact_decimal(whole / F.lit(8.0)), F.lit(Decimal(10**20))
+    cut = F.lit(Decimal(10**20))
     low = (eighth % cut) * F.lit(Decimal(8))
     high = F.call_function("div", eighth, cut) * F.lit(8) + F.call_function("div", low, cut)
     return F.concat(high.cast("string"), F.lpad((low % cut).cast("string"), 20, "0"))
 
 
-def _integral_text(whole: Column) -> Column:
-    """Exact digits of a non-negative double without fraction, below 2^128.
+def _two_longs_text(whole: Column) -> Column:
+    """Digits of a double from 2^63 to 2^110, as two bigints.
 
-    Below 2^63 the bigint cast is exact. From 2^128 on, beyond every u128 amount, a double
-    shows its shortest digits padded with zeros.
+    The remainder is exact. The quotient is below 2^51, so its two roundings stay below a half.
     """
+    cut = F.lit(1e18)
+    low = whole % cut
+    high = F.rint((whole - low) / cut).cast("bigint").cast("string")
+    return F.concat(high, F.lpad(low.cast("bigint").cast("string"), 18, "0"))
+
+
+def _wide_text(whole: Column, eighth: Column | None = None) -> Column:
+    """Exact digits of a double from 2^63 to 2^128; from there on, beyond every u128 amount, a
+    double shows its shortest digits padded with zeros."""
     return (
-        F.when(whole < F.lit(2.0**63), whole.cast("bigint").cast("string"))
-        .when(whole < F.lit(2.0**125), _exact_decimal(whole).cast("string"))
-        .when(whole < F.lit(2.0**128), _largest_text(whole))
+        F.when(whole < F.lit(2.0**110), _two_longs_text(whole))
+        .when(whole < F.lit(2.0**128), _largest_text(_eighth(whole) if eighth is None else eighth))
         .otherwise(F.format_string("%.0f", whole))
     )
 
 
-def ether_to_wei(ether: Column) -> Column:
-    """Wei text of an ether double, every digit of the double kept; null is "0"."""
+def _integral_text(whole: Column, wide: Column | None = None) -> Column:
+    """Exact digits of a non-negative double without fraction, below 2^128.
+
+    Below 2^63 the bigint cast is exact.
+    """
+    short = F.when(whole < F.lit(2.0**63), whole.cast("bigint").cast("string"))
+    return short.otherwise(_wide_text(whole) if wide is None else wide)
+
+
+def with_wide_wei(df: DataFrame, ether: str, name: str) -> DataFrame:
+    """Add the digits of the wei of an ether double, sign left out, from 2^63 wei on; else null.
+
+    The column serves `ether_to_wei` and `ether_to_rank_wei` at once. Like its own first step it
+    is a projection: all in one method, the method grows beyond what the JIT compiles.
+    """
+    size, step = F.abs(F.col(ether) * F.lit(1e18)), f"{name}_eighth"
+    wide = (size >= F.lit(2.0**63)) & (size < F.lit(float("inf")))
+    largest = (size >= F.lit(2.0**110)) & (size < F.lit(2.0**128))
+    stepped = df.withColumn(step, F.when(largest, _eighth(size)))
+    return stepped.withColumn(name, F.when(wide, _wide_text(size, F.col(step)))).drop(step)
+
+
+def ether_to_wei(ether: Column, wide: Column | None = None) -> Column:
+    """Wei text of an ether double, every digit of the double kept; null is "0".
+
+    `wide` is its column of `with_wide_wei`, where that is at hand.
+    """
     wei = F.rint(ether * F.lit(1e18))
     size = F.abs(wei)
     sign = F.when(wei < 0, F.lit("-")).otherwise(F.lit(""))
     # NaN and infinities cannot occur in JSON input.
     usable = ether.isNotNull() & (size < F.lit(float("inf")))
-    return F.when(usable, F.concat(sign, _integral_text(size))).otherwise(F.lit("0"))
+    return F.when(usable, F.concat(sign, _integral_text(size, wide))).otherwise(F.lit("0"))
 
 
-def ether_to_rank_wei(ether: Column) -> Column:
-    """Whole wei for ranking: fraction cut, negative or missing is "0", capped at u128."""
+def ether_to_rank_wei(ether: Column, wide: Column | None = None) -> Column:
+    """Whole wei for ranking: fraction cut, negative or missing is "0", capped at u128.
+
+    `wide` is its column of `with_wide_wei`, where that is at hand.
+    """
     wei = ether * F.lit(1e18)
     usable = ether.isNotNull() & (wei > 0) & ~F.isnan(wei)
     return (
         F.when(~usable, F.lit("0"))
         .when(wei >= F.lit(2.0**128), F.lit(U128_MAX))
-        .otherwise(_integral_text(wei - wei % F.lit(1.0)))
+        .otherwise(_integral_text(wei - wei % F.lit(1.0), wide))
     )

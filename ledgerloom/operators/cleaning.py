@@ -5,7 +5,12 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions.addresses import address_key
 from ledgerloom.functions.checksum import checksum_address
 from ledgerloom.functions.times import parse_rfc3339, parse_rfc3339_strict
-from ledgerloom.functions.wide_int import canonical_u128, ether_to_rank_wei, ether_to_wei
+from ledgerloom.functions.wide_int import (
+    canonical_u128,
+    ether_to_rank_wei,
+    ether_to_wei,
+    with_wide_wei,
+)
 
 # The transfer categories that move the native coin.
 NATIVE_CATEGORIES = ("external", "internal")
@@ -13,12 +18,20 @@ NATIVE_CATEGORIES = ("external", "internal")
 TRANSACTION_COLUMNS = ("tx_hash", "block_timestamp", "from_address", "to_address", "value_wei")
 
 
-def is_zero_value():
-    """The amount is known and zero; an exact amount wins over the double."""
+def exact_amount():
+    """The canonical text of the exact amount; null where there is none."""
     exact = F.col("value_wei_text")
+    return F.when(exact.isNotNull(), canonical_u128(exact))
+
+
+def is_zero_value(exact=None):
+    """The amount is known and zero; an exact amount wins over the double.
+
+    `exact` is the column of `exact_amount`, where that is at hand.
+    """
+    exact = exact_amount() if exact is None else exact
     return F.coalesce(
-        F.when(exact.isNotNull(), canonical_u128(exact) == "0").otherwise(F.col("value") == 0),
-        F.lit(False),
+        F.when(exact.isNotNull(), exact == "0").otherwise(F.col("value") == 0), F.lit(False)
     )
 
 
@@ -54,7 +67,7 @@ def classify_transfers(transfers: DataFrame, on_bad_ts: str = "reject") -> DataF
     blank = F.lit("")
     reason = (
         F.when(~F.coalesce(F.col("category").isin(*NATIVE_CATEGORIES), F.lit(False)), "category")
-        .when(is_zero_value(), "zero_value")
+        .when(is_zero_value(F.col("_exact")), "zero_value")
         .when(F.coalesce(F.col("to"), blank) == "", "empty_to")
         .when(F.coalesce(F.col("from"), blank) == "", "empty_from")
         .when(F.col("block_timestamp").isNull(), "bad_timestamp")
@@ -62,19 +75,18 @@ def classify_transfers(transfers: DataFrame, on_bad_ts: str = "reject") -> DataF
     marked = "malformed" in transfers.columns
     if marked:
         reason = F.coalesce("malformed", reason)
-    exact = F.col("value_wei_text")
-    typed = transfers.withColumn("block_timestamp", parse(F.col("block_timestamp")))
+    # What several columns need is a column first, so that it is made once.
+    typed = with_wide_wei(transfers, "value", "_wide").withColumns(
+        {"block_timestamp": parse(F.col("block_timestamp")), "_exact": exact_amount()}
+    )
+    value, wide = F.col("value"), F.col("_wide")
     return typed.select(
         F.col("hash").alias("tx_hash"),
         "block_timestamp",
         F.col("from").alias("from_address"),
         F.col("to").alias("to_address"),
-        F.when(exact.isNotNull(), canonical_u128(exact))
-        .otherwise(ether_to_wei(F.col("value")))
-        .alias("value_wei"),
-        F.when(exact.isNotNull(), canonical_u128(exact))
-        .otherwise(ether_to_rank_wei(F.col("value")))
-        .alias("rank_wei"),
+        F.coalesce("_exact", ether_to_wei(value, wide)).alias("value_wei"),
+        F.coalesce("_exact", ether_to_rank_wei(value, wide)).alias("rank_wei"),
         "block_number",
         "category",
         reason.alias("reject_reason"),

@@ -1,0 +1,116 @@
+"""What keeps queries on large tables within their disk and time."""
+
+from datetime import datetime, timezone
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.wide_int import ether_to_rank_wei, ether_to_wei, with_wide_wei
+from ledgerloom.layers import child_names
+from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient
+from ledgerloom.sources.transfers import read_transfer_pages
+from workload import continued, graph
+
+RAW = (
+    "address string, direction string, hash string, `from` string, `to` string, value double, "
+    "asset string, category string, block_number bigint, block_timestamp string, value_wei_text string"
+)
+
+
+def raw_rows(spark):
+    row = ("0xb", "from", "1-1", "0xa", "0xb", 20.5, "ETH", "external", 16, "1995-01-02T00:00:00Z", None)
+    return spark.createDataFrame([row], RAW)
+
+
+def tx_rows(spark):
+    when = datetime(1995, 1, 2, tzinfo=timezone.utc)
+    layout = (
+        "tx_hash string, block_timestamp timestamp, from_address string, to_address string, "
+        "value_wei string"
+    )
+    return spark.createDataFrame([("1-1", when, "0xa", "0xb", "7")], layout)
+
+
+class Stop(Exception):
+    pass
+
+
+def test_landed_pages_are_compressed(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(97 * 89,)], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(graph, "raw_transfers", lambda *_: raw_rows(spark))
+    path = graph.landed_pages(spark, str(tmp_path))
+    parts = [n for n in child_names(spark, path) if n.startswith("part-")]
+    assert parts and all(n.endswith(".gz") for n in parts)
+    found = read_transfer_pages(spark, path).groupBy("hash", "malformed").count().collect()
+    assert sorted((r["hash"] or "", r["malformed"] or "", r["count"]) for r in found) == [
+        ("", "malformed_page", 1), ("1-1", "", 2), ("odd-8633", "malformed_value", 1)
+    ]
+
+
+def test_classification_fits_a_compiled_method(spark, tmp_path):
+    raw_rows(spark).write.parquet(f"{tmp_path}/raw")
+    rows = accepted(classify_transfers(fill_recipient(spark.read.parquet(f"{tmp_path}/raw"))))
+    name = "org.apache.spark.sql.execution.debug.package$"
+    debug = spark._jvm.java.lang.Class.forName(name).getField("MODULE$").get(None)
+    parts = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    # The JIT leaves longer methods to the interpreter.
+    assert sizes and max(sizes) < 8000
+
+
+def test_wide_wei_is_exact(spark):
+    bounds = [2.0**n for n in (62, 63, 64, 100, 109, 110, 111, 124, 125, 126, 127)]
+    near = [w * f for w in bounds for f in (1 - 2.0**-52, 1.0, 1 + 2.0**-52, 1.2345678901234567)]
+    ethers = [w / 1e18 for w in near] + [-w / 1e18 for w in near] + [0.0, 20.5, 1.5e-18, None]
+    rows = spark.createDataFrame([(e,) for e in ethers], "value double")
+    shared = with_wide_wei(rows, "value", "wide").select(
+        "value",
+        ether_to_wei(F.col("value"), F.col("wide")).alias("a"),
+        ether_to_wei(F.col("value")).alias("b"),
+        ether_to_rank_wei(F.col("value"), F.col("wide")).alias("c"),
+        ether_to_rank_wei(F.col("value")).alias("d"),
+    )
+    for row in shared.collect():
+        wei = Fraction((row.value or 0.0) * 1e18)
+        assert row.a == row.b == str(round(wei))
+        assert row.c == row.d == str(max(0, int(wei)))
+
+
+def _given(monkeypatch, module, name, place):
+    """Replace a function by one that keeps the files of its argument and stops."""
+    kept = []
+
+    def take(*args, **_):
+        kept.extend(args[place].inputFiles())
+        raise Stop
+
+    monkeypatch.setattr(module, name, take)
+    return kept
+
+
+@pytest.mark.parametrize("build", [graph.metadata, graph.status_of_tables, continued.merged_histogram])
+def test_transactions_are_made_once(spark, monkeypatch, build):
+    module = continued if build is continued.merged_histogram else graph
+    monkeypatch.setattr(module, "transactions", lambda *_: tx_rows(spark))
+    monkeypatch.setattr(graph, "labels_of", lambda *_: tx_rows(spark))
+    kept = _given(monkeypatch, module, "aggregate_edges", 0)
+    with pytest.raises(Stop):
+        build(spark, "unused")
+    assert kept and all("/rows-" in name for name in kept)
+
+
+def test_stages_scan_written_transfers(spark, tmp_path, monkeypatch):
+    layout = "c_custkey bigint, c_mktsegment string, s_suppkey bigint"
+    for name in ("customer", "supplier"):
+        spark.createDataFrame([(1, "BUILDING", 1)], layout).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(graph, "raw_transfers", lambda *_: raw_rows(spark))
+    monkeypatch.setattr(graph, "transactions", lambda *_: tx_rows(spark))
+    kept = _given(monkeypatch, graph.stages, "build_graph", 2)
+    with pytest.raises(Stop):
+        graph.run_graph(spark, str(tmp_path), "unused")
+    assert kept and all("/transfers-" in name for name in kept)
+    kept = _given(monkeypatch, graph.stages, "expand_and_merge", 0)
+    with pytest.raises(Stop):
+        graph.expand_stage(spark, str(tmp_path))
+    assert kept and all("/rows-" in name for name in kept)
