@@ -31,7 +31,8 @@ CUTS = ("1994-06-01", "1996-11-06")
 
 def edge_portions(spark, sf_dir):
     """The edges of the transactions up to the first cut, between the cuts, and after."""
-    rows, bounds = transactions(spark, sf_dir), ("0001-01-01", *CUTS, "9999-01-01")
+    rows = write_scratch(transactions(spark, sf_dir), "rows")
+    bounds = ("0001-01-01", *CUTS, "9999-01-01")
     when = F.to_date("block_timestamp")
     for low, high in zip(bounds, bounds[1:]):
         yield write_scratch(aggregate_edges(rows.filter((when >= low) & (when < high))), "portion")
