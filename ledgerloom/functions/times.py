@@ -38,7 +38,7 @@ def period_start(ts: Column, granularity: str = "week") -> Column:
         raise ValueError(f"unknown granularity: {granularity}")
     if granularity == "day":
         return F.to_date(ts)
-    return F.to_date(F.date_trunc(granularity, ts))
+    return F.trunc(F.to_date(ts), granularity)
 
 
 def hex_quantity(text: Column) -> Column:

@@ -18,8 +18,17 @@ _LIMB_DIGITS = 7
 _LIMB_COUNT = 6
 _BASE = 10**_LIMB_DIGITS
 _PADDED = _LIMB_DIGITS * _LIMB_COUNT
+_PAIR_DIGITS = 2 * _LIMB_DIGITS
 _MAX_PADDED = U128_MAX.zfill(_PADDED)
 _MAX_HIGH_LIMB = int(_MAX_PADDED[:_LIMB_DIGITS])
+_MAX_PAIRS = [
+    int(_MAX_PADDED[i : i + _PAIR_DIGITS]) for i in range(0, _PADDED, _PAIR_DIGITS)
+]
+
+
+def zero_padded(text: Column, width: int) -> Column:
+    """`lpad` with "0". Spark copies the padding one pad at a time, so the pad is all of it."""
+    return F.lpad(text, width, "0" * width)
 
 
 def canonical_u128(text: Column) -> Column:
@@ -35,9 +44,11 @@ def padded_u128(text: Column) -> Column:
     """Canonical text padded to the width of all limbs.
 
     Select it under a name of its own before `limb_sums`: aggregation would otherwise
-    evaluate the cleaning once per limb.
+    evaluate the cleaning once per limb. Up to 38 digits without leading zero, as most are, are
+    canonical at one look.
     """
-    return F.lpad(canonical_u128(text), _PADDED, "0")
+    short = text.rlike(r"^[1-9][0-9]{0,37}\z")
+    return zero_padded(F.when(short, text).otherwise(canonical_u128(text)), _PADDED)
 
 
 def limb_sums(padded: Column, prefix: str) -> list[Column]:
@@ -62,18 +73,24 @@ def fold_limbs(sums: DataFrame, prefix: str, name: str) -> DataFrame:
     for higher, lower in zip(limbs[-2::-1], limbs[:0:-1]):
         carried = F.col(higher) + F.call_function("div", F.col(lower), base)
         sums = sums.withColumns({higher: carried, lower: F.col(lower) % base})
-    text, digits = f"{prefix}_text", f"{prefix}_digits"
-    folded = sums.withColumn(
-        text, F.concat(*(F.lpad(F.col(x).cast("string"), _LIMB_DIGITS, "0") for x in limbs))
-    ).withColumn(digits, F.ltrim(F.col(text), F.lit("0")))
-    high, highest = F.col(limbs[0]), F.lit(_MAX_HIGH_LIMB)
-    too_large = (high > highest) | ((high == highest) & (F.col(text) > F.lit(_MAX_PADDED)))
+    # One more than the highest limb of the maximum shows that the total is too large.
+    tops = [F.least(F.col(limbs[0]), F.lit(_MAX_HIGH_LIMB + 1)), *map(F.col, limbs[2::2])]
+    names = [f"{prefix}_pair{i}" for i in range(len(tops))]
+    pairs = {n: t * base + F.col(low) for n, t, low in zip(names, tops, limbs[1::2])}
+    high, middle, low = map(F.col, names)
+    top, mid, end = (F.lit(value) for value in _MAX_PAIRS)
+    too_large = (high > top) | (
+        (high == top) & ((middle > mid) | ((middle == mid) & (low > end)))
+    )
+    shown, lowest = [x.cast("string") for x in (high, middle)], low.cast("string")
+    padded = [zero_padded(x, _PAIR_DIGITS) for x in (shown[1], lowest)]
     total = (
         F.when(too_large, F.lit(U128_MAX))
-        .when(F.col(digits) == "", F.lit("0"))
-        .otherwise(F.col(digits))
+        .when(high > 0, F.concat(shown[0], *padded))
+        .when(middle > 0, F.concat(shown[1], padded[1]))
+        .otherwise(lowest)
     )
-    return folded.withColumn(name, total).drop(*limbs, text, digits)
+    return sums.withColumns(pairs).withColumn(name, total).drop(*limbs, *names)
 
 
 def numeric_desc(text: Column) -> list[Column]:

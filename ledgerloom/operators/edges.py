@@ -54,12 +54,16 @@ def aggregate_edges(
     granularity: str = "week",
     total: bool = True,
     sample: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """One row per (src, dst, period): count and, if asked, exact total and sample value.
 
     The period column is `week_start` for every granularity, as in the edge table. A missing
     address becomes "". The sample is the value of the earliest transaction, so it does not
     depend on partitioning; with it the count is of non-null hashes.
+
+    `ordered` edges come by (src, dst, week_start). They are sorted before totals become text,
+    since a sort makes its input twice, first to sample it.
     """
     keyed = transactions.select(
         F.coalesce("from_address", F.lit("")).alias("src"),
@@ -81,4 +85,6 @@ def aggregate_edges(
         aggregates.append(F.min(earliest).alias("_first"))
         shown.append(F.col("_first.value_wei").alias("sample_value"))
     edges = keyed.groupBy("src", "dst", "week_start").agg(*aggregates)
+    if ordered:
+        edges = edges.orderBy("src", "dst", "week_start")
     return (fold_limbs(edges, "_w", "total_value_wei") if total else edges).select(*shown)

@@ -87,10 +87,24 @@ def parse_node_type(text: Column) -> Column:
 
 
 def newest_status(status: DataFrame) -> DataFrame:
-    """The newest row per lowercase address: `resolved_at`, then true, decides."""
-    newest = F.max(F.struct("resolved_at", "is_contract")).alias("row")
-    rows = status.groupBy(F.lower("address").alias("address")).agg(newest)
-    return rows.select("address", "row.is_contract", "row.resolved_at")
+    """The newest row per lowercase address: `resolved_at`, then true, decides.
+
+    Maxima of plain times and flags, since that of a struct would sort all rows. A row without
+    time is older than any other, one without flag yields to all of its time.
+    """
+    resolved, flag = F.col("resolved_at"), F.col("is_contract")
+    rows = status.groupBy(F.lower("address").alias("address")).agg(
+        F.max(resolved).alias("resolved_at"),
+        F.max(flag).alias("_any"),
+        F.max(F.when(flag, resolved)).alias("_yes"),
+        F.max(F.when(~flag, resolved)).alias("_no"),
+    )
+    newest = (
+        F.when(resolved.isNull(), F.col("_any"))
+        .when(F.col("_yes") == resolved, True)
+        .when(F.col("_no") == resolved, False)
+    )
+    return rows.select("address", newest.alias("is_contract"), "resolved_at")
 
 
 def latest_status(status: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ from ledgerloom.operators.keysets import KeySet, key_set, touching
 from ledgerloom.operators.labeling import LABEL_SOURCE, build_label_table
 from ledgerloom.operators.nodes import (
     HUB_PERCENTILE,
-    classify_nodes,
+    classify_degrees,
     degrees,
+    hub_threshold,
     resolve_contracts,
     unresolved_addresses,
 )
@@ -165,13 +166,13 @@ def edges_stage(
     use_utc(spark)
     if window is not None:
         rows = sources.read_months(spark, transactions_path, *window)
-        return sinks.write_edges(aggregate_edges(rows, granularity), path)
+        return sinks.write_edges(aggregate_edges(rows, granularity, ordered=True), path, ordered=True)
     usable, unusable = split_times(sources.read_transactions(spark, transactions_path))
     if rejects_path is not None:
         unusable.write.option("compression", "zstd").parquet(rejects_path)
     elif not unusable.isEmpty():
         raise ValueError(f"{transactions_path} has rows without usable time; give a rejects_path")
-    return sinks.write_edges(aggregate_edges(usable, granularity), path)
+    return sinks.write_edges(aggregate_edges(usable, granularity, ordered=True), path, ordered=True)
 
 
 def nodes_stage(
@@ -190,7 +191,8 @@ def nodes_stage(
 
     `cache_path` is a file of resolved contracts that is appended to the status table first.
     Addresses that no list or table resolves go to `unresolved_path`, for the next
-    resolution run. Degrees are written once: threshold and classification both need them.
+    resolution run. Resolved degrees are written once: open addresses, threshold and
+    classification all need them.
     """
     use_utc(spark)
     edges = sources.read_edges(spark, edges_path)
@@ -202,11 +204,13 @@ def nodes_stage(
         cached = read_status_cache(spark, cache_path)
         sinks.append_status(cached.withColumn("resolved_at", F.current_timestamp()), status_path)
     status = read_status_table(spark, status_path) if status_path else None
-    degree_table = write_scratch(degrees(edges, labels, mode), "degrees")
+    resolved = resolve_contracts(degrees(edges, labels, mode), known, status)
+    resolved = write_scratch(resolved, "resolved")
     if unresolved_path is not None:
-        open_addresses = unresolved_addresses(resolve_contracts(degree_table, known, status))
+        open_addresses = unresolved_addresses(resolved)
         open_addresses.write.option("compression", "zstd").parquet(unresolved_path)
-    return sinks.write_nodes(classify_nodes(degree_table, known, status, percentile), path)
+    threshold = hub_threshold(resolved, percentile).scalar()
+    return sinks.write_nodes(classify_degrees(resolved, threshold), path)
 
 
 TABLES = ("labels", "transactions", "edges", "nodes")

@@ -113,10 +113,13 @@ def merge_months(transactions: DataFrame, path: str, key_cols=("tx_hash",)) -> i
     return write_months(merged, path, deduplicate=False)
 
 
-def write_edges(edges: DataFrame, path: str) -> int:
-    """Edge table by (src, dst, week_start), dates as text."""
-    ordered = edges.orderBy("src", "dst", "week_start")
-    return _write(ordered.withColumn("week_start", F.col("week_start").cast("string")), path)
+def write_edges(edges: DataFrame, path: str, ordered: bool = False) -> int:
+    """Edge table by (src, dst, week_start), dates as text.
+
+    `ordered` edges have that order already, see `aggregate_edges`.
+    """
+    rows = edges if ordered else edges.orderBy("src", "dst", "week_start")
+    return _write(rows.withColumn("week_start", F.col("week_start").cast("string")), path)
 
 
 def write_nodes(nodes: DataFrame, path: str) -> int:

@@ -6,9 +6,13 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.wide_int import ether_to_rank_wei, ether_to_wei, with_wide_wei
+from ledgerloom.functions.wide_int import U128_MAX, ether_to_rank_wei, ether_to_wei, with_wide_wei
 from ledgerloom.layers import child_names
+from ledgerloom.operators import nodes
 from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient
+from ledgerloom.operators.edges import aggregate_edges, wide_sum
+from ledgerloom.plans import stages
+from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources.transfers import read_transfer_pages
 from workload import continued, graph
 
@@ -114,3 +118,71 @@ def test_stages_scan_written_transfers(spark, tmp_path, monkeypatch):
     with pytest.raises(Stop):
         graph.expand_stage(spark, str(tmp_path))
     assert kept and all("/rows-" in name for name in kept)
+
+
+def test_newest_status_is_hashed_not_sorted(spark):
+    early, late = (datetime(1995, 1, d, tzinfo=timezone.utc) for d in (1, 2))
+    given = {
+        "0xa": [(early, True), (late, False)],
+        "0xb": [(late, False), (late, True), (early, None)],
+        "0xc": [(late, None), (late, False), (early, True)],
+        "0xd": [(late, None), (early, True)],
+        "0xe": [(None, True), (None, False)],
+        "0xf": [(None, True), (early, False)],
+        "0x0": [(None, None)],
+        None: [(early, True)],
+    }
+    rows = [(a, flag, when) for a, each in given.items() for when, flag in each]
+    rows.append(("0xA", True, early))
+    status = spark.createDataFrame(rows, "address string, is_contract boolean, resolved_at timestamp")
+    newest = nodes.newest_status(status)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    structs = status.groupBy(F.lower("address").alias("address")).agg(
+        F.max(F.struct("resolved_at", "is_contract")).alias("row")
+    )
+    wanted = structs.select("address", "row.is_contract", "row.resolved_at")
+    assert newest.columns == wanted.columns
+    assert sorted(map(str, newest.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_nodes_stage_resolves_once(spark, tmp_path, monkeypatch):
+    edges, status, path, left = (f"{tmp_path}/{n}" for n in ("edges", "status", "nodes", "left"))
+    sinks.write_edges(aggregate_edges(tx_rows(spark), ordered=True), edges, ordered=True)
+    known = spark.createDataFrame([("0xb", True)], "address string, is_contract boolean")
+    sinks.append_status(known.withColumn("resolved_at", F.current_timestamp()), status)
+    calls, newest = [], nodes.newest_status
+    monkeypatch.setattr(nodes, "newest_status", lambda rows: calls.append(1) or newest(rows))
+    assert stages.nodes_stage(spark, edges, None, path, status_path=status, unresolved_path=left) == 2
+    assert len(calls) == 1
+    assert [r.address for r in spark.read.parquet(left).collect()] == ["0xa"]
+    found = {r.address: (r.is_contract, r.degree_in, r.degree_out) for r in spark.read.parquet(path).collect()}
+    assert found == {"0xa": (False, 0, 1), "0xb": (True, 1, 0)}
+
+
+def test_ordered_edges_make_text_after_the_sort(spark, tmp_path):
+    first = tx_rows(spark)
+    more = [first.withColumn("from_address", F.lit(a)).withColumn("to_address", F.lit(b)) for a, b in ("cb", "ab", "ba", "ac")]
+    rows = first
+    for each in more:
+        rows = rows.unionByName(each)
+    ordered = aggregate_edges(rows, ordered=True)
+    lines = ordered._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    sort = next(i for i, line in enumerate(lines) if "Sort [" in line)
+    assert any("total_value_wei" in line for line in lines[:sort])
+    assert not any("total_value_wei" in line for line in lines[sort:])
+    for name, edges, flag in (("a", ordered, True), ("b", aggregate_edges(rows), False)):
+        assert sinks.write_edges(edges, f"{tmp_path}/{name}", ordered=flag) == 5
+    a, b = (spark.read.parquet(f"{tmp_path}/{n}").collect() for n in "ab")
+    assert a == b == sorted(a, key=lambda r: (r.src, r.dst, r.week_start))
+
+
+def test_sums_of_wide_amounts(spark):
+    top = int(U128_MAX)
+    near = [0, 1, 9, 10**7, 10**14 - 1, 10**14, 10**28 - 1, 10**28, 10**38, top - 10**28, top - 10**14, top - 1, top]
+    groups = [[a, b] for a in near for b in near] + [[top] * 40, [10**14 - 1] * 99, [10**28 - 1] * 99]
+    rows = [(i, str(v)) for i, each in enumerate(groups) for v in each]
+    rows += [(-1, t) for t in ("+007", "007", "", None, "x", str(top + 1), "+", "1\n", "9" * 39)]
+    sums = wide_sum(spark.createDataFrame(rows, "n int, v string"), ["n"], "v")
+    wanted = {i: str(min(sum(each), top)) for i, each in enumerate(groups)} | {-1: "14"}
+    assert {r.n: r.total_value for r in sums.collect()} == wanted

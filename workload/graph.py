@@ -54,6 +54,11 @@ def edges_of(spark, sf_dir):
     return aggregate_edges(transactions(spark, sf_dir))
 
 
+def write_edges_of(spark, sf_dir, path):
+    edges = aggregate_edges(transactions(spark, sf_dir), ordered=True)
+    sinks.write_edges(edges, path, ordered=True)
+
+
 def labels_of(spark, sf_dir):
     return labeled_addresses(spark, sf_dir).select("address")
 
@@ -781,7 +786,7 @@ def write_transactions(spark, sf_dir):
 @query("K3_write_edges", check_sql(_EDGE_SQL, "edges"))
 def write_edges(spark, sf_dir):
     path = scratch_path(spark, "edges")
-    sinks.write_edges(edges_of(spark, sf_dir), path)
+    write_edges_of(spark, sf_dir, path)
     return dated(sources.read_edges(spark, path))
 
 
@@ -946,7 +951,7 @@ def write_label_rows(spark, sf_dir, path):
 def node_stage(spark, sf_dir):
     names = ("edges", "labels", "status", "nodes")
     edges, labels, status, path = (scratch_path(spark, n) for n in names)
-    sinks.write_edges(edges_of(spark, sf_dir), edges)
+    write_edges_of(spark, sf_dir, edges)
     write_label_rows(spark, sf_dir, labels)
     sinks.append_status(status_rows(spark, sf_dir), status)
     stages.nodes_stage(
@@ -1086,7 +1091,7 @@ def unresolved_of_stage(spark, sf_dir):
     # A cache file of contracts joins the status table before it is asked.
     names = ("edges", "status", "cache", "nodes", "unresolved")
     edges, status, cache, path, left = (scratch_path(spark, n) for n in names)
-    sinks.write_edges(edges_of(spark, sf_dir), edges)
+    write_edges_of(spark, sf_dir, edges)
     sinks.append_status(status_rows(spark, sf_dir), status)
     cached = contract_addresses(spark, sf_dir).select(F.concat_ws(",", "address", F.lit("1")))
     cached.toDF("value").write.text(cache)

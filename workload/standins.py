@@ -6,6 +6,8 @@ back. (l_orderkey, l_linenumber) is the hash and repeats, so deduplication has w
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.functions.wide_int import zero_padded
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,7 +26,7 @@ LINE_COLUMNS = (
 
 
 def address_of(number):
-    return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(number)), 40, "0"))
+    return F.concat(F.lit("0x"), zero_padded(F.lower(F.hex(number)), 40))
 
 
 def customer_address(key="o_custkey"):
@@ -72,7 +74,7 @@ lines AS (
 
 def transactions(spark, sf_dir) -> DataFrame:
     """Typed transactions; the value has 27 to 34 digits and carries in both halves."""
-    digits = F.concat(F.col("cents").cast("string"), F.lpad(F.col("l_partkey"), 26, "0"))
+    digits = F.concat(F.col("cents").cast("string"), zero_padded(F.col("l_partkey"), 26))
     return lines(spark, sf_dir).select(
         "tx_hash",
         F.col("ts").alias("block_timestamp"),
@@ -92,7 +94,7 @@ tx AS (
 
 
 def block_transactions(spark, sf_dir) -> DataFrame:
-    digits = F.concat(F.col("cents").cast("string"), F.lpad(F.col("l_partkey"), 26, "0"))
+    digits = F.concat(F.col("cents").cast("string"), zero_padded(F.col("l_partkey"), 26))
     return lines(spark, sf_dir).select(
         "tx_hash",
         F.col("ts").alias("block_timestamp"),
