@@ -6,7 +6,13 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.wide_int import U128_MAX, ether_to_rank_wei, ether_to_wei, with_wide_wei
+from ledgerloom.functions.wide_int import (
+    U128_MAX,
+    canonical_u128,
+    ether_to_rank_wei,
+    ether_to_wei,
+    with_wide_wei,
+)
 from ledgerloom.layers import child_names
 from ledgerloom.operators import nodes
 from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_recipient
@@ -14,7 +20,7 @@ from ledgerloom.operators.edges import aggregate_edges, wide_sum
 from ledgerloom.plans import stages
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources.transfers import read_transfer_pages
-from workload import continued, graph
+from workload import continued, graph, standins
 
 RAW = (
     "address string, direction string, hash string, `from` string, `to` string, value double, "
@@ -63,6 +69,50 @@ def test_classification_fits_a_compiled_method(spark, tmp_path):
     assert sizes and max(sizes) < 8000
 
 
+def method_sizes(spark, rows):
+    name = "org.apache.spark.sql.execution.debug.package$"
+    debug = spark._jvm.java.lang.Class.forName(name).getField("MODULE$").get(None)
+    parts = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    return [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+
+
+def test_classification_after_the_join_fits_a_compiled_method(spark, tmp_path):
+    line = (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
+    )
+    order = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+    for name, layout in (("lineitem", line), ("orders", order)):
+        spark.createDataFrame([], layout).write.parquet(f"{tmp_path}/{name}.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = classify_transfers(fill_recipient(standins.raw_transfers(spark, str(tmp_path))))
+        sizes = method_sizes(spark, rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sizes and max(sizes) < 8000
+
+
+def test_canonical_amounts(spark):
+    top = int(U128_MAX)
+    numbers = [0, 1, 7, 10, 10**37, 10**38 - 1, 10**38, top - 1, top, top + 1, 10**39 - 1, 10**39, 10**45]
+    texts = [sign + "0" * n + str(v) for v in numbers for n in (0, 1, 30) for sign in ("", "+")]
+    odd = ["", "+", "0+1", "++1", "-1", " 1", "1 ", "1\n", "1.0", "1e3", "0x1", "x", "\u0661", None]
+
+    def wanted(text):
+        digits = (text or "").removeprefix("+")
+        plain = digits.isascii() and digits.isdigit() and int(digits) <= top
+        return str(int(digits)) if plain else "0"
+
+    rows = spark.createDataFrame([(t,) for t in texts + odd], "v string")
+    for row in rows.select("v", canonical_u128(F.col("v")).alias("c")).collect():
+        assert row.c == wanted(row.v), row
+
+
 def test_wide_wei_is_exact(spark):
     bounds = [2.0**n for n in (62, 63, 64, 100, 109, 110, 111, 124, 125, 126, 127)]
     near = [w * f for w in bounds for f in (1 - 2.0**-52, 1.0, 1 + 2.0**-52, 1.2345678901234567)]
