@@ -21,6 +21,8 @@ from datetime import datetime, timezone
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.session import shuffles_removed
+
 _RECORDS, _LAYERS = "_versions", "layers"
 
 
@@ -122,16 +124,20 @@ def _batch_number(name):
     return int(name.removeprefix("batch-")) if name.startswith("batch-") else None
 
 
-def write_layer(rows: DataFrame, folder: str, name: str | None = None, partition_by=()) -> str:
+def write_layer(
+    rows: DataFrame, folder: str, name: str | None = None, partition_by=(), gathered: bool = False
+) -> str:
     """Add a layer; one of the same name is replaced. Returns its name.
 
-    Rows of a partitioned layer are brought together by partition, a large one in several files.
+    Rows of a partitioned layer are brought together by partition, a large one in several files,
+    unless they are `gathered` so already.
     """
     name = name or unique_name("append")
-    if partition_by:
+    if partition_by and not gathered:
         rows = rows.hint("rebalance", *map(F.col, partition_by))
     writer = rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by)
-    writer.parquet(f"{folder}/{_LAYERS}/layer={name}")
+    with shuffles_removed(rows.sparkSession):
+        writer.parquet(f"{folder}/{_LAYERS}/layer={name}")
     return name
 
 
@@ -167,10 +173,12 @@ def merge_layers(
     fold: Callable[[DataFrame], DataFrame],
     partition_by=(),
     least: int = 2,
+    gathered: bool = False,
 ) -> Version:
     """Fold the layers that count into one, if there are at least `least` of them.
 
-    `fold` gives the same table from its own result and further layers as from all layers.
+    `fold` gives the same table from its own result and further layers as from all layers; its
+    rows may be `gathered` by `partition_by` already, which saves a shuffle.
     May be stopped anywhere and started again; appends may go on meanwhile.
     """
     before = latest(spark, folder)
@@ -178,7 +186,7 @@ def merge_layers(
     if len(names) < least:
         return before
     merged = unique_name("merged")
-    write_layer(fold(read_layers(spark, folder, names=names)), folder, merged, partition_by)
+    write_layer(fold(read_layers(spark, folder, names=names)), folder, merged, partition_by, gathered)
     batches = [n for n in map(_batch_number, names) if n is not None]
     facts = {
         "merged": merged,

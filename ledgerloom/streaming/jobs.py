@@ -137,9 +137,20 @@ def read_late(spark: SparkSession, path: str) -> DataFrame:
     return _read_kinds(spark, path).filter("kind = 'late'").drop("kind")
 
 
+# Fixed value: files of a month and kind in a merged layer, at most.
+_UNIQUE_SLICES = 4
+
+
+def _distinct_by_month(rows):
+    """Each row once. The shuffle that finds repeats also gathers the rows by kind and month."""
+    part = F.pmod(F.xxhash64("tx_hash"), F.lit(_UNIQUE_SLICES)).alias("_slice")
+    placed = rows.select("*", part).repartition("kind", "block_month", "_slice")
+    return placed.distinct().drop("_slice")
+
+
 def merge_unique(spark: SparkSession, path: str):
     """Fold the finished batches of `stream_unique` into one layer, without repeated rows."""
-    return merge_layers(spark, path, DataFrame.distinct, ("kind", "block_month"))
+    return merge_layers(spark, path, _distinct_by_month, ("kind", "block_month"), gathered=True)
 
 
 def stream_edges(

@@ -250,3 +250,39 @@ def test_checksums_are_made_once_for_all_runs(spark, tmp_path):
 def test_runs_at_once_take_folders_of_their_own(tmp_path):
     names = [layers.unique_name("run") for _ in range(1000)]
     assert len(set(names)) == 1000 and [n[:30] for n in names] == sorted(n[:30] for n in names)
+
+
+def test_merging_unique_rows_shuffles_once(spark, tmp_path):
+    rows = [r for at in (0, 40, 0) for r in moved(random.Random(at), at, [])]
+    frame = spark.createDataFrame(rows, LAYOUT).withColumn("block_month", F.trunc("block_timestamp", "month"))
+    path = str(tmp_path / "unique")
+    for n, kind in enumerate(("unique", "late")):
+        layers.write_layer(frame.withColumn("kind", F.lit(kind)), path, layers.batch_layer(n), ("kind", "block_month"))
+    before = layers.read_layers(spark, path)
+    wanted = sorted(before.distinct().collect())
+    assert len(wanted) < before.count()
+    plan = jobs._distinct_by_month(before)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    jobs.merge_unique(spark, path)
+    assert sorted(layers.read_layers(spark, path).select(before.columns).collect()) == wanted
+    merged = layers.live_layers(spark, path)
+    assert [n for n in merged if n.startswith("merged-")] == merged and len(merged) == 1
+
+
+def test_writes_remove_their_shuffles(spark, tmp_path):
+    def kept():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(str(f.getName()).endswith(".data") for f in iterate(blocks.getAllFiles().iterator()))
+
+    def iterate(found):
+        while found.hasNext():
+            yield found.next()
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    before = kept()
+    rows = spark.range(1000).withColumn("p", F.col("id") % 3).repartition(3, "id")
+    layers.write_layer(rows, str(tmp_path / "t"), partition_by=("p",))
+    assert kept() <= before
+    assert layers.read_layers(spark, str(tmp_path / "t")).count() == 1000
+    assert spark.conf.get(name) == setting

@@ -14,7 +14,7 @@ from ledgerloom.operators.cleaning import (
 from ledgerloom.operators.edges import aggregate_edges, wide_sum
 from ledgerloom.operators.keysets import key_set
 from ledgerloom.plans import stages
-from ledgerloom.session import scratch_path, write_scratch
+from ledgerloom.session import scratch_path, shuffles_removed, write_scratch
 from ledgerloom.sinks import metadata as run_notes
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import contracts, sanctions
@@ -523,7 +523,8 @@ def landed_pages(spark, sf_dir, compression="gzip"):
     )
     path = scratch_path(spark, "pages")
     sizes = {} if compression == "none" else {"maxRecordsPerFile": 1_000_000}
-    pages.write.options(compression=compression, **sizes).json(path)
+    with shuffles_removed(spark):
+        pages.write.options(compression=compression, **sizes).json(path)
     # Lines that end too early, and transfers whose value is no number.
     order = table(spark, sf_dir, "orders")
     cut = order.filter("o_orderkey % 97 = 0").select(
