@@ -19,12 +19,30 @@ def read_transfer_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_transfer_pages(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
-    reader = _reader(spark.readStream)
+    """Pages as they land. With `spread` they are parsed by that many tasks, however few files a
+    batch has and whether or not these can be cut."""
+    reader = spark.readStream if spread else _reader(spark.readStream)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return explode_pages(reader.json(path))
+    if not spread:
+        return explode_pages(reader.json(path))
+    return explode_pages(parse_lines(reader.text(path).repartition(spread, F.xxhash64("value"))))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Pages from lines of text (`value`), as the JSON reader has them; a blank line is all null,
+    which has no rows. A filter here would go below a shuffle and parse every line there too.
+
+    A list of pages in one line, which the JSON reader takes apart, is a page that cannot be read.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    page = F.from_json("value", TRANSFER_PAGE, options)
+    return lines.select(page.alias("page")).select("page.*")
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:

@@ -37,15 +37,17 @@ def stream_clean(
     path: str,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
+    spread: int | None = None,
 ):
     """Start a run over the pages landed so far; returns the query.
 
     Accepted and rejected rows come from one pass and one checkpoint, partitioned by outcome
     and month, so each row is in exactly one of them. The checkpoint records finished files:
-    a restart after a crash continues where the last run ended and repeats nothing.
+    a restart after a crash continues where the last run ended and repeats nothing. `spread` is
+    a number of tasks for batches of few files that cannot be cut, as compressed ones.
     """
     use_utc(spark)
-    rows = clean_pages(stream_transfer_pages(spark, source, max_files_per_trigger))
+    rows = clean_pages(stream_transfer_pages(spark, source, max_files_per_trigger, spread))
     outcome = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
     return (
         rows.withColumn("outcome", outcome)

@@ -19,8 +19,8 @@ from ledgerloom.operators.cleaning import accepted, classify_transfers, fill_rec
 from ledgerloom.operators.edges import aggregate_edges, wide_sum
 from ledgerloom.plans import stages
 from ledgerloom.sinks import tables as sinks
-from ledgerloom.sources.transfers import read_transfer_pages
-from workload import continued, graph, standins
+from ledgerloom.sources.transfers import explode_pages, parse_lines, read_transfer_pages
+from workload import continued, graph, standins, streams
 
 RAW = (
     "address string, direction string, hash string, `from` string, `to` string, value double, "
@@ -236,3 +236,35 @@ def test_sums_of_wide_amounts(spark):
     sums = wide_sum(spark.createDataFrame(rows, "n int, v string"), ["n"], "v")
     wanted = {i: str(min(sum(each), top)) for i, each in enumerate(groups)} | {-1: "14"}
     assert {r.n: r.total_value for r in sums.collect()} == wanted
+
+
+def test_spread_lines_are_parsed_as_the_reader_does(spark, tmp_path):
+    page = '{"address": "0xa", "direction": "to", "transfers": [%s], "pageKey": "k"}'
+    whole = '{"hash": "1", "from": "0xb", "to": "", "value": 1.5, "category": "external", "blockNum": "0x1f", "metadata": {"blockTimestamp": "1995-01-02T00:00:00Z"}, "valueWei": "7"}'
+    lines = [page % each for each in (whole, "", "null", f"{whole}, null", f"{whole}, {whole}", '{"value": "oops"}', "7", '{"metadata": 3}')]
+    lines += ["", "  ", "null", "7", "x", "{}", lines[0][:-9], lines[0] + "x", '{"transfers": 5}', '{"transfers": null}', '{"other": [1]}', ' {"address": "é中"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.option("compression", "gzip").text(f"{tmp_path}/in")
+    text = spark.read.text(f"{tmp_path}/in")
+    spread = sorted(map(str, explode_pages(parse_lines(text)).collect()))
+    assert spread == sorted(map(str, read_transfer_pages(spark, f"{tmp_path}/in").collect()))
+
+
+def test_batches_of_compressed_files_are_spread(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(97 * 89,)], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    many = spark.range(200).select(F.concat(F.lit("1-"), "id").alias("hash")).coalesce(1)
+    rows = many.crossJoin(raw_rows(spark).drop("hash")).select(*raw_rows(spark).columns)
+    monkeypatch.setattr(graph, "raw_transfers", lambda *_: rows.coalesce(1))
+    found, run = {}, streams.stream_clean
+
+    def stream(*args, **options):
+        found.update(options, source=args[1], path=args[2])
+        return run(*args, **options)
+
+    monkeypatch.setattr(streams, "stream_clean", stream)
+    shown = streams.incremental(spark, str(tmp_path))
+    assert shown.count() == 200 and found["max_files_per_trigger"] == 3
+    pages = [n for n in child_names(spark, found["source"]) if n.startswith("part-")]
+    assert pages and all(n.endswith(".gz") for n in pages)
+    # One file of pages, written by several tasks.
+    stored = spark.read.parquet(found["path"]).filter("outcome = 'accepted'")
+    assert len([n for n in pages if ".json" in n]) == 1 and len(stored.inputFiles()) > 1

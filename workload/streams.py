@@ -65,12 +65,12 @@ def cleaned(spark, sf_dir):
 
 @query("K5_incremental_write", _FIRST_SQL)
 def incremental(spark, sf_dir):
-    # Two runs over the same folder: the second finds nothing new and repeats nothing. Pages are
-    # plain text here: three files make a batch, which only files that can be cut spread over tasks.
-    source, path = landed_pages(spark, sf_dir, "none"), scratch_path(spark, "cleaned")
-    marks = scratch_path(spark, "marks")
+    # Two runs over the same folder: the second finds nothing new and repeats nothing. Three
+    # compressed files make a batch; their pages are spread over all cores.
+    source, path = landed_pages(spark, sf_dir), scratch_path(spark, "cleaned")
+    marks, cores = scratch_path(spark, "marks"), spark.sparkContext.defaultParallelism
     for _ in range(2):
-        stream_clean(spark, source, path, marks, max_files_per_trigger=3).awaitTermination()
+        stream_clean(spark, source, path, marks, max_files_per_trigger=3, spread=cores).awaitTermination()
     return _shown(read_accepted(spark, path))
 
 
